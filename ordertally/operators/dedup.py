@@ -1,0 +1,32 @@
+"""Count a redelivered order once."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ordertally.operators.combine import drop_near_copies
+
+_GAP = "_without_id"
+
+
+def dedup(orders: DataFrame, within: str | None = None) -> DataFrame:
+    """One row per order_id; rows without an id are all kept.
+
+    Needs the columns `origin, position`, and drops them. Select the needed
+    columns first: with fixed-width values a batch plan stays a hash aggregate.
+
+    A stream keeps every id as state. With `within`, such as "2 days", it forgets
+    ids that much older than the newest message, and a later copy counts again;
+    the column `timestamp` is needed then.
+    """
+    # Rows without an id get a name of their own instead.
+    gap = F.when(F.col("order_id").isNull(), F.concat_ws("@", "origin", "position"))
+    keys = ["order_id", _GAP]
+    named = orders.withColumn(_GAP, gap).drop("origin", "position")
+    if orders.isStreaming:
+        named = drop_near_copies(named, keys)
+        if within is not None:
+            named = named.withWatermark("timestamp", within)
+            return named.dropDuplicatesWithinWatermark(keys).drop(_GAP)
+    return named.dropDuplicates(keys).drop(_GAP)

@@ -1,0 +1,44 @@
+"""Orders against the customer dimension."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ordertally.functions.values import customer_key
+from ordertally.operators.sizes import BROADCAST_BYTES, fits_broadcast
+
+
+def keyed(table: DataFrame, key: str = "customer_id") -> DataFrame:
+    """The table with its key as bigint; integer keys are left alone."""
+    kind = table.schema[key].dataType
+    if isinstance(kind, T.LongType):
+        return table
+    if isinstance(kind, T.IntegralType):
+        return table.withColumn(key, F.col(key).cast("bigint"))
+    return table.withColumn(key, customer_key(F.col(key).cast("string")))
+
+
+def _sized(table: DataFrame, limit: int) -> DataFrame:
+    return F.broadcast(table) if fits_broadcast(table, limit) else table
+
+
+def enrich(
+    orders: DataFrame, customers: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Orders with the columns of their customer; orders without one drop out.
+
+    A customer listed twice gives two rows. Beyond `broadcast_bytes` both sides
+    are shuffled, and adaptive execution splits a customer with very many orders.
+    """
+    customers = keyed(customers)
+    return keyed(orders).join(_sized(customers, broadcast_bytes), "customer_id")
+
+
+def unmatched(
+    orders: DataFrame, customers: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """The orders `enrich` drops, those without a usable key included."""
+    known = keyed(customers).select("customer_id")
+    return keyed(orders).join(_sized(known, broadcast_bytes), "customer_id", "left_anti")

@@ -1,0 +1,42 @@
+"""Compare a Spark result with its SQL equivalent in DuckDB."""
+
+from __future__ import annotations
+
+import math
+from pathlib import Path
+
+import duckdb
+
+import __spark_entry__ as driver
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for path in sorted(Path(sf_dir).glob("*.parquet")):
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    return connection
+
+
+def _rows(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+
+    def plain(value):
+        if isinstance(value, float) and math.isnan(value):
+            return "NaN"
+        return value
+
+    return sorted((tuple(plain(row[i]) for i in order) for row in rows), key=repr)
+
+
+def compare(spark, name: str, sf_dir: str) -> int:
+    """Assert equal names, types of values and rows; the number of rows."""
+    result = driver.queries()[name](spark, sf_dir)
+    cursor = connect(sf_dir).execute(driver.oracle_sql()[name])
+    names = [column[0] for column in cursor.description]
+    expected = _rows(names, cursor.fetchall())
+    assert sorted(result.columns) == sorted(names)
+    got = _rows(result.columns, result.collect())
+    assert len(got) == len(expected)
+    differing = [(a, b) for a, b in zip(got, expected) if a != b]
+    assert not differing, differing[:3]
+    return len(got)
