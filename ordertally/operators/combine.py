@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -33,7 +34,8 @@ def drop_near_copies(df: DataFrame, keys: list[str]) -> DataFrame:
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            numbered = table.select(keys).append_column("_row", pa.array(range(len(table))))
+            row = pa.array(np.arange(len(table)))
+            numbered = table.select(keys).append_column("_row", row)
             first = numbered.group_by(keys, use_threads=False).aggregate([("_row", "min")])
             yield from table.take(first["_row_min"]).to_batches()
 

@@ -45,7 +45,7 @@ def backfill_totals(
 ) -> None:
     """Totals of all messages as batch 0, in place of whatever the history held."""
     totals = totals_from_messages(
-        file_batch(spark, messages_path),
+        file_batch(spark, messages_path, arrival=dedup_orders),
         read_customers(spark, customers_path),
         dedup_orders,
         broadcast_bytes=broadcast_bytes,

@@ -38,31 +38,39 @@ Query = Callable[[SparkSession, str], DataFrame]
 CUTS = ("1996-09-01", "1998-05-01", "2000-01-01")
 
 
+def identity() -> list[Column]:
+    """Which message a row is, for the queries that need to know."""
+    return [
+        F.col("_metadata.file_path").alias("origin"),
+        F.col("_metadata.row_index").alias("position"),
+    ]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, stream: bool = False) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    rows = spark.read.parquet(path)
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     if stream:
         # As a glob, since a stream takes no path of a single file.
         rows = spark.readStream.schema(rows.schema).parquet(f"{sf_dir}/{{{name}}}.parquet")
-    return rows.withColumns(
-        {"origin": F.col("_metadata.file_path"), "position": F.col("_metadata.row_index")}
-    )
+    return rows
 
 
-def order_rows(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
+def order_rows(
+    spark: SparkSession, sf_dir: str, stream: bool = False, arrival: bool = False
+) -> DataFrame:
     return table(spark, sf_dir, "orders", stream).select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_orderdate").alias("created_at"),
         F.col("o_totalprice").alias("total"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").alias("timestamp"),
-        "origin",
-        "position",
+        *(identity() if arrival else []),
     )
 
 
-def order_messages(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
-    return encode(order_rows(spark, sf_dir, stream))
+def order_messages(
+    spark: SparkSession, sf_dir: str, stream: bool = False, arrival: bool = False
+) -> DataFrame:
+    return encode(order_rows(spark, sf_dir, stream, arrival))
 
 
 def event_messages(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
@@ -71,21 +79,18 @@ def event_messages(spark: SparkSession, sf_dir: str, stream: bool = False) -> Da
         F.col("value").alias("total"),
         F.col("user_id").alias("customer_id"),
         F.col("ts").alias("timestamp"),
-        "origin",
-        "position",
     )
     return encode(events)
 
 
 def mixed_messages(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """Orders among texts that are no orders."""
-    messages = order_messages(spark, sf_dir, stream)
+    messages = order_messages(spark, sf_dir, stream, arrival=True)
     for name in ("documents", "conversations"):
         stray = table(spark, sf_dir, name, stream).select(
             F.col("text").cast("binary").alias("value"),
             F.lit("2000-01-01").cast("timestamp").alias("timestamp"),
-            "origin",
-            "position",
+            *identity(),
         )
         messages = messages.unionByName(stray)
     return messages
@@ -178,7 +183,7 @@ def kpi_large_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kpi_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message delivered twice, counted once."""
-    messages = order_messages(spark, sf_dir)
+    messages = order_messages(spark, sf_dir, arrival=True)
     doubled = messages.unionByName(messages)
     return rounded(totals_from_messages(doubled, customers(spark, sf_dir), dedup_orders=True))
 
@@ -212,7 +217,7 @@ def kpi_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _by_product(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    sold = lines(spark, sf_dir).withColumn("total", F.col("subtotal"))
+    sold = lines(spark, sf_dir).select("product_id", F.col("subtotal").alias("total"), "timestamp")
     facts = facts_of(decode(encode(sold), ["product_id", "total"]), "product_id")
     return rounded(totals_by_category(facts, products(spark, sf_dir), **options))
 
@@ -243,7 +248,7 @@ def kpi_stream_large_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kpi_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = order_messages(spark, sf_dir, stream=True)
+    messages = order_messages(spark, sf_dir, stream=True, arrival=True)
     settings = job(new_workspace(spark), dedup=True)
     doubled = messages.unionByName(messages)
     history = run_totals(spark, doubled, customers(spark, sf_dir), settings)
@@ -273,7 +278,8 @@ def kpi_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     dimension = customers(spark, sf_dir)
     for part in range(len(CUTS) + 1):
         _land(order_rows(spark, sf_dir), landing, part)
-        run_totals(spark, file_stream(spark, Landing(landing)), dimension, settings)
+        messages = file_stream(spark, Landing(landing), arrival=False)
+        run_totals(spark, messages, dimension, settings)
     history = read_history(spark, settings.history_path)
     return rounded(history.drop("processed_at"))
 

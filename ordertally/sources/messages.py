@@ -1,4 +1,8 @@
-"""Message sources. All give `value, timestamp, origin, position`."""
+"""Message sources. All give `value, timestamp, origin, position`.
+
+File sources leave out `origin, position` on request: only dedup and the archive use
+them, and the scan computes row numbers for every row even if they are dropped later.
+"""
 
 from __future__ import annotations
 
@@ -38,7 +42,9 @@ def from_records(records: DataFrame) -> DataFrame:
     )
 
 
-def _with_arrival(files: DataFrame) -> DataFrame:
+def _messages(files: DataFrame, arrival: bool) -> DataFrame:
+    if not arrival:
+        return files.select("value", "timestamp")
     return files.select(
         "value",
         "timestamp",
@@ -47,22 +53,24 @@ def _with_arrival(files: DataFrame) -> DataFrame:
     )
 
 
-def file_stream(spark: SparkSession, landing: Landing) -> DataFrame:
+def file_stream(spark: SparkSession, landing: Landing, arrival: bool = True) -> DataFrame:
     """Messages of a directory of Parquet files, each new file read once."""
     reader = spark.readStream.schema(MESSAGE_FILE)
     if landing.max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", landing.max_files_per_trigger)
     if landing.max_bytes_per_trigger is not None:
         reader = reader.option("maxBytesPerTrigger", landing.max_bytes_per_trigger)
-    return _with_arrival(reader.parquet(landing.path))
+    return _messages(reader.parquet(landing.path), arrival)
 
 
-def file_batch(spark: SparkSession, path: str) -> DataFrame:
+def file_batch(spark: SparkSession, path: str, arrival: bool = True) -> DataFrame:
     """The same files as one bounded table, for backfills."""
-    return _with_arrival(spark.read.schema(MESSAGE_FILE).parquet(path))
+    return _messages(spark.read.schema(MESSAGE_FILE).parquet(path), arrival)
 
 
-def message_stream(spark: SparkSession, source: Kafka | Landing) -> DataFrame:
+def message_stream(
+    spark: SparkSession, source: Kafka | Landing, arrival: bool = True
+) -> DataFrame:
     if isinstance(source, Kafka):
         return kafka_stream(spark, source)
-    return file_stream(spark, source)
+    return file_stream(spark, source, arrival)

@@ -107,9 +107,10 @@ def start_totals(
 
 def run(spark: SparkSession, settings: Settings) -> list[StreamingQuery]:
     """Start both queries on the configured source and customer file."""
-    messages = message_stream(spark, settings.source)
     customers = read_customers(spark, settings.customers_path)
-    return [start_archive(messages, settings), start_totals(messages, customers, settings)]
+    archive = start_archive(message_stream(spark, settings.source), settings)
+    messages = message_stream(spark, settings.source, arrival=settings.dedup)
+    return [archive, start_totals(messages, customers, settings)]
 
 
 def wait(spark: SparkSession, queries: list[StreamingQuery]) -> None:

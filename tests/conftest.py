@@ -22,3 +22,31 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(params=["true", "false"], ids=["ansi", "no-ansi"])
+def ansi(request, spark):
+    """Run a test with ANSI mode on and off."""
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+@pytest.fixture
+def conf(spark):
+    """Session settings for one test."""
+    before = {}
+
+    def change(**values):
+        for name, value in values.items():
+            name = name.replace("__", ".")
+            before.setdefault(name, spark.conf.get(name, None))
+            spark.conf.set(name, value)
+
+    yield change
+    for name, value in before.items():
+        if value is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, value)
