@@ -1,0 +1,283 @@
+"""Streams over landing directories: every start takes what is new and ends."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from ordertally.operators import archive_current, kpi_current
+from ordertally.plans.jobs import backfill_totals
+from ordertally.plans.totals import totals_from_messages
+from ordertally.settings import Landing, Settings
+from ordertally.sources import (
+    file_batch,
+    file_stream,
+    read_archive,
+    read_history,
+    read_rejects,
+)
+from ordertally.streaming import run, start_archive, start_totals, wait
+from ordertally.streaming.jobs import session_conf
+from tests.helpers import customers, land, order, tuples
+
+SHOPPERS = [(1, "Google", "TX"), (2, "Twitter", "CA"), (3, "Google", "TX")]
+GOOGLE, TWITTER = ("Google", "TX"), ("Twitter", "CA")
+
+
+class Place:
+    """A landing directory and the tables a stream makes of it."""
+
+    def __init__(self, spark, folder, **options):
+        self.spark = spark
+        self.landing = f"{folder}/landing"
+        self.settings = Settings(
+            checkpoint_root=f"{folder}/checkpoints",
+            archive_path=f"{folder}/archive",
+            history_path=f"{folder}/history",
+            trigger=None,
+            **options,
+        )
+
+    def land(self, *values):
+        land(self.spark, self.landing, *values)
+
+    def stream(self, **limits):
+        return file_stream(self.spark, Landing(self.landing, **limits))
+
+    def totals(self, rows=SHOPPERS, **limits):
+        dimension = customers(self.spark, rows)
+        query = start_totals(self.stream(**limits), dimension, self.settings)
+        query.awaitTermination()
+        return query
+
+    def archive(self):
+        start_archive(self.stream(), self.settings).awaitTermination()
+
+    def history(self):
+        return read_history(self.spark, self.settings.history_path)
+
+    def batch(self, number):
+        rows = self.history().where(F.col("batch_id") == number)
+        return tuples(rows.drop("processed_at", "batch_id"))
+
+
+@pytest.fixture(params=[0, 2**20], ids=["shuffled", "broadcast"])
+def place(request, spark, tmp_path):
+    return Place(spark, tmp_path, broadcast_bytes=request.param)
+
+
+def test_running_totals_go_on_after_a_restart(place, ansi):
+    place.land(order(10.0, 1), order(5.5, 2))
+    place.totals()
+    place.land(order(1, 3))
+    place.totals()
+    place.land(order(1, 99))
+    place.totals()
+    place.land(order(10.0, 1))
+    place.totals()
+    place.totals()  # nothing new
+    assert place.batch(0) == [(*GOOGLE, 10.0), (*TWITTER, 5.5)]
+    assert place.batch(1) == [(*GOOGLE, 11.0)]
+    assert place.batch(2) == []
+    assert place.batch(3) == [(*GOOGLE, 21.0)]
+    assert place.history().count() == 4
+    assert tuples(kpi_current(place.history())) == [(*GOOGLE, 21.0), (*TWITTER, 5.5)]
+
+
+def test_bad_values_in_a_stream(place, ansi):
+    place.land(order("x", 1), order(float("nan"), 1), order(2, 1.0), order(None, 2), "not json")
+    place.totals()
+    assert place.batch(0) == [(*GOOGLE, 2.0), (*TWITTER, None)]
+
+
+def test_processed_at_is_one_utc_time_per_batch(place):
+    place.land(order(10.0, 1), order(5.5, 2))
+    place.totals()
+    rows = place.history().select("processed_at", F.current_timestamp().alias("now")).collect()
+    assert len({row["processed_at"] for row in rows}) == 1
+    age = rows[0]["now"] - rows[0]["processed_at"]
+    assert 0 <= age.total_seconds() < 120
+    assert dict(place.history().dtypes)["batch_id"] == "bigint"
+
+
+def random_orders(count, seed=1):
+    rng = random.Random(seed)
+    return [
+        order(rng.randint(1, 100), rng.choice([1, 2, 3, 4, "x"]), n) for n in range(count)
+    ]
+
+
+@pytest.mark.parametrize("files", [1, 2, 7])
+def test_stream_equals_batch(spark, tmp_path, files):
+    place = Place(spark, tmp_path)
+    orders = random_orders(200)
+    for part in range(files):
+        place.land(*orders[part::files])
+    place.totals(max_files_per_trigger=1)
+    assert place.history().select("batch_id").distinct().count() == files
+    at_once = totals_from_messages(
+        file_batch(spark, place.landing), customers(spark, SHOPPERS)
+    )
+    assert tuples(kpi_current(place.history())) == tuples(at_once)
+
+
+def test_a_replayed_batch_changes_nothing(spark, tmp_path):
+    place = Place(spark, tmp_path)
+    place.land(order(10.0, 1, "a"), "not json")
+    place.land(order(5.5, 2, "b"))
+    place.totals(max_files_per_trigger=1)
+    place.archive()
+    before = tuples(place.history().drop("processed_at"))
+    archive = tuples(read_archive(spark, place.settings.archive_path))
+    # As after a crash between a batch's write and its commit.
+    for query, last in (("totals", 1), ("archive", 0)):
+        folder = tmp_path / "checkpoints" / query / "commits"
+        (folder / str(last)).unlink()
+        (folder / f".{last}.crc").unlink(missing_ok=True)
+    place.totals(max_files_per_trigger=1)
+    place.archive()
+    assert tuples(place.history().drop("processed_at")) == before
+    assert tuples(read_archive(spark, place.settings.archive_path)) == archive
+    assert read_rejects(spark, place.settings.archive_path).count() == 1
+
+
+def test_stream_dedup(spark, tmp_path):
+    place = Place(spark, tmp_path, dedup=True)
+    place.land(*[order(1, 2, "a")] * 5, order(1, 2), order(1, 2))
+    place.totals()
+    place.land(order(1, 2, "a"), order(1, 2), order(3, 1, "b"), order(3, 1, "b"))
+    place.totals()
+    assert tuples(kpi_current(place.history())) == [(*GOOGLE, 3.0), (*TWITTER, 4.0)]
+
+
+def test_stream_dedup_within(spark, tmp_path):
+    place = Place(spark, tmp_path, dedup=True, dedup_within="1 day")
+    place.land(order(1, 2, "a"), order(1, 2, "a"), order(1, 2))
+    place.totals()
+    place.land(order(1, 2, "a"), order(2, 2, "b"))
+    place.totals()
+    assert tuples(kpi_current(place.history())) == [(*TWITTER, 4.0)]
+
+
+def test_archive(spark, tmp_path):
+    place = Place(spark, tmp_path)
+    place.land(order(10.50, 1, "a"), "not json", order(1, 1), "", b"\xff")
+    place.archive()
+    place.land(order(12, 1, "a"), order(1, "x", "b"))
+    place.archive()
+    path = place.settings.archive_path
+    rows = read_archive(spark, path)
+    assert tuples(rows.select("order_id", "total", "customer_id", "batch_id")) == [
+        ("a", "10.5", "1", 0), ("a", "12", "1", 1), ("b", "1", "x", 1),
+    ]
+    assert rows.where("value IS NOT NULL").count() == 0
+    refused = read_rejects(spark, path).select("value", "reason", "batch_id").collect()
+    assert sorted((bytes(r["value"]), r["reason"], r["batch_id"]) for r in refused) == [
+        (b"", "empty", 0),
+        (b"not json", "malformed", 0),
+        (order(1, 1).encode(), "no order_id", 0),
+        (b"\xff", "malformed", 0),
+    ]
+    current = archive_current(rows).select("order_id", "total")
+    assert tuples(current) == [("a", "12"), ("b", "1")]
+
+
+def test_archive_with_raw_messages(spark, tmp_path):
+    place = Place(spark, tmp_path, keep_raw=True)
+    text = '{"order_id": "a", "total": 10.50}'
+    place.land(text)
+    place.archive()
+    assert bytes(read_archive(spark, place.settings.archive_path).first()["value"]).decode() == text
+
+
+def test_console(spark, tmp_path, capfd):
+    place = Place(spark, tmp_path, console=True)
+    place.land(order(10.0, 1))
+    place.totals()
+    out = capfd.readouterr().out
+    assert "batch 0" in out and "Google" in out and "10.0" in out
+
+
+def write_customers(path):
+    lines = [f"{key},{source},{state}" for key, source, state in SHOPPERS]
+    path.write_text("\n".join(["customer_id,source,state", *lines]) + "\n")
+    return str(path)
+
+
+def job(tmp_path, **changes):
+    return Settings(
+        **{
+            "checkpoint_root": f"{tmp_path}/checkpoints",
+            "archive_path": f"{tmp_path}/archive",
+            "history_path": f"{tmp_path}/history",
+            "source": Landing(f"{tmp_path}/landing"),
+            "customers_path": write_customers(tmp_path / "customers.csv"),
+            "trigger": None,
+            **changes,
+        }
+    )
+
+
+def test_run(spark, tmp_path):
+    land(spark, f"{tmp_path}/landing", order(10.0, 1, "a"), order(5.5, 2, "b"), "not json")
+    settings = job(tmp_path, state_partitions=2)
+    queries = run(spark, settings)
+    wait(spark, queries)
+    assert [q.isActive for q in queries] == [False, False]
+    assert tuples(read_archive(spark, settings.archive_path).select("order_id")) == [
+        ("a",), ("b",),
+    ]
+    totals = kpi_current(read_history(spark, settings.history_path))
+    assert tuples(totals) == [(*GOOGLE, 10.0), (*TWITTER, 5.5)]
+
+
+def test_run_on_a_schedule(spark, tmp_path):
+    land(spark, f"{tmp_path}/landing", order(10.0, 1, "a"))
+    settings = job(tmp_path, trigger="1 second")
+    queries = run(spark, settings)
+    try:
+        for query in queries:
+            query.processAllAvailable()
+        land(spark, f"{tmp_path}/landing", order(1.0, 1, "b"))
+        for query in queries:
+            query.processAllAvailable()
+        assert all(query.isActive for query in queries)
+    finally:
+        for query in queries:
+            query.stop()
+    wait(spark, queries)
+    totals = kpi_current(read_history(spark, settings.history_path))
+    assert tuples(totals) == [(*GOOGLE, 11.0)]
+
+
+def test_wait_stops_the_others_when_one_fails(spark, tmp_path):
+    land(spark, f"{tmp_path}/landing", order(10.0, 1, "a"))
+    (tmp_path / "archive").write_text("a file where the archive should go")
+    queries = run(spark, job(tmp_path, trigger="1 second"))
+    with pytest.raises(Exception, match="archive"):
+        wait(spark, queries)
+    assert [q.isActive for q in queries] == [False, False]
+
+
+def test_backfill_replaces_the_history(spark, tmp_path):
+    place = Place(spark, tmp_path)
+    place.land(order(1.0, 1))
+    place.totals([(1, "Old", "ZZ")])
+    place.land(order(10.0, 1), order(5.5, 2))
+    place.totals([(1, "Old", "ZZ")])
+    backfill_totals(
+        spark,
+        place.landing,
+        write_customers(tmp_path / "customers.csv"),
+        place.settings.history_path,
+    )
+    assert place.batch(0) == [(*GOOGLE, 11.0), (*TWITTER, 5.5)]
+    assert place.history().count() == 2
+
+
+def test_session_conf_is_put_back(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    with session_conf(spark, {"spark.sql.shuffle.partitions": "3", "ordertally.x": "1"}):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    assert spark.conf.get("ordertally.x", None) is None
