@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 def customer_key(text: Column) -> Column:
     """Key of a customer as bigint; NULL for anything that is not a number.
 
-    Through decimal(38,6), so that `1`, `1.0`, ` 1 ` and `1e0` are one key and
-    large integers keep every digit.
+    `1`, `1.0`, ` 1 ` and `1e0` are one key and large integers keep every digit.
+    What is no plain integer goes through decimal(38,6), which costs more.
     """
-    return text.try_cast("decimal(38,6)").try_cast("bigint")
+    return F.coalesce(
+        text.try_cast("bigint"), text.try_cast("decimal(38,6)").try_cast("bigint")
+    )
 
 
 def amount(text: Column) -> Column:

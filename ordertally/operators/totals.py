@@ -25,6 +25,8 @@ def _sum_by(
     if fits_broadcast(dimension, limit):
         joined = facts.join(F.broadcast(dimension), key, how)
     elif facts.isStreaming:
+        if how == "inner":
+            facts = facts.where(F.col(key).isNotNull())
         joined = partial_sums(facts, key, "amount").join(dimension, key, how)
     else:
         per_key = facts.groupBy(key).agg(F.sum("amount").alias("amount"))

@@ -21,6 +21,8 @@ def totals_from_messages(
     if dedup_orders:
         orders = decode(messages, ["order_id", "customer_id", "total"])
         facts = facts_of(orders, "customer_id", "order_id", "timestamp", "origin", "position")
+        # Messages that cannot count must not fill the shuffle and the state.
+        facts = facts.where("customer_id IS NOT NULL")
         facts = dedup(facts if within else facts.drop("timestamp"), within)
     else:
         facts = facts_of(decode(messages, ["customer_id", "total"]), "customer_id")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Mapping
 from dataclasses import dataclass, field
@@ -23,7 +24,7 @@ class Landing:
 
     path: str
     max_files_per_trigger: int | None = None
-    max_bytes_per_trigger: str | None = None
+    max_bytes_per_trigger: int | None = None
 
 
 @dataclass(frozen=True)
@@ -91,20 +92,36 @@ class Settings:
 
 
 def from_mapping(config: Mapping[str, Mapping], **others) -> Settings:
-    """Settings from a parsed config file with `kafka`, `mysql` and `cassandra` sections."""
+    """Settings from a parsed config file.
+
+    Sections: `kafka` or `landing` for the source, `mysql` and `cassandra` for the
+    targets, `job` for the fields of Settings. Other sections are left alone.
+    """
+    values = dict(config.get("job", {}))
     if "kafka" in config:
-        kafka = config["kafka"]
-        others.setdefault("source", Kafka(kafka["bootstrap_server"], kafka["topic"]))
+        kafka = dict(config["kafka"])
+        values["source"] = Kafka(kafka.pop("bootstrap_server"), **kafka)
+    elif "landing" in config:
+        values["source"] = Landing(**config["landing"])
     if "mysql" in config:
         mysql = config["mysql"]
-        others.setdefault(
-            "jdbc",
-            Jdbc(
-                f"jdbc:mysql://{mysql['host']}:{mysql['port']}/{mysql['database']}",
-                mysql["table"],
-                mysql["driver"],
-            ),
+        values["jdbc"] = Jdbc(
+            f"jdbc:mysql://{mysql['host']}:{mysql['port']}/{mysql['database']}",
+            mysql["table"],
+            mysql["driver"],
         )
     if "cassandra" in config:
-        others.setdefault("cassandra", Cassandra(**config["cassandra"]))
-    return Settings(**others)
+        values["cassandra"] = Cassandra(**config["cassandra"])
+    return Settings(**{**values, **others})
+
+
+def read_settings(path: str) -> Settings:
+    """Settings from a JSON file, or a YAML file where PyYAML is installed."""
+    with open(path, encoding="utf-8") as file:
+        if not path.endswith((".yaml", ".yml")):
+            return from_mapping(json.load(file))
+        try:
+            import yaml
+        except ImportError as error:
+            raise ImportError("a YAML config needs PyYAML; use JSON instead") from error
+        return from_mapping(yaml.safe_load(file))

@@ -57,8 +57,6 @@ def to_archive(path: str) -> BatchFunction:
     """Accepted and rejected messages of a batch in one pass and one commit."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Both kinds of files stay open at once, so rows need no sort by kind.
-        batch.sparkSession.conf.set("spark.sql.maxConcurrentOutputFileWriters", "2")
         _write_batch(batch, path, batch_id, "kind")
 
     return write

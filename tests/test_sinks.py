@@ -1,11 +1,20 @@
 """Database targets without a database: what would be read and written."""
 
+import json
 from datetime import datetime
 
 import pytest
 
 from ordertally.schemas import HISTORY, ORDER_FIELDS
-from ordertally.settings import Cassandra, Jdbc, Kafka, Settings, from_mapping
+from ordertally.settings import (
+    Cassandra,
+    Jdbc,
+    Kafka,
+    Landing,
+    Settings,
+    from_mapping,
+    read_settings,
+)
 from ordertally.sources import read_rejects
 from ordertally.streaming import sinks
 from tests.helpers import messages, order, tuples
@@ -102,6 +111,24 @@ def test_settings_from_a_config_file(monkeypatch):
     assert settings.jdbc.properties() == {"driver": "a.Driver", "user": "me"}
 
 
+def test_settings_from_json(tmp_path):
+    config = {
+        "landing": {"path": "/landing", "max_files_per_trigger": 5},
+        "job": {
+            "checkpoint_root": "/c",
+            "archive_path": "/a",
+            "history_path": "/h",
+            "customers_path": "/customers.csv",
+            "dedup": True,
+        },
+    }
+    path = tmp_path / "config.json"
+    path.write_text(json.dumps(config))
+    settings = read_settings(str(path))
+    assert settings.source == Landing("/landing", 5)
+    assert settings.dedup and settings.jdbc is None and settings.history_path == "/h"
+
+
 def test_totals_need_a_target():
     with pytest.raises(ValueError, match="history_path"):
         Settings(checkpoint_root="/c", archive_path="/a")

@@ -1,6 +1,8 @@
 """Streams over landing directories: every start takes what is new and ends."""
 
+import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,7 +18,8 @@ from ordertally.sources import (
     read_history,
     read_rejects,
 )
-from ordertally.streaming import run, start_archive, start_totals, wait
+from ordertally.__main__ import main
+from ordertally.streaming import ProgressLog, run, start_archive, start_totals, wait
 from ordertally.streaming.jobs import session_conf
 from tests.helpers import customers, land, order, tuples
 
@@ -121,6 +124,15 @@ def test_stream_equals_batch(spark, tmp_path, files):
     assert tuples(kpi_current(place.history())) == tuples(at_once)
 
 
+def test_batches_limited_by_size(spark, tmp_path):
+    place = Place(spark, tmp_path)
+    for n in range(3):
+        place.land(order(1.0, 1))
+    place.totals(max_bytes_per_trigger=1)
+    assert place.history().select("batch_id").distinct().count() == 3
+    assert tuples(kpi_current(place.history())) == [(*GOOGLE, 3.0)]
+
+
 def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     place = Place(spark, tmp_path)
     place.land(order(10.0, 1, "a"), "not json")
@@ -250,6 +262,51 @@ def test_run_on_a_schedule(spark, tmp_path):
     assert tuples(totals) == [(*GOOGLE, 11.0)]
 
 
+def test_main(spark, tmp_path, monkeypatch):
+    land(spark, f"{tmp_path}/landing", order(10.0, 1, "a"))
+    config = tmp_path / "config.json"
+    settings = job(tmp_path)
+    config.write_text(
+        json.dumps(
+            {
+                "landing": {"path": settings.source.path},
+                "job": {
+                    "checkpoint_root": settings.checkpoint_root,
+                    "archive_path": settings.archive_path,
+                    "history_path": settings.history_path,
+                    "customers_path": settings.customers_path,
+                    "trigger": None,
+                },
+            }
+        )
+    )
+    listeners = []
+    monkeypatch.setattr(
+        "pyspark.sql.streaming.StreamingQueryManager.addListener",
+        lambda self, listener: listeners.append(listener),
+    )
+    main(str(config))
+    assert tuples(kpi_current(read_history(spark, settings.history_path))) == [(*GOOGLE, 10.0)]
+    assert isinstance(listeners[0], ProgressLog)
+
+
+def test_progress_is_logged(spark, tmp_path, caplog):
+    listener = ProgressLog()
+    spark.streams.addListener(listener)
+    try:
+        with caplog.at_level("INFO", logger="ordertally"):
+            place = Place(spark, tmp_path)
+            place.land(order(10.0, 1), order(1.0, 2))
+            place.totals()
+            deadline = time.monotonic() + 20
+            while "ended: no error" not in caplog.text and time.monotonic() < deadline:
+                time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert "query totals batch 0: 2 rows in" in caplog.text
+    assert "ended: no error" in caplog.text
+
+
 def test_wait_stops_the_others_when_one_fails(spark, tmp_path):
     land(spark, f"{tmp_path}/landing", order(10.0, 1, "a"))
     (tmp_path / "archive").write_text("a file where the archive should go")
