@@ -1,7 +1,7 @@
 from ordertally.operators.current import archive_current, kpi_current
 from ordertally.operators.dedup import dedup
 from ordertally.operators.enrich import enrich, unmatched
-from ordertally.operators.sizes import fits_broadcast
+from ordertally.operators.sizes import fits_broadcast, is_small_lookup
 from ordertally.operators.totals import facts_of, totals_by_category, totals_by_source_state
 
 __all__ = [
@@ -10,6 +10,7 @@ __all__ = [
     "enrich",
     "facts_of",
     "fits_broadcast",
+    "is_small_lookup",
     "kpi_current",
     "totals_by_category",
     "totals_by_source_state",

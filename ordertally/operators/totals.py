@@ -8,29 +8,39 @@ from pyspark.sql import functions as F
 from ordertally.functions.values import amount
 from ordertally.operators.combine import partial_sums
 from ordertally.operators.enrich import keyed
-from ordertally.operators.sizes import BROADCAST_BYTES, fits_broadcast
+from ordertally.operators.sizes import BROADCAST_BYTES, is_small_lookup
 
 
 def _sum_by(
-    facts: DataFrame, dimension: DataFrame, key: str, groups: list[str], how: str, limit: int
+    facts: DataFrame,
+    dimension: DataFrame,
+    key: str,
+    groups: list[str],
+    how: str,
+    limit: int,
+    join_partitions: int | None = None,
 ) -> DataFrame:
     """`facts(key, amount)` joined to the dimension and summed by its groups.
 
-    A dimension of checked size is broadcast: the facts are then never shuffled,
-    only one partial sum per group and task. A larger one is met by sums per key,
-    so a key with very many facts reaches the shuffle as a few partial sums, and
-    the sums lie where the join needs them.
+    A dimension of checked size and single keys is broadcast: the facts are then
+    never shuffled, only one partial sum per group and task. Any other is met by
+    sums per key, so a key with very many facts reaches the join as a few partial
+    sums, and the sums lie where the join needs them.
     """
     dimension = keyed(dimension, key).select(key, *groups)
-    if fits_broadcast(dimension, limit):
+    if is_small_lookup(dimension, key, limit):
         joined = facts.join(F.broadcast(dimension), key, how)
     elif facts.isStreaming:
         if how == "inner":
             facts = facts.where(F.col(key).isNotNull())
-        joined = partial_sums(facts, key, "amount").join(dimension, key, how)
+        sums = partial_sums(facts, key, "amount")
+        if join_partitions is not None:
+            sums = sums.repartition(join_partitions, key)
+            dimension = dimension.repartition(join_partitions, key)
+        joined = sums.join(dimension, key, how)
     else:
-        per_key = facts.groupBy(key).agg(F.sum("amount").alias("amount"))
-        joined = per_key.join(dimension, key, how)
+        sums = facts.groupBy(key).agg(F.sum("amount").alias("amount"))
+        joined = sums.join(dimension, key, how)
     return joined.groupBy(*groups).agg(F.sum("amount").alias("total_sum_amount"))
 
 
@@ -41,14 +51,21 @@ def facts_of(orders: DataFrame, key: str, *others: str) -> DataFrame:
 
 
 def totals_by_source_state(
-    facts: DataFrame, customers: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
+    facts: DataFrame,
+    customers: DataFrame,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    join_partitions: int | None = None,
 ) -> DataFrame:
     """Sum of `amount` by source and state of the customer; running sums on a stream.
 
     Orders without a customer do not count. A group of NULL amounts only has a
-    NULL sum.
+    NULL sum. `join_partitions` is the width of a stream's join to customers that
+    are not broadcast, apart from the number of state partitions.
     """
-    return _sum_by(facts, customers, "customer_id", ["source", "state"], "inner", broadcast_bytes)
+    groups = ["source", "state"]
+    return _sum_by(
+        facts, customers, "customer_id", groups, "inner", broadcast_bytes, join_partitions
+    )
 
 
 def totals_by_category(

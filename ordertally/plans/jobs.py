@@ -8,8 +8,8 @@ from ordertally.functions.messages import encode
 from ordertally.operators.sizes import BROADCAST_BYTES
 from ordertally.plans.totals import totals_from_messages
 from ordertally.schemas import HISTORY
-from ordertally.settings import Kafka
-from ordertally.sources.messages import file_batch
+from ordertally.settings import Kafka, Landing
+from ordertally.sources.messages import message_batch
 from ordertally.sources.tables import read_customers, read_orders_csv
 from ordertally.streaming.sinks import fit, with_lineage
 
@@ -37,7 +37,7 @@ def publish_orders_csv(spark: SparkSession, orders_path: str, target: str | Kafk
 
 def backfill_totals(
     spark: SparkSession,
-    messages_path: str,
+    source: Kafka | Landing,
     customers_path: str,
     history_path: str,
     dedup_orders: bool = False,
@@ -45,7 +45,7 @@ def backfill_totals(
 ) -> None:
     """Totals of all messages as batch 0, in place of whatever the history held."""
     totals = totals_from_messages(
-        file_batch(spark, messages_path, arrival=dedup_orders),
+        message_batch(spark, source, arrival=dedup_orders),
         read_customers(spark, customers_path),
         dedup_orders,
         broadcast_bytes=broadcast_bytes,

@@ -214,7 +214,8 @@ def kpi_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = new_workspace(spark)
     publish_files(order_messages(spark, sf_dir), f"{work}/landing")
     customers(spark, sf_dir).write.csv(f"{work}/customers", header=True)
-    backfill_totals(spark, f"{work}/landing", f"{work}/customers", f"{work}/history")
+    landing = Landing(f"{work}/landing")
+    backfill_totals(spark, landing, f"{work}/customers", f"{work}/history")
     return rounded(kpi_current(read_history(spark, f"{work}/history")))
 
 

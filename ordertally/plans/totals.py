@@ -16,6 +16,7 @@ def totals_from_messages(
     dedup_orders: bool = False,
     within: str | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
+    join_partitions: int | None = None,
 ) -> DataFrame:
     """Sum of order totals by source and state of the customer."""
     if dedup_orders:
@@ -26,4 +27,4 @@ def totals_from_messages(
         facts = dedup(facts if within else facts.drop("timestamp"), within)
     else:
         facts = facts_of(decode(messages, ["customer_id", "total"]), "customer_id")
-    return totals_by_source_state(facts, customers, broadcast_bytes)
+    return totals_by_source_state(facts, customers, broadcast_bytes, join_partitions)

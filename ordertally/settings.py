@@ -81,6 +81,8 @@ class Settings:
     dedup_within: str | None = None
     # Largest measured customer table that is sent to every executor.
     broadcast_bytes: int = 64 * 2**20
+    # Width of the join to customers that are not broadcast.
+    join_partitions: int | None = None
     # Number of state partitions; fixed by the first start of a checkpoint.
     state_partitions: int | None = None
     # Extra session settings while a query starts, e.g. a state store provider.

@@ -1,4 +1,11 @@
-from ordertally.sources.messages import file_batch, file_stream, kafka_stream, message_stream
+from ordertally.sources.messages import (
+    file_batch,
+    file_stream,
+    kafka_batch,
+    kafka_stream,
+    message_batch,
+    message_stream,
+)
 from ordertally.sources.tables import (
     read_archive,
     read_customers,
@@ -12,7 +19,9 @@ from ordertally.sources.tables import (
 __all__ = [
     "file_batch",
     "file_stream",
+    "kafka_batch",
     "kafka_stream",
+    "message_batch",
     "message_stream",
     "read_archive",
     "read_customers",

@@ -32,6 +32,13 @@ def kafka_stream(spark: SparkSession, kafka: Kafka) -> DataFrame:
     return from_records(spark.readStream.format("kafka").options(**kafka_options(kafka)).load())
 
 
+def kafka_batch(spark: SparkSession, kafka: Kafka) -> DataFrame:
+    """All messages the topic still holds, for backfills."""
+    options = {**kafka_options(kafka), "startingOffsets": "earliest"}
+    options.pop("maxOffsetsPerTrigger", None)
+    return from_records(spark.read.format("kafka").options(**options).load())
+
+
 def from_records(records: DataFrame) -> DataFrame:
     """Kafka records to messages, known by topic-partition and offset."""
     return records.select(
@@ -74,3 +81,11 @@ def message_stream(
     if isinstance(source, Kafka):
         return kafka_stream(spark, source)
     return file_stream(spark, source, arrival)
+
+
+def message_batch(
+    spark: SparkSession, source: Kafka | Landing, arrival: bool = True
+) -> DataFrame:
+    if isinstance(source, Kafka):
+        return kafka_batch(spark, source)
+    return file_batch(spark, source.path, arrival)

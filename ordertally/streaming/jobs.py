@@ -92,6 +92,7 @@ def start_totals(
         dedup_orders=settings.dedup,
         within=settings.dedup_within,
         broadcast_bytes=settings.broadcast_bytes,
+        join_partitions=settings.join_partitions,
     )
     if settings.jdbc is not None:
         create_history_jdbc(spark, settings.jdbc)
@@ -109,6 +110,8 @@ def start_totals(
 
 def run(spark: SparkSession, settings: Settings) -> list[StreamingQuery]:
     """Start both queries on the configured source and customer file."""
+    if settings.source is None or settings.customers_path is None:
+        raise ValueError("give source and customers_path")
     customers = read_customers(spark, settings.customers_path)
     archive = start_archive(message_stream(spark, settings.source), settings)
     messages = message_stream(spark, settings.source, arrival=settings.dedup)

@@ -111,6 +111,16 @@ def test_archive_scan_skips_the_rejects(spark, tmp_path):
     assert "ReadSchema: struct<order_id:string>" in text
 
 
+def test_customers_listed_twice_are_not_joined_to_single_orders(spark, messages):
+    single = customers(spark, [(1, "a", "b"), (2, "a", "b"), (None, "x", "y"), (None, "x", "y")])
+    double = customers(spark, [(1, "a", "b"), (1, "a", "b")])
+    assert operators(totals_from_messages(messages, single)).count("Exchange") == 1
+    names = operators(totals_from_messages(messages, double))
+    join = next(n for n, name in enumerate(names) if name.endswith("Join"))
+    # Orders are summed by customer below the join.
+    assert "HashAggregate" in names[join:]
+
+
 # Hot keys: a third of all rows belong to one customer, order or group of copies.
 
 

@@ -3,6 +3,7 @@
 import json
 import random
 import time
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -133,6 +134,23 @@ def test_batches_limited_by_size(spark, tmp_path):
     assert tuples(kpi_current(place.history())) == [(*GOOGLE, 3.0)]
 
 
+def test_join_wider_than_the_state(spark, tmp_path):
+    place = Place(spark, tmp_path, broadcast_bytes=0, join_partitions=7, state_partitions=2)
+    place.land(order(1.0, 1), order(2.0, 2))
+    place.totals()
+    assert place.batch(0) == [(*GOOGLE, 1.0), (*TWITTER, 2.0)]
+    # A restart may change the join, not the state.
+    place.settings = replace(place.settings, join_partitions=3, state_partitions=None)
+    place.land(order(1.0, 1))
+    place.totals()
+    assert place.batch(1) == [(*GOOGLE, 2.0)]
+
+
+def test_run_needs_its_inputs(spark, tmp_path):
+    with pytest.raises(ValueError, match="source"):
+        run(spark, Place(spark, tmp_path).settings)
+
+
 def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     place = Place(spark, tmp_path)
     place.land(order(10.0, 1, "a"), "not json")
@@ -324,7 +342,7 @@ def test_backfill_replaces_the_history(spark, tmp_path):
     place.totals([(1, "Old", "ZZ")])
     backfill_totals(
         spark,
-        place.landing,
+        Landing(place.landing),
         write_customers(tmp_path / "customers.csv"),
         place.settings.history_path,
     )
