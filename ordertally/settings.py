@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 class Kafka:
     bootstrap_servers: str
     topic: str
-    starting_offsets: str = "latest"
+    starting_offsets: str = "latest"  # of a new checkpoint; an old one goes on where it was
     max_offsets_per_trigger: int | None = None
     min_partitions: int | None = None
     fail_on_data_loss: bool = True
