@@ -1,6 +1,6 @@
 from ordertally.operators.current import archive_current, kpi_current
-from ordertally.operators.dedup import dedup
-from ordertally.operators.enrich import enrich, unmatched
+from ordertally.operators.copies import dedup
+from ordertally.operators.customers import enrich, unmatched
 from ordertally.operators.sizes import fits_broadcast, is_small_lookup
 from ordertally.operators.totals import facts_of, totals_by_category, totals_by_source_state
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ordertally.functions.values import amount
 from ordertally.operators.combine import partial_sums
-from ordertally.operators.enrich import keyed
+from ordertally.operators.customers import keyed
 from ordertally.operators.sizes import BROADCAST_BYTES, is_small_lookup
 
 

@@ -21,9 +21,9 @@ def publish_files(messages: DataFrame, path: str) -> None:
 
 def publish_kafka(messages: DataFrame, kafka: Kafka) -> None:
     """Send messages to a topic. Needs the Kafka package at submit time."""
-    messages.select("value").write.format("kafka").options(
-        **{"kafka.bootstrap.servers": kafka.bootstrap_servers, "topic": kafka.topic}
-    ).save()
+    client = {name: v for name, v in kafka.options.items() if name.startswith("kafka.")}
+    target = {"kafka.bootstrap.servers": kafka.bootstrap_servers, "topic": kafka.topic}
+    messages.select("value").write.format("kafka").options(**client, **target).save()
 
 
 def publish_orders_csv(spark: SparkSession, orders_path: str, target: str | Kafka) -> None:

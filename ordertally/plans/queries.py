@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ordertally.functions.messages import decode, encode
 from ordertally.operators.current import archive_current as current_orders
 from ordertally.operators.current import kpi_current
-from ordertally.operators.enrich import enrich, unmatched
+from ordertally.operators.customers import enrich, unmatched
 from ordertally.operators.totals import facts_of, totals_by_category
 from ordertally.plans.jobs import backfill_totals, publish_files, publish_orders_csv
 from ordertally.plans.totals import totals_from_messages

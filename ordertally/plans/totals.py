@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ordertally.functions.messages import decode
-from ordertally.operators.dedup import dedup
+from ordertally.operators.copies import dedup
 from ordertally.operators.sizes import BROADCAST_BYTES
 from ordertally.operators.totals import facts_of, totals_by_source_state
 

@@ -16,6 +16,8 @@ class Kafka:
     max_offsets_per_trigger: int | None = None
     min_partitions: int | None = None
     fail_on_data_loss: bool = True
+    # Further options of the source, such as kafka.security.protocol.
+    options: Mapping[str, str] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -25,6 +27,8 @@ class Landing:
     path: str
     max_files_per_trigger: int | None = None
     max_bytes_per_trigger: int | None = None
+    # Further options of the source, such as cleanSource for a directory that grows.
+    options: Mapping[str, str] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -51,13 +55,16 @@ class Jdbc:
     user_variable: str = "MYSQL_USERNAME"
     password_variable: str = "MYSQL_PASSWORD"
     max_connections: int = 8
+    # Further options of reader and writer, such as batchsize.
+    options: Mapping[str, str] = field(default_factory=dict)
 
     def properties(self) -> dict[str, str]:
         secrets = {
             "user": os.environ.get(self.user_variable),
             "password": os.environ.get(self.password_variable),
         }
-        return {"driver": self.driver, **{k: v for k, v in secrets.items() if v is not None}}
+        known = {name: value for name, value in secrets.items() if value is not None}
+        return {"driver": self.driver, **known, **self.options}
 
 
 @dataclass(frozen=True)

@@ -24,7 +24,7 @@ def kafka_options(kafka: Kafka) -> dict[str, str]:
         options["maxOffsetsPerTrigger"] = str(kafka.max_offsets_per_trigger)
     if kafka.min_partitions is not None:
         options["minPartitions"] = str(kafka.min_partitions)
-    return options
+    return {**options, **kafka.options}
 
 
 def kafka_stream(spark: SparkSession, kafka: Kafka) -> DataFrame:
@@ -62,7 +62,7 @@ def _messages(files: DataFrame, arrival: bool) -> DataFrame:
 
 def file_stream(spark: SparkSession, landing: Landing, arrival: bool = True) -> DataFrame:
     """Messages of a directory of Parquet files, each new file read once."""
-    reader = spark.readStream.schema(MESSAGE_FILE)
+    reader = spark.readStream.schema(MESSAGE_FILE).options(**landing.options)
     if landing.max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", landing.max_files_per_trigger)
     if landing.max_bytes_per_trigger is not None:

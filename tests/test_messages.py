@@ -112,3 +112,5 @@ def test_kafka_options():
     assert limited["startingOffsets"] == "earliest"
     assert limited["maxOffsetsPerTrigger"] == "10"
     assert limited["minPartitions"] == "4"
+    secured = kafka_options(Kafka("h:1", "t", options={"kafka.security.protocol": "SSL"}))
+    assert secured["kafka.security.protocol"] == "SSL"

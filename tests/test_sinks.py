@@ -5,6 +5,7 @@ from datetime import datetime
 
 import pytest
 
+from ordertally.plans.jobs import publish_kafka
 from ordertally.schemas import HISTORY, ORDER_FIELDS
 from ordertally.settings import (
     Cassandra,
@@ -26,12 +27,17 @@ JDBC = Jdbc("jdbc:x:y", "totals", "a.Driver")
 def table(spark, tmp_path, monkeypatch):
     """A Parquet table in the place of the database table."""
     path = f"{tmp_path}/table"
-    monkeypatch.setattr(sinks, "append_jdbc", lambda rows, _: rows.write.mode("append").parquet(path))
-    monkeypatch.setattr(
-        sinks, "read_history_jdbc", lambda spark, _: spark.read.schema(HISTORY).parquet(path)
-    )
+
+    def append(rows, _):
+        rows.write.mode("append").parquet(path)
+
+    def read(*_):
+        return spark.read.schema(HISTORY).parquet(path)
+
+    monkeypatch.setattr(sinks, "append_jdbc", append)
+    monkeypatch.setattr(sinks, "read_history_jdbc", read)
     sinks.create_history_jdbc(spark, JDBC)
-    return lambda: spark.read.schema(HISTORY).parquet(path)
+    return read
 
 
 def totals(spark, *rows):
@@ -85,6 +91,27 @@ def test_cassandra_gets_accepted_orders_as_text(spark, tmp_path, monkeypatch):
     assert [(bytes(r["value"]), r["batch_id"]) for r in refused] == [(b"not json", 3)]
 
 
+def test_publish_kafka(spark, monkeypatch):
+    saved = []
+    monkeypatch.setattr(
+        "pyspark.sql.readwriter.DataFrameWriter.options",
+        lambda self, **options: saved.append((self._df.columns, options)) or self,
+    )
+    monkeypatch.setattr("pyspark.sql.readwriter.DataFrameWriter.save", lambda self: None)
+    kafka = Kafka("h:1", "orders", options={"kafka.security.protocol": "SSL", "groupIdPrefix": "x"})
+    publish_kafka(messages(spark, "{}"), kafka)
+    assert saved == [
+        (
+            ["value"],
+            {
+                "kafka.bootstrap.servers": "h:1",
+                "topic": "orders",
+                "kafka.security.protocol": "SSL",
+            },
+        )
+    ]
+
+
 def test_settings_from_a_config_file(monkeypatch):
     config = {
         "kafka": {"topic": "orders", "bootstrap_server": "localhost:9092"},

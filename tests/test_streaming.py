@@ -134,6 +134,17 @@ def test_batches_limited_by_size(spark, tmp_path):
     assert tuples(kpi_current(place.history())) == [(*GOOGLE, 3.0)]
 
 
+def test_landing_options(spark, tmp_path):
+    place = Place(spark, tmp_path)
+    place.land(order(1.0, 1))
+    options = {"cleanSource": "delete"}
+    for _ in range(3):  # a file is removed some batches after it was read
+        place.totals(options=options)
+        place.land(order(1.0, 1))
+    place.totals(options=options)
+    assert tuples(kpi_current(place.history())) == [(*GOOGLE, 4.0)]
+
+
 def test_join_wider_than_the_state(spark, tmp_path):
     place = Place(spark, tmp_path, broadcast_bytes=0, join_partitions=7, state_partitions=2)
     place.land(order(1.0, 1), order(2.0, 2))
