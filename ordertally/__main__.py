@@ -11,7 +11,9 @@ from ordertally.streaming.jobs import ProgressLog, run, wait
 
 
 def main(config_path: str) -> None:
-    spark = SparkSession.builder.appName("ordertally").getOrCreate()
+    # FAIR, so that the archive's tasks do not hold up the totals.
+    builder = SparkSession.builder.appName("ordertally").config("spark.scheduler.mode", "FAIR")
+    spark = builder.getOrCreate()
     # Session times are UTC, like the times in the tables.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.streams.addListener(ProgressLog())

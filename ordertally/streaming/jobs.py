@@ -7,7 +7,7 @@ from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ordertally.plans.totals import totals_from_messages
 from ordertally.settings import Settings
@@ -25,6 +25,8 @@ from ordertally.streaming.sinks import (
 
 log = logging.getLogger(__name__)
 
+POOL = "spark.scheduler.pool"
+
 # For state that grows with the number of orders instead of the number of groups.
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -52,18 +54,27 @@ def session_conf(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]
                 spark.conf.set(name, value)
 
 
-def _writer(
-    df: DataFrame, name: str, each_batch: BatchFunction, checkpoint: str, trigger: str | None
-) -> DataStreamWriter:
+def _start(
+    df: DataFrame, name: str, each_batch: BatchFunction, settings: Settings
+) -> StreamingQuery:
     writer = (
         df.writeStream.queryName(name)
         .outputMode("update")
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", f"{settings.checkpoint_root}/{name}")
         .foreachBatch(each_batch)
     )
-    if trigger is None:
-        return writer.trigger(availableNow=True)
-    return writer.trigger(processingTime=trigger)
+    if settings.trigger is None:
+        writer = writer.trigger(availableNow=True)
+    else:
+        writer = writer.trigger(processingTime=settings.trigger)
+    # A pool of its own: with the FAIR scheduler no query waits for the other's tasks.
+    context = df.sparkSession.sparkContext
+    before = context.getLocalProperty(POOL)
+    context.setLocalProperty(POOL, name)
+    try:
+        return writer.start()
+    finally:
+        context.setLocalProperty(POOL, before)
 
 
 def start_archive(messages: DataFrame, settings: Settings) -> StreamingQuery:
@@ -72,13 +83,7 @@ def start_archive(messages: DataFrame, settings: Settings) -> StreamingQuery:
         each_batch = to_cassandra(settings.cassandra, settings.archive_path)
     else:
         each_batch = to_archive(settings.archive_path)
-    return _writer(
-        archive_rows(messages, settings.keep_raw),
-        "archive",
-        each_batch,
-        f"{settings.checkpoint_root}/archive",
-        settings.trigger,
-    ).start()
+    return _start(archive_rows(messages, settings.keep_raw), "archive", each_batch, settings)
 
 
 def start_totals(
@@ -103,9 +108,7 @@ def start_totals(
     if settings.state_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(settings.state_partitions)
     with session_conf(spark, conf):
-        return _writer(
-            totals, "totals", each_batch, f"{settings.checkpoint_root}/totals", settings.trigger
-        ).start()
+        return _start(totals, "totals", each_batch, settings)
 
 
 def run(spark: SparkSession, settings: Settings) -> list[StreamingQuery]:
