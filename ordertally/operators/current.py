@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# From the last write to the first; the last two tell messages of one moment apart.
+LAST_FIRST = ("batch_id", "timestamp", "position", "origin")
+
+
 def archive_current(archive: DataFrame) -> DataFrame:
     """The last written version of each order.
 
-    An aggregate, not a window: versions of one order are reduced before the
-    shuffle, however many there are.
+    As the first of a ranking: each task keeps one version of an order before the
+    shuffle, however many there are, and sorts plain rows (an aggregate of whole
+    rows sorts and copies structs).
     """
-    last = F.struct("batch_id", "timestamp", "position", "origin")
-    others = [name for name in archive.columns if name != "order_id"]
-    newest = F.max_by(F.struct(*others), last).alias("row")
-    return archive.groupBy("order_id").agg(newest).select("order_id", "row.*")
+    ranked = Window.partitionBy("order_id").orderBy(*(F.desc(name) for name in LAST_FIRST))
+    rank = F.row_number().over(ranked)
+    return archive.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
 def kpi_current(history: DataFrame, by_time: bool = False) -> DataFrame:

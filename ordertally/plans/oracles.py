@@ -77,9 +77,9 @@ ORACLES: dict[str, str] = {
     "decoded_orders": _ORDERS,
     "decoded_order_lines": """
         SELECT l_orderkey AS order_id, strftime(l_shipdate, '%Y-%m-%d') AS created_at,
-               l_partkey AS product_id, CAST(NULL AS BIGINT) AS customer_id,
+               l_partkey AS product_id, l_suppkey AS customer_id,
                l_discount AS discount, l_quantity AS quantity, l_extendedprice AS subtotal,
-               l_tax AS tax, CAST(NULL AS DOUBLE) AS total
+               l_tax AS tax, l_extendedprice + l_tax AS total
         FROM lineitem
     """,
     "decode_event_props": """

@@ -115,6 +115,7 @@ def solvent_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as orders with all nine fields; the supplier plays the customer."""
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_shipdate").alias("created_at"),
@@ -123,6 +124,8 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").alias("quantity"),
         F.col("l_extendedprice").alias("subtotal"),
         F.col("l_tax").alias("tax"),
+        (F.col("l_extendedprice") + F.col("l_tax")).alias("total"),
+        F.col("l_suppkey").alias("customer_id"),
         F.col("l_shipdate").alias("timestamp"),
     )
 
@@ -295,7 +298,7 @@ def decoded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decoded_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All nine fields; the two that lines lack stay NULL."""
+    """All nine fields there and back."""
     orders = decode(encode(lines(spark, sf_dir)))
     numbers = ["discount", "quantity", "subtotal", "tax", "total"]
     return orders.select(
@@ -328,9 +331,7 @@ def orders_csv_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = new_workspace(spark)
-    texts = lines(spark, sf_dir).drop("timestamp")
-    missing = {c: F.lit(None).cast("string") for c in ORDER_FIELDS if c not in texts.columns}
-    texts.withColumns(missing).write.csv(f"{work}/orders", header=True)
+    lines(spark, sf_dir).drop("timestamp").write.csv(f"{work}/orders", header=True)
     orders = read_orders_csv(spark, f"{work}/orders")
     return orders.select(
         F.col("order_id").cast("bigint").alias("order_id"),

@@ -96,8 +96,13 @@ def test_current_views_reduce_before_the_shuffle(spark, tmp_path):
     history = spark.createDataFrame([], HISTORY)
     assert "partial_max_by" in plan(kpi_current(history))
     assert "SortAggregate" not in operators(kpi_current(history))
-    archive = spark.createDataFrame([], ARCHIVE)
-    assert "partial_max_by" in plan(archive_current(archive))
+    rows = spark.createDataFrame([(None,) * len(ARCHIVE)], ARCHIVE)
+    rows.withColumn("batch_id", F.lit(0)).write.partitionBy("batch_id", "kind").parquet(
+        f"{tmp_path}/archive"
+    )
+    names = operators(archive_current(read_archive(spark, f"{tmp_path}/archive")))
+    before = names[names.index("Exchange") + 1 :]
+    assert before[0] == "WindowGroupLimit"
 
 
 def test_archive_scan_skips_the_rejects(spark, tmp_path):
@@ -183,6 +188,23 @@ def test_partial_sums_keep_nulls_apart(spark):
     ]
 
 
+def test_current_version_of_a_hot_order(spark):
+    """A third of the archive are versions of one order."""
+    n = F.col("id")
+    rows = spark.range(0, 30_000, numPartitions=8).select(
+        F.when(n % 3 == 0, "hot").otherwise(n.cast("string")).alias("order_id"),
+        n.alias("total"),
+        F.lit(0).alias("batch_id"),
+        F.lit(None).cast("timestamp").alias("timestamp"),
+        n.alias("position"),
+        F.lit("t-0").alias("origin"),
+    )
+    current = archive_current(rows)
+    assert current.count() == 20_001
+    assert current.where("order_id = 'hot'").first()["total"] == 29_997
+    assert current.columns == rows.columns
+
+
 def test_copies_reach_the_shuffle_as_few_rows(spark):
     copies = spark.range(0, 30_000, numPartitions=8).select(
         F.when(F.col("id") % 3 == 0, "a").otherwise(F.col("id").cast("string")).alias("order_id"),
