@@ -25,8 +25,14 @@ def read_customers(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_orders_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Orders to publish, the nine fields as text in contract order."""
-    return _csv_by_name(spark, path).select(*ORDER_FIELDS)
+    """Orders to publish, the nine fields as text in contract order; absent ones NULL."""
+    table = _csv_by_name(spark, path)
+    return table.select(
+        *(
+            F.col(name) if name in table.columns else F.lit(None).cast("string").alias(name)
+            for name in ORDER_FIELDS
+        )
+    )
 
 
 def read_products(spark: SparkSession, path: str) -> DataFrame:

@@ -111,11 +111,19 @@ def start_totals(
         return _start(totals, "totals", each_batch, settings)
 
 
-def run(spark: SparkSession, settings: Settings) -> list[StreamingQuery]:
-    """Start both queries on the configured source and customer file."""
-    if settings.source is None or settings.customers_path is None:
-        raise ValueError("give source and customers_path")
-    customers = read_customers(spark, settings.customers_path)
+def run(
+    spark: SparkSession, settings: Settings, customers: DataFrame | None = None
+) -> list[StreamingQuery]:
+    """Start both queries on the configured source.
+
+    Customers come from the configured file, or from any other table handed in.
+    """
+    if settings.source is None:
+        raise ValueError("give source")
+    if customers is None:
+        if settings.customers_path is None:
+            raise ValueError("give customers_path or customers")
+        customers = read_customers(spark, settings.customers_path)
     archive = start_archive(message_stream(spark, settings.source), settings)
     messages = message_stream(spark, settings.source, arrival=settings.dedup)
     return [archive, start_totals(messages, customers, settings)]

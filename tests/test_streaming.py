@@ -111,10 +111,12 @@ def random_orders(count, seed=1):
     ]
 
 
+@pytest.mark.parametrize("limit", [0, 2**20], ids=["shuffled", "broadcast"])
 @pytest.mark.parametrize("files", [1, 2, 7])
-def test_stream_equals_batch(spark, tmp_path, files):
-    place = Place(spark, tmp_path)
-    orders = random_orders(200)
+def test_stream_equals_batch(spark, tmp_path, files, limit):
+    place = Place(spark, tmp_path, broadcast_bytes=limit)
+    # A third of the orders belong to one customer.
+    orders = random_orders(200) + [order(1, 2, f"hot{n}") for n in range(100)]
     for part in range(files):
         place.land(*orders[part::files])
     place.totals(max_files_per_trigger=1)
@@ -158,8 +160,19 @@ def test_join_wider_than_the_state(spark, tmp_path):
 
 
 def test_run_needs_its_inputs(spark, tmp_path):
+    settings = Place(spark, tmp_path).settings
     with pytest.raises(ValueError, match="source"):
-        run(spark, Place(spark, tmp_path).settings)
+        run(spark, settings)
+    with pytest.raises(ValueError, match="customers"):
+        run(spark, replace(settings, source=Landing(f"{tmp_path}/landing")))
+
+
+def test_run_with_customers_of_any_kind(spark, tmp_path):
+    place = Place(spark, tmp_path)
+    place.land(order(10.0, 1, "a"))
+    settings = replace(place.settings, source=Landing(place.landing))
+    wait(spark, run(spark, settings, customers(spark, SHOPPERS)))
+    assert place.batch(0) == [(*GOOGLE, 10.0)]
 
 
 def test_a_replayed_batch_changes_nothing(spark, tmp_path):

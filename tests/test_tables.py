@@ -63,6 +63,12 @@ def test_publish_orders_csv(spark, tmp_path):
     assert decoded.select("origin", "position").distinct().count() == 2
 
 
+def test_orders_csv_without_some_fields(spark, tmp_path):
+    path = write(tmp_path / "orders.csv", "total,customer_id\n1.5,7\n")
+    (row,) = read_orders_csv(spark, path).collect()
+    assert (row["total"], row["customer_id"], row["order_id"]) == ("1.5", "7", None)
+
+
 def archived(spark, rows):
     blank = {f.name: None for f in ARCHIVE.fields}
     full = [tuple({**blank, "timestamp": NOON, "origin": "t-0", **row}.values()) for row in rows]
