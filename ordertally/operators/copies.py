@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ordertally.operators.combine import drop_near_copies
 
 _GAP = "_without_id"
+_SEEN = "_seen_at"
 
 
 def dedup(orders: DataFrame, within: str | None = None) -> DataFrame:
@@ -17,8 +18,8 @@ def dedup(orders: DataFrame, within: str | None = None) -> DataFrame:
     columns first: with fixed-width values a batch plan stays a hash aggregate.
 
     A stream keeps every id as state. With `within`, such as "2 days", it forgets
-    ids that much older than the newest message, and a later copy counts again;
-    the column `timestamp` is needed then.
+    an id that long after it was seen, and a later copy counts again. The time is
+    that of the micro-batch, not of the message: no message is ever too late.
     """
     # Rows without an id get a name of their own instead.
     gap = F.when(F.col("order_id").isNull(), F.concat_ws("@", "origin", "position"))
@@ -27,6 +28,6 @@ def dedup(orders: DataFrame, within: str | None = None) -> DataFrame:
     if orders.isStreaming:
         named = drop_near_copies(named, keys)
         if within is not None:
-            named = named.withWatermark("timestamp", within)
-            return named.dropDuplicatesWithinWatermark(keys).drop(_GAP)
+            named = named.withColumn(_SEEN, F.current_timestamp()).withWatermark(_SEEN, within)
+            return named.dropDuplicatesWithinWatermark(keys).drop(_GAP, _SEEN)
     return named.dropDuplicates(keys).drop(_GAP)

@@ -21,10 +21,9 @@ def totals_from_messages(
     """Sum of order totals by source and state of the customer."""
     if dedup_orders:
         orders = decode(messages, ["order_id", "customer_id", "total"])
-        facts = facts_of(orders, "customer_id", "order_id", "timestamp", "origin", "position")
+        facts = facts_of(orders, "customer_id", "order_id", "origin", "position")
         # Messages that cannot count must not fill the shuffle and the state.
-        facts = facts.where("customer_id IS NOT NULL")
-        facts = dedup(facts if within else facts.drop("timestamp"), within)
+        facts = dedup(facts.where("customer_id IS NOT NULL"), within)
     else:
         facts = facts_of(decode(messages, ["customer_id", "total"]), "customer_id")
     return totals_by_source_state(facts, customers, broadcast_bytes, join_partitions)

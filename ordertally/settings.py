@@ -83,7 +83,8 @@ class Settings:
     keep_raw: bool = False
     trigger: str | None = "15 seconds"  # None: take what is there, then end
     console: bool = False
-    # Count a redelivered order once; with a time span, forget ids after that span.
+    # Count a redelivered order once; with a time span, forget ids that long after
+    # they arrived.
     dedup: bool = False
     dedup_within: str | None = None
     # Largest measured customer table that is sent to every executor.

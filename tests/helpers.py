@@ -22,10 +22,11 @@ CUSTOMERS = [(1, "Google", "TX"), (2, "Twitter", "CA"), (1, "Dup", "NY")]
 CUSTOMER_COLUMNS = "customer_id bigint, source string, state string"
 
 
-def messages(spark, *values):
+def messages(spark, *values, timestamp=NOON):
     """Raw texts (or bytes, or None) as messages."""
     rows = [
-        (v.encode() if isinstance(v, str) else v, NOON, "t-0", n) for n, v in enumerate(values)
+        (v.encode() if isinstance(v, str) else v, timestamp, "t-0", n)
+        for n, v in enumerate(values)
     ]
     return spark.createDataFrame(rows, MESSAGES)
 
@@ -39,9 +40,9 @@ def customers(spark, rows=CUSTOMERS):
     return spark.createDataFrame(rows, CUSTOMER_COLUMNS)
 
 
-def land(spark, path, *values):
+def land(spark, path, *values, timestamp=NOON):
     """Add messages to a landing directory, as one file."""
-    batch = messages(spark, *values).select("value", "timestamp")
+    batch = messages(spark, *values, timestamp=timestamp).select("value", "timestamp")
     batch.coalesce(1).write.mode("append").parquet(path)
 
 

@@ -4,6 +4,7 @@ import json
 import random
 import time
 from dataclasses import replace
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from ordertally.sources import (
 from ordertally.__main__ import main
 from ordertally.streaming import ProgressLog, run, start_archive, start_totals, wait
 from ordertally.streaming.jobs import session_conf
-from tests.helpers import customers, land, order, tuples
+from tests.helpers import NOON, customers, land, order, tuples
 
 SHOPPERS = [(1, "Google", "TX"), (2, "Twitter", "CA"), (3, "Google", "TX")]
 GOOGLE, TWITTER = ("Google", "TX"), ("Twitter", "CA")
@@ -42,8 +43,8 @@ class Place:
             **options,
         )
 
-    def land(self, *values):
-        land(self.spark, self.landing, *values)
+    def land(self, *values, timestamp=NOON):
+        land(self.spark, self.landing, *values, timestamp=timestamp)
 
     def stream(self, **limits):
         return file_stream(self.spark, Landing(self.landing, **limits))
@@ -213,6 +214,24 @@ def test_stream_dedup_within(spark, tmp_path):
     assert tuples(kpi_current(place.history())) == [(*TWITTER, 4.0)]
 
 
+def test_stream_dedup_takes_messages_of_any_age(spark, tmp_path):
+    place = Place(spark, tmp_path, dedup=True, dedup_within="1 second")
+    ages = (NOON, datetime(2039, 1, 1), datetime(1999, 1, 1), datetime(2000, 1, 1))
+    for n, timestamp in enumerate(ages):
+        place.land(order(1, 2, f"order {n}"), timestamp=timestamp)
+        place.totals()
+    assert tuples(kpi_current(place.history())) == [(*TWITTER, 4.0)]
+
+
+def test_stream_dedup_forgets(spark, tmp_path):
+    place = Place(spark, tmp_path, dedup=True, dedup_within="1 second")
+    for order_id in ("a", "b", "c", "a"):
+        place.land(order(1, 2, order_id))
+        place.totals()
+        time.sleep(2.5)
+    assert tuples(kpi_current(place.history())) == [(*TWITTER, 4.0)]
+
+
 def test_archive(spark, tmp_path):
     place = Place(spark, tmp_path)
     place.land(order(10.50, 1, "a"), "not json", order(1, 1), "", b"\xff")
