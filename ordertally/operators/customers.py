@@ -20,25 +20,44 @@ def keyed(table: DataFrame, key: str = "customer_id") -> DataFrame:
     return table.withColumn(key, customer_key(F.col(key).cast("string")))
 
 
-def _sized(table: DataFrame, limit: int) -> DataFrame:
-    return F.broadcast(table) if fits_broadcast(table, limit) else table
+_SALT = "_salt"
+
+
+def _join(orders: DataFrame, table: DataFrame, how: str, limit: int, ways: int) -> DataFrame:
+    if fits_broadcast(table, limit):
+        return orders.join(F.broadcast(table), "customer_id", how)
+    if ways == 1:
+        return orders.join(table, "customer_id", how)
+    # By content, not at random, so that a task that runs again sends rows the same way.
+    salt = F.pmod(F.xxhash64(*orders.columns), F.lit(ways).cast("bigint"))
+    every = F.sequence(F.lit(0).cast("bigint"), F.lit(ways - 1).cast("bigint"))
+    salted = orders.withColumn(_SALT, salt)
+    copies = table.withColumn(_SALT, F.explode(every))
+    return salted.join(copies, ["customer_id", _SALT], how).drop(_SALT)
 
 
 def enrich(
-    orders: DataFrame, customers: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
+    orders: DataFrame,
+    customers: DataFrame,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    ways: int = 1,
 ) -> DataFrame:
     """Orders with the columns of their customer; orders without one drop out.
 
     A customer listed twice gives two rows. Beyond `broadcast_bytes` both sides
     are shuffled, and adaptive execution splits a customer with very many orders.
+    Where it is not at work, as in streams, `ways` splits the orders of each
+    customer, at the price of as many copies of the customers.
     """
-    customers = keyed(customers)
-    return keyed(orders).join(_sized(customers, broadcast_bytes), "customer_id")
+    return _join(keyed(orders), keyed(customers), "inner", broadcast_bytes, ways)
 
 
 def unmatched(
-    orders: DataFrame, customers: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
+    orders: DataFrame,
+    customers: DataFrame,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    ways: int = 1,
 ) -> DataFrame:
     """The orders `enrich` drops, those without a usable key included."""
     known = keyed(customers).select("customer_id")
-    return keyed(orders).join(_sized(known, broadcast_bytes), "customer_id", "left_anti")
+    return _join(keyed(orders), known, "left_anti", broadcast_bytes, ways)

@@ -37,6 +37,11 @@ _ENRICHED = f"""
 SELECT o_orderkey AS order_id, c_mktsegment AS source, n_name AS state FROM {_BASE}
 """
 
+_UNMATCHED = """
+SELECT o_orderkey AS order_id FROM orders
+WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)
+"""
+
 _BATCH = (
     "CASE "
     + " ".join(f"WHEN o_orderdate < TIMESTAMP '{cut}' THEN {n}" for n, cut in enumerate(CUTS))
@@ -104,10 +109,10 @@ ORACLES: dict[str, str] = {
     """,
     "enriched_orders": _ENRICHED,
     "enriched_orders_large_dimension": _ENRICHED,
-    "unmatched_orders": """
-        SELECT o_orderkey AS order_id FROM orders
-        WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)
-    """,
+    "enriched_orders_spread": _ENRICHED,
+    "unmatched_orders": _UNMATCHED,
+    "unmatched_orders_large_dimension": _UNMATCHED,
+    "unmatched_orders_spread": _UNMATCHED,
     "archive_scan": _ORDERS,
     "rejected_messages": """
         SELECT text, CASE WHEN trim(text) = '' THEN 'empty' ELSE 'malformed' END AS reason

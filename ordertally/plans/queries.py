@@ -374,24 +374,43 @@ def products_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Join
 
 
-def enriched_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _enriched(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     orders = decode(order_messages(spark, sf_dir), ["order_id", "customer_id"])
-    joined = enrich(orders, customers(spark, sf_dir))
+    joined = enrich(orders, customers(spark, sf_dir), **options)
     return joined.select(F.col("order_id").cast("bigint").alias("order_id"), "source", "state")
 
 
+def enriched_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _enriched(spark, sf_dir)
+
+
 def enriched_orders_large_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = decode(order_messages(spark, sf_dir), ["order_id", "customer_id"])
-    joined = enrich(orders, customers(spark, sf_dir), broadcast_bytes=0)
-    return joined.select(F.col("order_id").cast("bigint").alias("order_id"), "source", "state")
+    return _enriched(spark, sf_dir, broadcast_bytes=0)
 
 
-def unmatched_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def enriched_orders_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders of each customer split among several tasks."""
+    return _enriched(spark, sf_dir, broadcast_bytes=0, ways=4)
+
+
+def _unmatched(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     orders = decode(order_messages(spark, sf_dir), ["order_id", "customer_id"])
-    lost = unmatched(orders, solvent_customers(spark, sf_dir))
+    lost = unmatched(orders, solvent_customers(spark, sf_dir), **options)
     return lost.select(F.col("order_id").cast("bigint").alias("order_id"))
 
 
+def unmatched_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _unmatched(spark, sf_dir)
+
+
+def unmatched_orders_large_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _unmatched(spark, sf_dir, broadcast_bytes=0)
+
+
+def unmatched_orders_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _unmatched(spark, sf_dir, broadcast_bytes=0, ways=4)
+
+
 # Archive
 
 
@@ -456,7 +475,10 @@ QUERIES: dict[str, Query] = {
         products_csv_scan,
         enriched_orders,
         enriched_orders_large_dimension,
+        enriched_orders_spread,
         unmatched_orders,
+        unmatched_orders_large_dimension,
+        unmatched_orders_spread,
         archive_scan,
         rejected_messages,
         archive_current,

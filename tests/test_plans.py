@@ -3,6 +3,7 @@
 import contextlib
 import io
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -169,6 +170,23 @@ def test_join_splits_a_hot_customer(spark, conf, operator):
     assert "skew=true" in plan(joined)
 
 
+@pytest.mark.parametrize("operator", [enrich, unmatched])
+def test_join_spreads_a_hot_customer_by_salt(spark, conf, operator):
+    conf(
+        spark__sql__adaptive__enabled="false",
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__shuffle__partitions="16",
+    )
+    dimension = thousand_customers(spark)
+    if operator is unmatched:
+        dimension = dimension.where("customer_id <> 7")
+    joined = operator(hot_orders(spark), dimension, broadcast_bytes=0, ways=16)
+    rows = joined.withColumn("task", F.spark_partition_id()).collect()
+    assert len({row["order_id"] for row in rows}) == len(rows) >= 10_000
+    hot = Counter(row["task"] for row in rows if row["customer_id"] == 7)
+    assert sum(hot.values()) >= 10_000 and max(hot.values()) < 5_000
+
+
 def test_hot_customer_reaches_the_shuffle_as_partial_sums(spark):
     facts = facts_of(hot_orders(spark), "customer_id")
     folded = partial_sums(facts, "customer_id", "amount")

@@ -82,14 +82,18 @@ def test_dedup_keeps_whole_rows(spark):
     assert kept["y"] == kept["x"] * 10
 
 
-@pytest.mark.parametrize("limit", [0, 2**20], ids=["shuffled", "broadcast"])
-def test_enriched_and_unmatched_orders_are_all_orders(spark, ansi, limit):
+@pytest.mark.parametrize(
+    "options",
+    [{"broadcast_bytes": 2**20}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "ways": 3}],
+    ids=["broadcast", "shuffled", "spread"],
+)
+def test_enriched_and_unmatched_orders_are_all_orders(spark, ansi, options):
     values = [order(1, 1, "a"), order(1, 2, "b"), order(1, 7, "c"), order(1, "x", "d")]
     orders = decode(messages(spark, *values, order(1, None, "e")))
     dimension = customers(spark)
-    found = enrich(orders, dimension, limit)
+    found = enrich(orders, dimension, **options)
     assert tuples(found.select("order_id", "state")) == [("a", "NY"), ("a", "TX"), ("b", "CA")]
-    lost = unmatched(orders, dimension, limit)
+    lost = unmatched(orders, dimension, **options)
     assert tuples(lost.select("order_id")) == [("c",), ("d",), ("e",)]
     assert found.columns.count("customer_id") == 1
 
