@@ -43,7 +43,10 @@ def backfill_totals(
     dedup_orders: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> None:
-    """Totals of all messages as batch 0, in place of whatever the history held."""
+    """Totals of all messages as batch 0, in place of whatever the history held.
+
+    For a history of its own: a running stream goes on from its own state.
+    """
     totals = totals_from_messages(
         message_batch(spark, source, arrival=dedup_orders),
         read_customers(spark, customers_path),

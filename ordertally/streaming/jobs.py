@@ -125,8 +125,12 @@ def run(
             raise ValueError("give customers_path or customers")
         customers = read_customers(spark, settings.customers_path)
     archive = start_archive(message_stream(spark, settings.source), settings)
-    messages = message_stream(spark, settings.source, arrival=settings.dedup)
-    return [archive, start_totals(messages, customers, settings)]
+    try:
+        messages = message_stream(spark, settings.source, arrival=settings.dedup)
+        return [archive, start_totals(messages, customers, settings)]
+    except BaseException:
+        archive.stop()
+        raise
 
 
 def wait(spark: SparkSession, queries: list[StreamingQuery]) -> None:

@@ -168,6 +168,15 @@ def test_run_needs_its_inputs(spark, tmp_path):
         run(spark, replace(settings, source=Landing(f"{tmp_path}/landing")))
 
 
+def test_run_starts_both_queries_or_none(spark, tmp_path):
+    place = Place(spark, tmp_path)
+    place.land(order(10.0, 1, "a"))
+    settings = replace(place.settings, source=Landing(place.landing), trigger="1 second")
+    with pytest.raises(Exception, match="customer_id"):
+        run(spark, settings, spark.createDataFrame([("a",)], "name string"))
+    assert spark.streams.active == []
+
+
 def test_run_with_customers_of_any_kind(spark, tmp_path):
     place = Place(spark, tmp_path)
     place.land(order(10.0, 1, "a"))
@@ -214,6 +223,37 @@ def test_stream_dedup_within(spark, tmp_path):
     assert tuples(kpi_current(place.history())) == [(*TWITTER, 4.0)]
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_dedup_by_hand(spark, tmp_path, seed):
+    """Redelivered, nameless, unreadable and customerless orders, in three landings."""
+    rng = random.Random(seed)
+    amounts = {f"id{n}": (rng.randint(1, 50), rng.choice([1, 2, 3, 9, "x"])) for n in range(60)}
+    deliveries = rng.choices([*amounts, *["id0"] * 30, None, "junk"], k=400)
+    texts, counted = [], {}
+    for n, name in enumerate(deliveries):
+        if name == "junk":
+            texts.append(f"{{junk {n}")
+            continue
+        total, customer = amounts.get(name) or (rng.randint(1, 50), rng.choice([1, 2]))
+        texts.append(order(total, customer, name))
+        counted[name or n] = (total, customer)
+    expected = {}
+    groups = {key: (source, state) for key, source, state in SHOPPERS}
+    for total, customer in counted.values():
+        if customer in groups:
+            expected[groups[customer]] = expected.get(groups[customer], 0) + total
+    wanted = sorted((*group, float(total)) for group, total in expected.items())
+
+    place = Place(spark, tmp_path, dedup=True)
+    for part in range(3):
+        place.land(*texts[part::3])
+        place.totals()
+    assert tuples(kpi_current(place.history())) == wanted
+    batch = file_batch(spark, place.landing)
+    at_once = totals_from_messages(batch, customers(spark, SHOPPERS), dedup_orders=True)
+    assert tuples(at_once) == wanted
+
+
 def test_stream_dedup_takes_messages_of_any_age(spark, tmp_path):
     place = Place(spark, tmp_path, dedup=True, dedup_within="1 second")
     ages = (NOON, datetime(2039, 1, 1), datetime(1999, 1, 1), datetime(2000, 1, 1))
