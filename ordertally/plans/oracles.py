@@ -59,6 +59,14 @@ ORACLES: dict[str, str] = {
         FROM {_BASE}
         GROUP BY 1, 2
     """,
+    "kpi_mixed_messages": _TOTALS,
+    "kpi_customers_listed_twice": f"""
+        SELECT c_mktsegment AS source, place AS state,
+               round(sum(o_totalprice), 2) AS total_sum_amount
+        FROM {_BASE} JOIN region ON n_regionkey = r_regionkey,
+          LATERAL (SELECT n_name AS place UNION ALL SELECT r_name)
+        GROUP BY 1, 2
+    """,
     "events_kpi": _EVENTS,
     "kpi_backfill": _TOTALS,
     "kpi_by_product": _BY_PRODUCT,

@@ -108,6 +108,18 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def customers_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = table(spark, sf_dir, "nation")
+    region = table(spark, sf_dir, "region")
+    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    customer = table(spark, sf_dir, "customer")
+    return customer.join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("c_custkey").alias("customer_id"),
+        F.col("c_mktsegment").alias("source"),
+        F.col("r_name").alias("state"),
+    )
+
+
 def solvent_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dimension that misses some customers: those in debt."""
     solvent = table(spark, sf_dir, "customer").where("c_acctbal >= 0")
@@ -207,6 +219,18 @@ def kpi_untidy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(totals_from_messages(encode(rows), customers(spark, sf_dir)))
 
 
+def kpi_mixed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts among the orders do not count."""
+    messages = mixed_messages(spark, sf_dir)
+    return rounded(totals_from_messages(messages, customers(spark, sf_dir)))
+
+
+def kpi_customers_listed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers by nation and again by region: an order counts in both groups."""
+    twice = customers(spark, sf_dir).unionByName(customers_by_region(spark, sf_dir))
+    return rounded(totals_from_messages(order_messages(spark, sf_dir), twice))
+
+
 def events_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = event_messages(spark, sf_dir)
     return rounded(totals_from_messages(messages, customers(spark, sf_dir)))
@@ -457,6 +481,8 @@ QUERIES: dict[str, Query] = {
         kpi_large_dimension,
         kpi_dedup,
         kpi_untidy,
+        kpi_mixed_messages,
+        kpi_customers_listed_twice,
         events_kpi,
         kpi_backfill,
         kpi_by_product,
