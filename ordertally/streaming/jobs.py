@@ -33,6 +33,8 @@ ROCKSDB = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # One limit per executor instead of one per partition; see rocksdb.maxMemoryUsageMB.
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     # Counting rows costs a lookup per new id.
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
