@@ -22,7 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordertally.llm.common import read_table, texts_of, work_folder
+from ordertally.llm.common import read_table, stored, texts_of, work_folder
+from ordertally.operators.sizes import fits_broadcast
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _LOG = "digest binary, size bigint, doc_id bigint"
@@ -95,15 +96,27 @@ def _same(one: str, other: str) -> Column:
 def decide(documents: DataFrame, folder: str) -> DataFrame:
     """For each row the one that stays, after a comparison of the texts of all hits."""
     spark = documents.sparkSession
-    groups = state(spark, folder)
+    groups = stored(state(spark, folder), f"{folder}/groups")
     log = spark.read.schema(_LOG).parquet(f"{folder}/log").select("digest", "doc_id")
     hits = groups.where("group_size > 1").select("digest", "keep_id", "group_size")
-    rows = with_digest(documents)
-    members = rows.join(hits, "digest")
+    # Texts of hits alone are moved: the others stay where the hits can be sent to them.
+    known = F.broadcast(hits) if fits_broadcast(hits) else hits
+    members = with_digest(documents).join(known, "digest")
     # The locator leads to one text for each digest.
     standing = members.where(_same("doc_id", "keep_id")).groupBy("digest")
     content = standing.agg(F.min("text").alias("content"))
-    checked = members.join(content, "digest").withColumn("equal", _same("text", "content"))
+    compared = members.join(content, "digest").withColumn("equal", _same("text", "content"))
+    checked = stored(
+        compared.select(
+            "doc_id",
+            "digest",
+            "keep_id",
+            "group_size",
+            "equal",
+            F.when(~F.col("equal"), F.col("text")).alias("text"),
+        ),
+        f"{folder}/checked",
+    )
     odd = checked.where("not equal")
     regrouped = odd.groupBy("digest", "text").agg(
         F.min("doc_id").alias("own_id"), F.count("*").alias("own_size")
