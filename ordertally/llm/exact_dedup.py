@@ -25,7 +25,14 @@ from pyspark.sql import functions as F
 from ordertally.llm.common import read_table, stored, texts_of, work_folder
 from ordertally.operators.sizes import fits_broadcast
 
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Each state partition is a small store of its own, so none sets disk space aside.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 _LOG = "digest binary, size bigint, doc_id bigint"
 _STATE = "digest binary, size bigint, keep_id bigint, group_size bigint"
 
@@ -64,8 +71,9 @@ def update_state(spark: SparkSession, folder: str) -> None:
     def append(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/versions/batch={batch_id}")
 
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    before = {name: spark.conf.get(name, None) for name in STATE_STORE}
+    for name, value in STATE_STORE.items():
+        spark.conf.set(name, value)
     try:
         query = (
             groups.writeStream.outputMode("update")
@@ -76,10 +84,11 @@ def update_state(spark: SparkSession, folder: str) -> None:
         )
         query.awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
-        else:
-            spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def state(spark: SparkSession, folder: str) -> DataFrame:
