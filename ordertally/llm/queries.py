@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from ordertally.llm.exact_dedup import OP3_SQL, op3_exact_dedup
 from ordertally.llm.fingerprints import op1_fingerprints
+from ordertally.llm.language import op10_language
 from ordertally.llm.mixing import op7_mixing
 from ordertally.llm.packing import op5_packing
+from ordertally.llm.quality import op4_quality
 from ordertally.llm.token_files import op8_token_ids
 from ordertally.llm.warc import op6_warc
 
@@ -14,10 +16,12 @@ QUERIES = {
     for query in (
         op1_fingerprints,
         op3_exact_dedup,
+        op4_quality,
         op5_packing,
         op6_warc,
         op7_mixing,
         op8_token_ids,
+        op10_language,
     )
 }
 ORACLES: dict[str, str] = {"op3_exact_dedup": OP3_SQL}
