@@ -8,6 +8,7 @@ from ordertally.llm.language import op10_language
 from ordertally.llm.mixing import op7_mixing
 from ordertally.llm.packing import op5_packing
 from ordertally.llm.quality import op4_quality
+from ordertally.llm.substrings import OP9_SQL, op9_substrings
 from ordertally.llm.token_files import op8_token_ids
 from ordertally.llm.warc import op6_warc
 
@@ -21,7 +22,8 @@ QUERIES = {
         op6_warc,
         op7_mixing,
         op8_token_ids,
+        op9_substrings,
         op10_language,
     )
 }
-ORACLES: dict[str, str] = {"op3_exact_dedup": OP3_SQL}
+ORACLES: dict[str, str] = {"op3_exact_dedup": OP3_SQL, "op9_substrings": OP9_SQL}
