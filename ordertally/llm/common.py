@@ -11,6 +11,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordertally.operators.sizes import fits_broadcast
 from ordertally.plans.workspace import new_workspace
 
 # Text that a Python worker handles at a time; a longer text is a slice of its own.
@@ -35,6 +36,24 @@ def stored(table: DataFrame, path: str) -> DataFrame:
     return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
+def marked_copies(documents: DataFrame, folder: str) -> DataFrame:
+    """Key and text; `whole` if another row has the same text, `first` if none of these has
+    a smaller key. Texts stay where they are unless the groups are too many to be sent."""
+    rows = texts_of(documents).withColumn("digest", F.sha1("text"))
+    groups = rows.groupBy("digest").agg(
+        F.min("doc_id").alias("first_id"), F.count("*").alias("copies")
+    )
+    copied = groups.where("copies > 1").select("digest", "first_id")
+    copied = stored(copied, f"{folder}/copied")
+    known = F.broadcast(copied) if fits_broadcast(copied) else copied
+    return rows.join(known, "digest", "left").select(
+        "doc_id",
+        "text",
+        F.col("first_id").isNotNull().alias("whole"),
+        F.col("doc_id").eqNullSafe(F.col("first_id")).alias("first"),
+    )
+
+
 def work_folder(spark: SparkSession) -> str:
     return new_workspace(spark)
 

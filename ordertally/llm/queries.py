@@ -8,6 +8,7 @@ from ordertally.llm.language import op10_language
 from ordertally.llm.mixing import op7_mixing
 from ordertally.llm.packing import op5_packing
 from ordertally.llm.quality import op4_quality
+from ordertally.llm.similarity import op2_similarity
 from ordertally.llm.substrings import OP9_SQL, op9_substrings
 from ordertally.llm.token_files import op8_token_ids
 from ordertally.llm.warc import op6_warc
@@ -16,6 +17,7 @@ QUERIES = {
     query.__name__: query
     for query in (
         op1_fingerprints,
+        op2_similarity,
         op3_exact_dedup,
         op4_quality,
         op5_packing,

@@ -10,10 +10,8 @@ window whose words also start anywhere else, in the same document or another.
    is repeated. What is left are windows among shared anchors, and the few without any.
 3. These windows are verified by a hash of all their words, compared across the corpus.
 
-Names and hashes are compared in the same way: a chunk of a task settles by itself what it
-holds twice and sends one row for each name, so that a passage in a third of all documents
-gives a row for each chunk and no more. Of documents with equal texts, one takes part; with
-a window of words at least, all of their words are repeated.
+Names and hashes are compared in the same way, see `matching`. Of documents with equal
+texts, one takes part; with a window of words at least, all of their words are repeated.
 
 Texts, names and windows are told apart by 64-bit hashes (equal texts by SHA-1). A null text
 has no words. Rows that repeat a key and a text repeat each other's words. Each text is
@@ -31,95 +29,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordertally.llm.common import read_table, slices, stored, texts_of, work_folder
+from ordertally.llm.common import marked_copies, read_table, slices, work_folder
+from ordertally.llm.matching import SENT, Chunk, repeated
 from ordertally.llm.recompression import Symbols, least_of_neighbours, recompress
 from ordertally.llm.words import Words, mixed, words_of
-from ordertally.operators.sizes import fits_broadcast
 
 WINDOW = 35
 ROUNDS, REACH = 3, 1
-# Names that a task compares by itself before it sends them.
-CHUNK = 2**20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _UNDO = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
-_SENT = "route bigint, name bigint, key bigint, place int, sure boolean"
 
 
-class Chunk:
-    """Names with their places, gathered from several batches."""
-
-    def __init__(self):
-        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self.size = 0
-
-    def add(self, names: np.ndarray, keys: np.ndarray, places: np.ndarray) -> None:
-        self.parts.append((names, keys, places))
-        self.size += len(names)
-
-    def close(self) -> Iterator[pa.RecordBatch]:
-        """One row for each name, and a sure one for each place of a name seen twice."""
-        if not self.size:
-            return
-        names, keys, places = (np.concatenate(column) for column in zip(*self.parts, strict=True))
-        self.parts, self.size = [], 0
-        _, index, inverse, counts = np.unique(
-            names, return_index=True, return_inverse=True, return_counts=True
-        )
-        again = np.flatnonzero(counts[inverse] > 1)
-        names = names.view(np.int64)
-        columns = [
-            np.concatenate((names[index], keys[again])),
-            np.concatenate((names[index], np.zeros(len(again), np.int64))),
-            np.concatenate((keys[index], keys[again])),
-            np.concatenate((places[index], places[again])).astype(np.int32),
-            np.arange(len(index) + len(again)) >= len(index),
-        ]
-        whole = pa.RecordBatch.from_arrays(
-            [pa.array(column) for column in columns], ["route", "name", "key", "place", "sure"]
-        )
-        for start in range(0, whole.num_rows, 2**16):
-            yield whole.slice(start, 2**16)
-
-
-def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Places of names that stand in two rows at least; rows are sorted, sure ones last."""
-    name = key = place = None  # of the last row, if it has not been passed on
-    seen = None  # its name
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        names = batch.column("name").to_numpy()
-        keys = batch.column("key").to_numpy()
-        places = batch.column("place").to_numpy()
-        keep = batch.column("sure").to_numpy(zero_copy_only=False).copy()
-        open_rows = ~keep
-        equal = (names[1:] == names[:-1]) & open_rows[1:] & open_rows[:-1]
-        keep[1:] |= equal
-        keep[:-1] |= equal
-        found_keys, found_places = [keys[:0]], [places[:0]]
-        if open_rows[0] and seen == names[0]:
-            keep[0] = True
-            if name is not None:
-                found_keys.append(np.array([key], dtype=np.int64))
-                found_places.append(np.array([place], dtype=np.int32))
-        found_keys.append(keys[keep])
-        found_places.append(places[keep])
-        if open_rows[-1]:
-            seen = names[-1]
-            name, key, place = (None,) * 3 if keep[-1] else (seen, keys[-1], places[-1])
-        else:
-            seen = name = None
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(found_keys)), pa.array(np.concatenate(found_places))],
-            ["key", "place"],
-        )
-
-
-def repeated(sent: DataFrame) -> DataFrame:
+def places_of(sent: DataFrame) -> DataFrame:
     """For each key the places of names that occur more than once."""
-    dealt = sent.repartition("route").sortWithinPartitions("sure", "name")
-    found = dealt.mapInArrow(_matches, "key bigint, place int")
-    return found.groupBy("key").agg(F.collect_set("place").alias("places"))
+    return repeated(sent).groupBy("key").agg(F.collect_set("place").alias("places"))
 
 
 def _anchors(words: Words, hashes: np.ndarray, window: int) -> Symbols:
@@ -165,8 +88,7 @@ def remove_repeats(documents: DataFrame, folder: str, window: int = WINDOW) -> D
             firsts = np.cumsum(counts) - counts
             keys = batch.column("key").to_numpy()
             places = np.arange(len(anchors.names)) - firsts[anchors.text]
-            chunk.add(anchors.names, keys[anchors.text], places)
-            if chunk.size >= CHUNK:
+            if chunk.add(anchors.names, keys[anchors.text], places):
                 yield from chunk.close()
         yield from chunk.close()
 
@@ -189,8 +111,7 @@ def remove_repeats(documents: DataFrame, folder: str, window: int = WINDOW) -> D
             text = np.searchsorted(words.first, starts, "right") - 1
             keys = batch.column("key").to_numpy()
             names = _window_hashes(hashes, starts, window)
-            chunk.add(names, keys[text], starts - words.first[text])
-            if chunk.size >= CHUNK:
+            if chunk.add(names, keys[text], starts - words.first[text]):
                 yield from chunk.close()
         yield from chunk.close()
 
@@ -222,25 +143,14 @@ def remove_repeats(documents: DataFrame, folder: str, window: int = WINDOW) -> D
             )
 
     shape = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
-    rows = texts_of(documents).withColumn("digest", F.sha1("text"))
-    groups = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
-    copied = groups.where("copies > 1").select("digest", "first_id")
-    copied = stored(copied, f"{folder}/copied")
-    known = F.broadcast(copied) if fits_broadcast(copied) else copied
-    marked = rows.join(known, "digest", "left").select(
-        F.xxhash64("doc_id", "text").alias("key"),
-        "doc_id",
-        "text",
-        F.col("first_id").isNotNull().alias("whole"),
-        F.col("doc_id").eqNullSafe(F.col("first_id")).alias("first"),
-    )
+    marked = marked_copies(documents, folder).withColumn("key", F.xxhash64("doc_id", "text"))
     # A group of copies without any key is left as it is: its rows repeat each other.
     active = marked.where("not whole or first").select("key", "doc_id", "text", "whole")
     others = marked.where("whole and not first").select("key", "doc_id", "text", "whole")
     dealt = active.repartition("key")
-    shared = repeated(active.select("key", "text").mapInArrow(send_anchors, _SENT))
-    sent = dealt.join(shared, "key", "left").mapInArrow(send_windows, _SENT)
-    unique = dealt.join(repeated(sent), "key", "left")
+    shared = places_of(active.select("key", "text").mapInArrow(send_anchors, SENT))
+    sent = dealt.join(shared, "key", "left").mapInArrow(send_windows, SENT)
+    unique = dealt.join(places_of(sent), "key", "left")
     nothing = others.withColumn("places", F.lit(None).cast("array<int>"))
     return unique.mapInArrow(finish, shape).union(nothing.mapInArrow(finish, shape))
 
