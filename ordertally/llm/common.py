@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -22,14 +22,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def texts_of(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def texts_of(
+    documents: DataFrame, key: str = "doc_id", text: str = "text", more: Sequence[str] = ()
+) -> DataFrame:
     """Key and text alone, whatever else the table holds; a null text is empty."""
     return documents.select(
         F.col(key).cast("bigint").alias("doc_id"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
+        *more,
     )
 
 
+def without(rows: DataFrame, dropped: DataFrame, on: list[str]) -> DataFrame:
+    """The rows that are not dropped; they stay where they are if the others can be sent."""
+    gone = F.broadcast(dropped) if fits_broadcast(dropped) else dropped
+    return rows.join(gone, on, "left_anti")
+
+
 def stored(table: DataFrame, path: str) -> DataFrame:
     """The table written below the shared folder, and read from there: lineage ends here."""
     table.write.parquet(path)

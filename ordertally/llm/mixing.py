@@ -27,6 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ordertally.llm.common import read_table, stored, work_folder
+from ordertally.operators.sizes import fits_broadcast
 
 PERIOD = 1000
 BLOCK_DOCUMENTS = 8
@@ -119,7 +120,7 @@ def mix(
     shares = spark.createDataFrame(list(seen.items()), "share_source string, share bigint")
     same = F.col("source").eqNullSafe(F.col("its_source")) & (F.col("part") == F.col("its_part"))
     ranked = numbered.join(before, same).select(
-        "doc_id", "source", (F.col("before") + F.col("own")).alias("rank")
+        "doc_id", "text_hash", "source", (F.col("before") + F.col("own")).alias("rank")
     )
     blocks = ranked.withColumn("block", F.floor(F.col("rank") / block_documents))
     # Both tables have a row for each slot of a period at most.
@@ -131,10 +132,28 @@ def mix(
     timed = shared.join(F.broadcast(turns), own_turn, "left")
     cycle = F.floor(F.col("block") / F.col("share"))
     return timed.select(
-        "doc_id", "source", "block", "rank", (cycle * len(schedule) + F.col("turn_slot")).alias("slot")
+        "doc_id", "source", "text_hash", "block", "rank", (cycle * len(schedule) + F.col("turn_slot")).alias("slot")
     )
 
 
+def in_order(
+    documents: DataFrame, folder: str, weights: Mapping[str | None, float] | None = None
+) -> DataFrame:
+    """All rows, all their columns, sorted by their place in the mixture from the first
+    partition to the last; repeated rows stand together."""
+    own = [F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash")]
+    placed = mix(documents, folder, weights).groupBy(*own).agg(
+        F.min(F.struct(F.col("slot").isNull().alias("late"), "slot", "source", "rank")).alias("at")
+    )
+    placed = stored(placed, f"{folder}/mixture")
+    # Numbers for the rows; they are sent to the rows if they are few enough.
+    known = F.broadcast(placed) if fits_broadcast(placed) else placed
+    same = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("own_hash") == F.xxhash64("text"))
+    order = ["at.late", "at.slot", "at.source", "at.rank"]
+    timed = documents.join(known, same).repartitionByRange(*order).sortWithinPartitions(*order)
+    return timed.select(*(F.col(name) for name in documents.columns))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
-    return mix(documents, work_folder(spark))
+    return mix(documents, work_folder(spark)).drop("text_hash")

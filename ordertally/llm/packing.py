@@ -31,7 +31,7 @@ from ordertally.llm.tokens import END_ID, encoder, public_path
 CAPACITY = 1024
 _PIECES = (
     "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, "
-    "task int, place bigint"
+    "task string, place bigint"
 )
 _RUNS = (
     "run_length bigint, first_rank bigint, end_rank bigint, first_bin bigint, "
@@ -133,19 +133,37 @@ def cut(size: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def pieces(
-    documents: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID
+    documents: DataFrame,
+    vocabulary: str,
+    capacity: int = CAPACITY,
+    end_id: int = END_ID,
+    as_stored: bool = False,
 ) -> DataFrame:
-    """Pieces of every document, numbered within their task and length."""
+    """Pieces of every document, numbered within their task and length.
+
+    With `as_stored`, of documents read from files, a task names itself by the file and the
+    row where it begins; then pieces of one length are packed in the order of the files.
+    """
+    rows = texts_of(documents)
+    if as_stored:
+        rows = texts_of(documents.select("*", "_metadata.file_name", "_metadata.row_index"), "doc_id", "text", ["file_name", "row_index"])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(vocabulary)
-        task = TaskContext.get().partitionId()
+        task, file = f"{TaskContext.get().partitionId():09d}", None
         end = np.array([end_id], dtype="<u4").tobytes()
         seen = [0] * (capacity + 1)
         for batch in slices(batches):
             rows: list[tuple] = []
             keys = batch.column("doc_id").to_pylist()
-            for key, ids in zip(keys, tokens.encode(batch.column("text").to_pylist()), strict=True):
+            places = [(None, 0)] * batch.num_rows
+            if as_stored:
+                columns = (batch.column(name).to_pylist() for name in ("file_name", "row_index"))
+                places = list(zip(*columns, strict=True))
+            found = tokens.encode(batch.column("text").to_pylist())
+            for key, ids, (name, row) in zip(keys, found, places, strict=True):
+                if name != file:
+                    task, file, seen = f"{name} {row:015d}", name, [0] * (capacity + 1)
                 data = memoryview(ids + end)
                 for number, (start, length) in enumerate(cut(len(data) // 4, capacity)):
                     crc = zlib.crc32(data[4 * start : 4 * (start + length)])
@@ -153,13 +171,13 @@ def pieces(
                     seen[length] += 1
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(column, pa.int32() if k in (1, 5) else pa.int64())
+                    pa.array(column, {1: pa.int32(), 5: pa.string()}.get(k, pa.int64()))
                     for k, column in enumerate(zip(*rows, strict=True))
                 ],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "task", "place"],
             )
 
-    return texts_of(documents).mapInArrow(encode, _PIECES)
+    return rows.mapInArrow(encode, _PIECES)
 
 
 def pack(cut_pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -198,9 +216,14 @@ def pack(cut_pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(
-    documents: DataFrame, folder: str, vocabulary: str, capacity: int = CAPACITY
+    documents: DataFrame,
+    folder: str,
+    vocabulary: str,
+    capacity: int = CAPACITY,
+    as_stored: bool = False,
 ) -> DataFrame:
-    return pack(stored(pieces(documents, vocabulary, capacity), f"{folder}/pieces"), capacity)
+    found = pieces(documents, vocabulary, capacity, as_stored=as_stored)
+    return pack(stored(found, f"{folder}/pieces"), capacity)
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

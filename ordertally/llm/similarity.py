@@ -38,6 +38,7 @@ from ordertally.llm.common import (
     slices,
     stored,
     texts_of,
+    without,
     work_folder,
 )
 from ordertally.llm.components import components
@@ -292,6 +293,13 @@ def near_duplicates(documents: DataFrame, folder: str) -> DataFrame:
     return full.select(*shown).union(empty.select(*shown))
 
 
+def keep_one(documents: DataFrame, folder: str) -> DataFrame:
+    """The row with the least key of each component, and rows without words."""
+    found = stored(near_duplicates(documents, folder), f"{folder}/found")
+    other = (F.col("n_shingles") > 0) & ~F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return without(documents, found.where(other).select("doc_id").distinct(), ["doc_id"])
+
+
 def op2_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return near_duplicates(documents, f"{work_folder(spark)}/similarity")
