@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ordertally.llm.common import read_table, slices, stored, texts_of, work_folder
-from ordertally.llm.tokens import END_ID, encoder, public_path
+from ordertally.llm.tokens import END_ID, SLICE_BYTES, encoder, public_path
 
 CAPACITY = 1024
 _PIECES = (
@@ -153,14 +153,14 @@ def pieces(
         task, file = f"{TaskContext.get().partitionId():09d}", None
         end = np.array([end_id], dtype="<u4").tobytes()
         seen = [0] * (capacity + 1)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE_BYTES):
             rows: list[tuple] = []
             keys = batch.column("doc_id").to_pylist()
             places = [(None, 0)] * batch.num_rows
             if as_stored:
                 columns = (batch.column(name).to_pylist() for name in ("file_name", "row_index"))
                 places = list(zip(*columns, strict=True))
-            found = tokens.encode(batch.column("text").to_pylist())
+            found = tokens.encode(batch.column("text"))
             for key, ids, (name, row) in zip(keys, found, places, strict=True):
                 if name != file:
                     task, file, seen = f"{name} {row:015d}", name, [0] * (capacity + 1)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ordertally.llm.common import filesystem, read_table, slices, texts_of, work_folder
 from ordertally.llm.elias_fano import EliasFano
-from ordertally.llm.tokens import END_ID, encoder, public_path
+from ordertally.llm.tokens import END_ID, SLICE_BYTES, encoder, public_path
 
 # A file is closed once it holds so many ids or documents.
 FILE_IDS = 2**23
@@ -96,8 +96,8 @@ def write_token_files(
             columns = [pa.array([v], kinds.get(k, pa.int64())) for k, v in row.items()]
             return pa.RecordBatch.from_arrays(columns, names=list(row))
 
-        for batch in slices(batches):
-            found = encode.encode(batch.column("text").to_pylist())
+        for batch in slices(batches, limit=SLICE_BYTES):
+            found = encode.encode(batch.column("text"))
             for key, one in zip(batch.column("doc_id").to_pylist(), found, strict=True):
                 keys.append(key)
                 ids.append(one + end)
