@@ -35,6 +35,17 @@ def public_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _combines(texts: pa.Array) -> bool:
+    """Whether combining marks may occur: some compose with small letters alone."""
+    if texts.buffers()[2] is None:
+        return False
+    wide = pa.types.is_large_string(texts.type)
+    offsets = np.frombuffer(texts.buffers()[1], np.int64 if wide else np.int32)
+    start, end = offsets[texts.offset], offsets[texts.offset + len(texts)]
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[start:end]
+    return bool(np.any(data == 0xCC) or np.any(data == 0xCD))
+
+
 class Encoder:
     """Ids as little-endian unsigned 32-bit integers, in bytes."""
 
@@ -45,6 +56,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.mark = np.frombuffer(self.whole([" " + _MARK])[0], dtype="<u4")
+        self.caseless = self.whole(["ABC Xyz Q"]) == self.whole(["abc xyz q"])
         # Of each word the ids; 0 for a word that does not stand alone.
         self.memo: dict[str, bytes | int] = {}
         self.older: dict[str, bytes | int] = {}
@@ -108,6 +120,9 @@ class Encoder:
     def encode(self, texts: pa.Array) -> list[bytes]:
         if not len(texts):
             return []
+        given = texts
+        if self.caseless and not _combines(texts):
+            texts = pc.ascii_lower(texts)
         # A line break opens a word as a blank does, and stays with it.
         split = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
         borders = split.offsets.to_numpy() - split.offsets[0].as_py()
@@ -128,13 +143,15 @@ class Encoder:
         starts, ends = offsets[after].tolist(), offsets[borders[1:]].tolist()
         out: list[bytes] = []
         singly = []
-        for i, head in enumerate(self.whole(heads)):
+        distinct = list(dict.fromkeys(heads))
+        head_ids = dict(zip(distinct, self.whole(distinct), strict=True))
+        for i, head in enumerate(map(head_ids.__getitem__, heads)):
             first = heads[i]
             if whole[i] or first[-1:].isspace() or (not first and after[i] < borders[i + 1]):
                 singly.append(i)
             out.append(head + data[starts[i] : ends[i]])
         if singly:
-            rest = texts.take(pa.array(singly)).to_pylist()
+            rest = given.take(pa.array(singly)).to_pylist()
             for i, found in zip(singly, self.whole(rest), strict=True):
                 out[i] = found
         return out
