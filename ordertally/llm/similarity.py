@@ -8,14 +8,18 @@ classes share. It is worked out in blocks of columns, and only where it can matt
    first n - ceil(t n) + 1 of n. Rare shingles come first: those that chunks of tasks see
    again and again are put last, and this table has a bounded number of rows. The order
    decides how much work there is, not what is found.
-2. Columns that occur once are dropped. In the others a class meets two pivots, the least
-   and the greatest class of the column, instead of all others. Overlap counts over these
-   columns, with both sizes, give an upper bound of the whole overlap; pairs below what the
-   threshold asks for are discarded, the others are verified on their whole sets.
-3. The links join classes to components. Only pairs of classes that share a column and lie
-   in different components still are then counted, bounded and verified in the same way.
-   So every link between components is found, and a group of n near copies costs about n
-   pairs and not their square.
+2. Columns that occur once are dropped: what a set has there it shares with none, which
+   bounds its overlap with any other, its reach. A class leaves the columns in which its
+   reach is too short for the least size there.
+3. In each column a class meets two pivots instead of all others: the class with the fewest
+   shingles of its own, the hub of a group of near copies, and one by hash. Pairs whose
+   sizes and reaches allow a link are verified on their whole sets.
+4. The links join classes to components. Of classes in different components still, a pair
+   is looked at in the first column that it shares: the columns that both have from there
+   on, and what lies behind their first shingles, bound the whole overlap. Pairs below what
+   the threshold asks for, by their sizes, are discarded, the others are verified. So every
+   link between components is found, and a group of n near copies costs about n pairs and
+   not their square.
 
 Shingles and sets are told apart by 64-bit hashes. A null text has no words; a document
 without words has an empty set and is linked with nothing; a text shorter than a shingle is
@@ -30,6 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ordertally.llm.common import (
@@ -180,18 +185,34 @@ def _prefixes(firsts: DataFrame) -> DataFrame:
     return found.select("name", F.col("key").alias("class"), F.col("place").alias("size")).distinct()
 
 
-def _bounded(pairs: DataFrame) -> DataFrame:
-    """Pairs `a, b` whose overlap counts and sizes allow a link.
+def _within_reach(columns: DataFrame) -> DataFrame:
+    """The columns with each class's reach, without what cannot be linked there; and how
+    many of its columns a class has from each on, rare columns first."""
+    shared = columns.groupBy("class").agg(F.count("*").alias("shared"))
+    reach = F.col("size") - prefix(F.col("size")) + F.col("shared")
+    known = columns.join(shared, "class").select("name", "class", "size", reach.alias("reach"))
+    least = columns.groupBy("name").agg(F.min("size").alias("least"), F.count("*").alias("times"))
+    other = F.greatest(F.col("least"), F.ceil(F.col("size") * PERCENT / 100))
+    near = known.join(least, "name").where(F.col("reach") >= needed(F.col("size"), other))
+    backward = W.partitionBy("class").orderBy(F.desc("times"), F.desc("name"))
+    return near.select("name", "class", "size", "reach", F.row_number().over(backward).alias("left"))
+
+
+def _linkable(one: tuple[str, str], other: tuple[str, str]) -> Column:
+    """Whether sizes and reaches allow a link."""
+    (size, reach), (other_size, other_reach) = ((F.col(a), F.col(b)) for a, b in (one, other))
+    return F.least(reach, other_reach, size, other_size) >= needed(size, other_size)
+
+
+def _enough_left() -> Column:
+    """Whether a pair can be linked if no earlier column is shared.
 
     Of two sets, all that one shares within its first shingles is among the first shingles
     of the other if these reach further, so what the columns do not show lies behind them.
     """
     one, other = F.col("size_a"), F.col("size_b")
-    close = F.least(one, other) * 100 >= F.greatest(one, other) * PERCENT
-    counted = pairs.where(close).groupBy("a", "b", "size_a", "size_b").agg(F.count("*").alias("shared"))
     behind = F.greatest(one - prefix(one), other - prefix(other))
-    most = F.least(F.col("shared") + behind, one, other)
-    return counted.where(most >= needed(one, other)).select("a", "b")
+    return F.least("left_a", "left_b") + behind >= needed(one, other)
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,40 +246,51 @@ def _links(pairs: DataFrame, texts: DataFrame, folder: str) -> DataFrame:
 
 
 def _pivot_pairs(columns: DataFrame) -> DataFrame:
-    """Each class with the least and the greatest of each of its columns."""
-    order = F.struct(F.xxhash64("class").alias("order"), "class", "size")
-    pivots = columns.groupBy("name").agg(F.min(order).alias("least"), F.max(order).alias("most"))
-    pivots = pivots.where("least.class <> most.class")
-    met = columns.join(pivots, "name").select(
-        F.col("class").alias("a"),
-        F.col("size").alias("size_a"),
-        F.explode(F.array("least", "most")).alias("pivot"),
+    """Each class with the pivots of each of its columns, once."""
+    mark = F.xxhash64("class")
+    alone = (F.col("size") - F.col("reach")) / F.col("size")
+    fewest = F.min(F.struct(alone.alias("alone"), mark.alias("mark"), "class", "size", "reach"))
+    least = F.min(F.struct(mark.alias("mark"), "class", "size", "reach"))
+    pivots = columns.groupBy("name").agg(
+        fewest.alias("hub"), least.alias("least"), F.max("class").alias("one"), F.min("class").alias("two")
+    )
+    both = [F.struct(*(f"{name}.{part}" for part in ("class", "size", "reach"))) for name in ("hub", "least")]
+    pivots = pivots.where("one <> two").select("name", F.array_distinct(F.array(*both)).alias("pivots"))
+    met = columns.join(pivots, "name").withColumn("pivot", F.explode("pivots"))
+    met = met.select(
+        "class",
+        "size",
+        "reach",
+        F.col("pivot.class").alias("pivot"),
+        F.col("pivot.size").alias("pivot_size"),
+        F.col("pivot.reach").alias("pivot_reach"),
+    )
+    near = met.where(
+        (F.col("class") != F.col("pivot"))
+        & _linkable(("size", "reach"), ("pivot_size", "pivot_reach"))
     )
-    return met.select(
-        F.least("a", "pivot.class").alias("a"),
-        F.greatest("a", "pivot.class").alias("b"),
-        F.when(F.col("a") < F.col("pivot.class"), F.col("size_a")).otherwise(F.col("pivot.size")).alias("size_a"),
-        F.when(F.col("a") < F.col("pivot.class"), F.col("pivot.size")).otherwise(F.col("size_a")).alias("size_b"),
-        (F.col("a") == F.col("pivot.class")).alias("same"),
-    ).where("not same")
+    ends = F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")
+    return near.select(*ends).distinct()
 
 
 def _open_pairs(columns: DataFrame, roots: DataFrame) -> DataFrame:
     """Classes that share a column and lie in different components."""
     named = columns.join(roots, F.col("class") == F.col("member"), "left").select(
-        "name", "class", "size", F.coalesce("root", "class").alias("root")
+        "name", "class", "size", "reach", "left", F.coalesce("root", "class").alias("root")
     )
     several = named.groupBy("name").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     several = several.where("low <> high").select("name")
     kept = named.join(several, "name", "left_semi")
-    one = kept.select("name", *(F.col(c).alias(f"{c}_a") for c in ("class", "size", "root")))
-    two = kept.select("name", *(F.col(c).alias(f"{c}_b") for c in ("class", "size", "root")))
+    parts = ("class", "size", "reach", "left", "root")
+    one = kept.select("name", *(F.col(c).alias(f"{c}_a") for c in parts))
+    two = kept.select("name", *(F.col(c).alias(f"{c}_b") for c in parts))
     pairs = one.join(two, "name").where(
         (F.col("class_a") < F.col("class_b"))
         & (F.col("root_a") != F.col("root_b"))
-        & (F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * PERCENT)
+        & _linkable(("size_a", "reach_a"), ("size_b", "reach_b"))
+        & _enough_left()
     )
-    return pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b"), "size_a", "size_b")
+    return pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
 
 
 def near_duplicates(documents: DataFrame, folder: str) -> DataFrame:
@@ -267,7 +299,8 @@ def near_duplicates(documents: DataFrame, folder: str) -> DataFrame:
     classified = stored(texts_of(documents).mapInArrow(_classify, shape), f"{folder}/classified")
     marked = marked_copies(documents, folder)
     firsts = marked.where("not whole or first").select("doc_id", "text")
-    columns = stored(_prefixes(firsts), f"{folder}/columns")
+    columns = stored(_prefixes(firsts), f"{folder}/shared")
+    columns = stored(_within_reach(columns), f"{folder}/columns")
 
     def with_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -275,9 +308,9 @@ def near_duplicates(documents: DataFrame, folder: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(ids), batch.column("text")], ["class", "text"])
 
     texts = firsts.mapInArrow(with_class, "class bigint, text string")
-    near = _links(_bounded(_pivot_pairs(columns)), texts, f"{folder}/near")
+    near = _links(_pivot_pairs(columns), texts, f"{folder}/near")
     roots = components(near, f"{folder}/near/components")
-    rest = _links(_bounded(_open_pairs(columns, roots)), texts, f"{folder}/rest")
+    rest = _links(_open_pairs(columns, roots), texts, f"{folder}/rest")
     roots = components(near.union(rest), f"{folder}/rest/components")
 
     classes = classified.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
