@@ -195,7 +195,21 @@ def _within_reach(columns: DataFrame) -> DataFrame:
     other = F.greatest(F.col("least"), F.ceil(F.col("size") * PERCENT / 100))
     near = known.join(least, "name").where(F.col("reach") >= needed(F.col("size"), other))
     backward = W.partitionBy("class").orderBy(F.desc("times"), F.desc("name"))
-    return near.select("name", "class", "size", "reach", F.row_number().over(backward).alias("left"))
+    mark = F.xxhash64("name")
+    own = W.partitionBy("class")
+    bits = [F.pmod(mark, F.lit(64)), F.pmod(F.shiftright(mark, 32), F.lit(64))]
+    return near.select(
+        "name",
+        "class",
+        "size",
+        "reach",
+        F.row_number().over(backward).alias("left"),
+        F.count("*").over(own).alias("all"),
+        *(
+            F.bit_or(F.shiftleft(F.lit(1).cast("bigint"), bit.cast("int"))).over(own).alias(f"mask{k}")
+            for k, bit in enumerate(bits)
+        ),
+    )
 
 
 def _linkable(one: tuple[str, str], other: tuple[str, str]) -> Column:
@@ -207,12 +221,21 @@ def _linkable(one: tuple[str, str], other: tuple[str, str]) -> Column:
 def _enough_left() -> Column:
     """Whether a pair can be linked if no earlier column is shared.
 
+    Nor may one lack more of the other's columns than that can spare; each bit of a mask of
+    columns that the other mask has not stands for one at least.
+
     Of two sets, all that one shares within its first shingles is among the first shingles
     of the other if these reach further, so what the columns do not show lies behind them.
     """
     one, other = F.col("size_a"), F.col("size_b")
     behind = F.greatest(one - prefix(one), other - prefix(other))
-    return F.least("left_a", "left_b") + behind >= needed(one, other)
+    shared = needed(one, other) - behind
+    allowed = F.least("left_a", "left_b") >= shared
+    for mask in ("mask0", "mask1"):
+        for a, b in (("a", "b"), ("b", "a")):
+            lacking = F.col(f"{mask}_{a}").bitwiseAND(F.bitwise_not(f"{mask}_{b}"))
+            allowed &= F.bit_count(lacking) <= F.col(f"all_{a}") - shared
+    return allowed
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,12 +299,12 @@ def _pivot_pairs(columns: DataFrame) -> DataFrame:
 def _open_pairs(columns: DataFrame, roots: DataFrame) -> DataFrame:
     """Classes that share a column and lie in different components."""
     named = columns.join(roots, F.col("class") == F.col("member"), "left").select(
-        "name", "class", "size", "reach", "left", F.coalesce("root", "class").alias("root")
+        *columns.columns, F.coalesce("root", "class").alias("root")
     )
     several = named.groupBy("name").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     several = several.where("low <> high").select("name")
     kept = named.join(several, "name", "left_semi")
-    parts = ("class", "size", "reach", "left", "root")
+    parts = ("class", "size", "reach", "left", "all", "mask0", "mask1", "root")
     one = kept.select("name", *(F.col(c).alias(f"{c}_a") for c in parts))
     two = kept.select("name", *(F.col(c).alias(f"{c}_b") for c in parts))
     pairs = one.join(two, "name").where(
