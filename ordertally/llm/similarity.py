@@ -206,7 +206,7 @@ def _within_reach(columns: DataFrame) -> DataFrame:
         F.row_number().over(backward).alias("left"),
         F.count("*").over(own).alias("all"),
         *(
-            F.bit_or(F.shiftleft(F.lit(1).cast("bigint"), bit.cast("int"))).over(own).alias(f"mask{k}")
+            F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.cast("int"))).over(own).alias(f"mask{k}")
             for k, bit in enumerate(bits)
         ),
     )
