@@ -16,6 +16,7 @@ from ordertally.plans.workspace import new_workspace
 
 # Text that a Python worker handles at a time; a longer text is a slice of its own.
 SLICE_BYTES = 2 * 2**20
+BATCH_ROWS = 1000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,8 +41,18 @@ def without(rows: DataFrame, dropped: DataFrame, on: list[str]) -> DataFrame:
 
 
 def stored(table: DataFrame, path: str) -> DataFrame:
-    """The table written below the shared folder, and read from there: lineage ends here."""
-    table.write.parquet(path)
+    """The table written below the shared folder, and read from there: lineage ends here.
+
+    While it is written, rows go to Python in batches of `BATCH_ROWS`, so that a batch of
+    texts stays small.
+    """
+    conf, name = table.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(name)
+    conf.set(name, str(min(int(before), BATCH_ROWS)) if int(before) > 0 else str(BATCH_ROWS))
+    try:
+        table.write.parquet(path)
+    finally:
+        conf.set(name, before)
     return table.sparkSession.read.schema(table.schema).parquet(path)
 
 

@@ -20,9 +20,9 @@ import pyarrow.compute as pc
 
 END_ID = 2
 # Text encoded at a time: the more, the fewer distinct words in proportion.
-SLICE_BYTES = 8 * 2**20
+SLICE_BYTES = 4 * 2**20
 # Words of a generation in a Python worker's memo, which holds two; about 200 bytes a word.
-MEMO_WORDS = 500_000
+MEMO_WORDS = 300_000
 # Marks that no contraction contains.
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 # Stands between words that are encoded together; a piece of its own in both vocabularies.
