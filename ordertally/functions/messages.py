@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ordertally.functions.values import has_id
 from ordertally.schemas import ARRIVAL, ORDER, ORDER_FIELDS, strings
 
 CORRUPT = "_corrupt_record"
@@ -56,14 +57,14 @@ def decode(
 def screen(messages: DataFrame) -> DataFrame:
     """Decoded messages with `reason`: NULL if the archive can take the message.
 
-    A message is refused when it is empty, is no JSON object, or has no order_id.
+    A message is refused when it is empty, is no JSON object, or has no usable order_id.
     """
     schema = T.StructType([*ORDER.fields, T.StructField(CORRUPT, T.StringType())])
     blank = F.length(F.trim(F.coalesce(F.col("value").cast("string"), F.lit("")))) == 0
     reason = (
         F.when(blank, "empty")
         .when(F.col(CORRUPT).isNotNull(), "malformed")
-        .when(F.col("order_id").isNull(), "no order_id")
+        .when(~has_id(F.col("order_id")), "no order_id")
     )
     options = {"columnNameOfCorruptRecord": CORRUPT}
     decoded = _unfold(messages, schema, options, "value", *_arrival(messages))

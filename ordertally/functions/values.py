@@ -17,6 +17,21 @@ def customer_key(text: Column) -> Column:
     )
 
 
+def text_key(text: Column) -> Column:
+    """Key of a customer as text: a number in its shortest form, anything else trimmed.
+
+    NULL for blanks and for the NaN, in quotes, that decoding makes of a missing number.
+    """
+    trimmed = F.trim(text)
+    missing = (trimmed == "") | (trimmed == '"NaN"')
+    return F.when(~missing, F.coalesce(customer_key(text).cast("string"), trimmed))
+
+
+def has_id(text: Column) -> Column:
+    """Whether an order's id tells it from others: no NULL, no blanks, no missing number."""
+    return F.coalesce((F.trim(text) != "") & (F.trim(text) != '"NaN"'), F.lit(False))
+
+
 def amount(text: Column) -> Column:
     """Money amount as double; NULL for text that is no finite number.
 

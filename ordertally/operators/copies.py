@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ordertally.functions.values import has_id
 from ordertally.operators.combine import drop_near_copies
 
 _GAP = "_without_id"
@@ -12,7 +13,7 @@ _SEEN = "_seen_at"
 
 
 def dedup(orders: DataFrame, within: str | None = None) -> DataFrame:
-    """One row per order_id; rows without an id are all kept.
+    """One row per order_id; rows without a usable id (see `has_id`) are all kept.
 
     Needs the columns `origin, position`, and drops them. Select the needed
     columns first: with fixed-width values a batch plan stays a hash aggregate.
@@ -22,7 +23,7 @@ def dedup(orders: DataFrame, within: str | None = None) -> DataFrame:
     that of the micro-batch, not of the message: no message is ever too late.
     """
     # Rows without an id get a name of their own instead.
-    gap = F.when(F.col("order_id").isNull(), F.concat_ws("@", "origin", "position"))
+    gap = F.when(~has_id(F.col("order_id")), F.concat_ws("@", "origin", "position"))
     keys = ["order_id", _GAP]
     named = orders.withColumn(_GAP, gap).drop("origin", "position")
     if orders.isStreaming:

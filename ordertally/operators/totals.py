@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ordertally.functions.values import amount
 from ordertally.operators.combine import partial_sums
-from ordertally.operators.customers import keyed
+from ordertally.operators.customers import has_text_key, keyed
 from ordertally.operators.sizes import BROADCAST_BYTES, is_small_lookup
 
 
@@ -27,7 +27,10 @@ def _sum_by(
     sums per key, so a key with very many facts reaches the join as a few partial
     sums, and the sums lie where the join needs them.
     """
-    dimension = keyed(dimension, key).select(key, *groups)
+    text = has_text_key(dimension, key)
+    dimension = keyed(dimension, key, text).select(key, *groups)
+    if text != has_text_key(facts, key):
+        facts = keyed(facts, key, text)
     if is_small_lookup(dimension, key, limit):
         joined = facts.join(F.broadcast(dimension), key, how)
     elif facts.isStreaming:
@@ -37,17 +40,18 @@ def _sum_by(
         if join_partitions is not None:
             sums = sums.repartition(join_partitions, key)
             dimension = dimension.repartition(join_partitions, key)
-        joined = sums.join(dimension, key, how)
+        joined = sums.join(dimension.hint("merge"), key, how)
     else:
         sums = facts.groupBy(key).agg(F.sum("amount").alias("amount"))
-        joined = sums.join(dimension, key, how)
+        # Without the hint Spark may send sums or dimension to all executors after all.
+        joined = sums.join(dimension.hint("merge"), key, how)
     return joined.groupBy(*groups).agg(F.sum("amount").alias("total_sum_amount"))
 
 
-def facts_of(orders: DataFrame, key: str, *others: str) -> DataFrame:
-    """Decoded orders as (key bigint, amount double)."""
+def facts_of(orders: DataFrame, key: str, *others: str, text: bool = False) -> DataFrame:
+    """Decoded orders as (key bigint, or text, amount double)."""
     facts = orders.select(key, amount(F.col("total")).alias("amount"), *others)
-    return keyed(facts, key)
+    return keyed(facts, key, text)
 
 
 def totals_by_source_state(

@@ -54,4 +54,6 @@ def backfill_totals(
         broadcast_bytes=broadcast_bytes,
     )
     rows = fit(with_lineage(totals, 0), HISTORY)
-    rows.write.mode("overwrite").partitionBy("batch_id").parquet(history_path)
+    # The whole history goes, whatever the session says of single partitions.
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy("batch_id").parquet(history_path)

@@ -52,6 +52,8 @@ ORACLES: dict[str, str] = {
     "kpi_by_source_state": _TOTALS,
     "kpi_large_dimension": _TOTALS,
     "kpi_dedup": _TOTALS,
+    "kpi_text_keys": _TOTALS,
+    "kpi_dedup_missing_ids": _TOTALS,
     "kpi_untidy": f"""
         SELECT c_mktsegment AS source, n_name AS state,
                round(sum(CASE WHEN o_orderstatus NOT IN ('P', 'F') THEN o_totalprice END), 2)

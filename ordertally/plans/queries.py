@@ -219,6 +219,41 @@ def kpi_untidy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(totals_from_messages(encode(rows), customers(spark, sf_dir)))
 
 
+def kpi_text_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers whose keys are no numbers."""
+    name = F.concat(F.lit("C-"), F.col("customer_id")).alias("customer_id")
+    orders = order_rows(spark, sf_dir).select("order_id", "total", name, "timestamp")
+    named = customers(spark, sf_dir).select(name, "source", "state")
+    return rounded(totals_from_messages(encode(orders), named))
+
+
+def _missing_ids(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
+    """Orders of one status once, with ids that are none; the others delivered twice."""
+    rows = table(spark, sf_dir, "orders", stream)
+    key = F.col("o_orderkey")
+    none = F.when(key % 3 == 0, "").when(key % 3 == 1, "  ")
+    order_id = F.when(F.col("o_orderstatus") == "F", none).otherwise(key.cast("string"))
+    messages = encode(
+        rows.select(
+            order_id.alias("order_id"),
+            F.col("o_totalprice").alias("total"),
+            F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderdate").alias("timestamp"),
+            *identity(),
+            "o_orderstatus",
+        )
+    )
+    with_id = F.get_json_object(F.col("value").cast("string"), "$.order_id")
+    again = messages.where(F.coalesce(F.trim(with_id) != "", F.lit(False)))
+    return messages.unionByName(again)
+
+
+def kpi_dedup_missing_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders without a usable id are all counted, copies of the others once."""
+    messages = _missing_ids(spark, sf_dir)
+    return rounded(totals_from_messages(messages, customers(spark, sf_dir), dedup_orders=True))
+
+
 def kpi_mixed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts among the orders do not count."""
     messages = mixed_messages(spark, sf_dir)
@@ -368,7 +403,8 @@ def orders_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customers_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = new_workspace(spark)
     customers(spark, sf_dir).write.csv(f"{work}/customers", header=True)
-    return read_customers(spark, f"{work}/customers")
+    found = read_customers(spark, f"{work}/customers")
+    return found.withColumn("customer_id", F.col("customer_id").cast("bigint"))
 
 
 def products_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -481,6 +517,8 @@ QUERIES: dict[str, Query] = {
         kpi_large_dimension,
         kpi_dedup,
         kpi_untidy,
+        kpi_text_keys,
+        kpi_dedup_missing_ids,
         kpi_mixed_messages,
         kpi_customers_listed_twice,
         events_kpi,

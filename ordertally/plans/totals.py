@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from ordertally.functions.messages import decode
 from ordertally.operators.copies import dedup
+from ordertally.operators.customers import has_text_key
 from ordertally.operators.sizes import BROADCAST_BYTES
 from ordertally.operators.totals import facts_of, totals_by_source_state
 
@@ -19,11 +20,12 @@ def totals_from_messages(
     join_partitions: int | None = None,
 ) -> DataFrame:
     """Sum of order totals by source and state of the customer."""
+    text = has_text_key(customers)
     if dedup_orders:
         orders = decode(messages, ["order_id", "customer_id", "total"])
-        facts = facts_of(orders, "customer_id", "order_id", "origin", "position")
+        facts = facts_of(orders, "customer_id", "order_id", "origin", "position", text=text)
         # Messages that cannot count must not fill the shuffle and the state.
         facts = dedup(facts.where("customer_id IS NOT NULL"), within)
     else:
-        facts = facts_of(decode(messages, ["customer_id", "total"]), "customer_id")
+        facts = facts_of(decode(messages, ["customer_id", "total"]), "customer_id", text=text)
     return totals_by_source_state(facts, customers, broadcast_bytes, join_partitions)

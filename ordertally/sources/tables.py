@@ -5,28 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordertally.functions.values import customer_key
+from ordertally.functions.values import text_key
 from ordertally.schemas import ARCHIVE, HISTORY, ORDER_FIELDS, PRODUCT
 from ordertally.settings import Jdbc
 
 
-def _csv_by_name(spark: SparkSession, path: str) -> DataFrame:
+def _csv_by_name(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    # A quote within quotes is doubled. A file with line breaks in quotes cannot be split.
     # Column names from the header, all text, no inference over the data.
     # enforceSchema off: a file whose header differs fails instead of shifting columns.
-    return spark.read.csv(path, header=True, enforceSchema=False)
+    return spark.read.csv(
+        path, header=True, enforceSchema=False, escape='"', multiLine=multi_line
+    )
 
 
-def read_customers(spark: SparkSession, path: str) -> DataFrame:
-    """Customer dimension from CSV: key, source and state, found by name."""
-    table = _csv_by_name(spark, path)
-    return table.select(
-        customer_key(F.col("customer_id")).alias("customer_id"), "source", "state"
-    )
+def read_customers(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Customer dimension from CSV: key as text, source and state, found by name."""
+    table = _csv_by_name(spark, path, multi_line)
+    return table.select(text_key(F.col("customer_id")).alias("customer_id"), "source", "state")
 
 
-def read_orders_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_orders_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Orders to publish, the nine fields as text in contract order; absent ones NULL."""
-    table = _csv_by_name(spark, path)
+    table = _csv_by_name(spark, path, multi_line)
     return table.select(
         *(
             F.col(name) if name in table.columns else F.lit(None).cast("string").alias(name)
@@ -35,8 +36,10 @@ def read_orders_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_products(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(PRODUCT).csv(path, header=True, enforceSchema=False)
+def read_products(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    return spark.read.schema(PRODUCT).csv(
+        path, header=True, enforceSchema=False, escape='"', multiLine=multi_line
+    )
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:

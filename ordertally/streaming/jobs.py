@@ -138,12 +138,9 @@ def run(
 def wait(spark: SparkSession, queries: list[StreamingQuery]) -> None:
     """Until all have ended, or one fails: then stop the others and raise its error."""
     try:
-        while any(query.isActive for query in queries):
-            spark.streams.awaitAnyTermination()
-            spark.streams.resetTerminated()
-            for query in queries:
-                if not query.isActive:
-                    query.awaitTermination()  # raises the error of a failed query
+        # Asks our own queries alone; one that has failed raises its error, now or before.
+        while not all([query.awaitTermination(1) for query in queries]):
+            pass
     finally:
         for query in queries:
             if query.isActive:

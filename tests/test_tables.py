@@ -21,8 +21,8 @@ def test_read_customers(spark, tmp_path):
         "name,state,customer_id,source\nAnn,TX,1,Google\nBob,CA,2.0,\nCy,,x,Twitter\n",
     )
     table = read_customers(spark, path)
-    assert tuples(table) == [(1, "Google", "TX"), (2, None, "CA"), (None, "Twitter", None)]
-    assert dict(table.dtypes)["customer_id"] == "bigint"
+    assert tuples(table) == [("1", "Google", "TX"), ("2", None, "CA"), ("x", "Twitter", None)]
+    assert dict(table.dtypes)["customer_id"] == "string"
 
 
 def test_csv_with_other_header_fails(spark, tmp_path):
@@ -104,3 +104,17 @@ def test_kpi_current(spark):
     # A job without checkpoint started again: batch 0 is the latest.
     again = history.union(spark.createDataFrame([("g", "TX", 0.5, later, 0)], HISTORY))
     assert ("g", "TX", 0.5) in tuples(kpi_current(again, by_time=True))
+
+
+def test_quotes_and_line_breaks_in_csv(spark, tmp_path):
+    path = write(
+        tmp_path / "orders.csv",
+        'order_id,created_at,total,customer_id\n1,"he said ""hi"", ok",5,1\n',
+    )
+    row = read_orders_csv(spark, path).first()
+    assert (row["created_at"], row["total"], row["customer_id"]) == ('he said "hi", ok', "5", "1")
+    path = write(
+        tmp_path / "lines.csv", 'order_id,created_at,total,customer_id\n1,"a\nb",5,1\n'
+    )
+    rows = read_orders_csv(spark, path, multi_line=True).collect()
+    assert [(r["order_id"], r["created_at"], r["total"]) for r in rows] == [("1", "a\nb", "5")]
