@@ -37,7 +37,7 @@ def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(
-        docs, work_folder(spark), public_path(VOCABULARY), as_stored=True
+        docs, work_folder(spark), public_path(VOCABULARY), as_stored=True, lasting=False
     )
 
 

@@ -25,12 +25,15 @@ from pyspark.sql import functions as F
 from ordertally.llm.common import read_table, stored, texts_of, without, work_folder
 from ordertally.operators.sizes import fits_broadcast
 
-# Each state partition is a small store of its own, so none sets disk space aside.
+# Each state partition is a small store of its own, so none sets disk space or much memory
+# aside.
 STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
+    "spark.sql.streaming.stateStore.rocksdb.blockCacheSizeMB": "4",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 _LOG = "digest binary, size bigint, doc_id bigint"

@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ordertally.llm.common import read_table, slices, stored, texts_of, work_folder
-from ordertally.llm.tokens import END_ID, SLICE_BYTES, encoder, public_path
+from ordertally.llm.tokens import END_ID, SLICE_BYTES, Encoder, encoder, public_path
 
 CAPACITY = 1024
 _PIECES = (
@@ -138,9 +138,13 @@ def pieces(
     capacity: int = CAPACITY,
     end_id: int = END_ID,
     as_stored: bool = False,
+    lasting: bool = True,
 ) -> DataFrame:
     """Pieces of every document, numbered within their task and length.
 
+    The memo of words lasts as long as the Python worker, or as the task if not `lasting`,
+    which leaves the memory to the stages that follow.
+
     With `as_stored`, of documents read from files, a task names itself by the file and the
     row where it begins; then pieces of one length are packed in the order of the files.
     """
@@ -149,7 +153,7 @@ def pieces(
         rows = texts_of(documents.select("*", "_metadata.file_name", "_metadata.row_index"), "doc_id", "text", ["file_name", "row_index"])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = encoder(vocabulary)
+        tokens = encoder(vocabulary) if lasting else Encoder(vocabulary)
         task, file = f"{TaskContext.get().partitionId():09d}", None
         end = np.array([end_id], dtype="<u4").tobytes()
         seen = [0] * (capacity + 1)
@@ -221,8 +225,9 @@ def pack_documents(
     vocabulary: str,
     capacity: int = CAPACITY,
     as_stored: bool = False,
+    lasting: bool = True,
 ) -> DataFrame:
-    found = pieces(documents, vocabulary, capacity, as_stored=as_stored)
+    found = pieces(documents, vocabulary, capacity, as_stored=as_stored, lasting=lasting)
     return pack(stored(found, f"{folder}/pieces"), capacity)
 
 
