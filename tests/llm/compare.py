@@ -1,0 +1,13 @@
+"""A query of the subpackage against its SQL."""
+
+from ordertally.llm.queries import ORACLES, QUERIES
+from tests.compare import _rows, connect
+
+
+def compare(spark, name: str, sf_dir: str) -> int:
+    result = QUERIES[name](spark, sf_dir)
+    cursor = connect(sf_dir).execute(ORACLES[name])
+    names = [column[0] for column in cursor.description]
+    assert sorted(result.columns) == sorted(names)
+    assert (got := _rows(result.columns, result.collect())) == _rows(names, cursor.fetchall())
+    return len(got)
