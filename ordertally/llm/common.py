@@ -15,8 +15,8 @@ from ordertally.operators.sizes import fits_broadcast
 from ordertally.plans.workspace import new_workspace
 
 # Text that a Python worker handles at a time; a longer text is a slice of its own.
-SLICE_BYTES = 2 * 2**20
-BATCH_ROWS = 1000
+SLICE_BYTES = 2**20
+BATCH_ROWS = 500
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,6 +92,8 @@ def slices(
         cuts = np.flatnonzero(np.diff(step)) + 1
         for start, end in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
             yield batch.slice(int(start), int(end) - int(start))
+    # An idle worker keeps no more than it must.
+    pa.default_memory_pool().release_unused()
 
 
 def filesystem(uri: str) -> tuple[fs.FileSystem, str]:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 # Names that a task compares by itself before it sends them.
-CHUNK = 2**19
+CHUNK = 2**18
 SENT = "route bigint, name bigint, key bigint, place int, sure boolean"
 FOUND = "name bigint, key bigint, place int"
 
