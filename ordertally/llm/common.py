@@ -40,15 +40,15 @@ def without(rows: DataFrame, dropped: DataFrame, on: list[str]) -> DataFrame:
     return rows.join(gone, on, "left_anti")
 
 
-def stored(table: DataFrame, path: str) -> DataFrame:
+def stored(table: DataFrame, path: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
     """The table written below the shared folder, and read from there: lineage ends here.
 
-    While it is written, rows go to Python in batches of `BATCH_ROWS`, so that a batch of
+    While it is written, rows go to Python in batches of `batch_rows`, so that a batch of
     texts stays small.
     """
     conf, name = table.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = conf.get(name)
-    conf.set(name, str(min(int(before), BATCH_ROWS)) if int(before) > 0 else str(BATCH_ROWS))
+    conf.set(name, str(min(int(before), batch_rows)) if int(before) > 0 else str(batch_rows))
     try:
         table.write.parquet(path)
     finally:

@@ -25,10 +25,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ordertally.llm.common import read_table, slices, stored, texts_of, work_folder
-from ordertally.llm.tokens import END_ID, SLICE_BYTES, Encoder, encoder, public_path
+from ordertally.llm.common import BATCH_ROWS, read_table, slices, stored, texts_of, work_folder
+from ordertally.llm.tokens import BRIEF_WORDS, END_ID, SLICE_BYTES, Encoder, encoder, public_path
 
 CAPACITY = 1024
+# Rows that go to Python at once where the memo lasts: few batches, few distinct words.
+LASTING_ROWS = 10_000
 _PIECES = (
     "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, "
     "task string, place bigint"
@@ -153,7 +155,7 @@ def pieces(
         rows = texts_of(documents.select("*", "_metadata.file_name", "_metadata.row_index"), "doc_id", "text", ["file_name", "row_index"])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = encoder(vocabulary) if lasting else Encoder(vocabulary)
+        tokens = encoder(vocabulary) if lasting else Encoder(vocabulary, BRIEF_WORDS)
         task, file = f"{TaskContext.get().partitionId():09d}", None
         end = np.array([end_id], dtype="<u4").tobytes()
         seen = [0] * (capacity + 1)
@@ -228,7 +230,8 @@ def pack_documents(
     lasting: bool = True,
 ) -> DataFrame:
     found = pieces(documents, vocabulary, capacity, as_stored=as_stored, lasting=lasting)
-    return pack(stored(found, f"{folder}/pieces"), capacity)
+    rows = LASTING_ROWS if lasting else BATCH_ROWS
+    return pack(stored(found, f"{folder}/pieces", rows), capacity)
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

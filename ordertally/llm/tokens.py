@@ -20,9 +20,10 @@ import pyarrow.compute as pc
 
 END_ID = 2
 # Text encoded at a time: the more, the fewer distinct words in proportion.
-SLICE_BYTES = 4 * 2**20
+SLICE_BYTES = 8 * 2**20
 # Words of a generation in a Python worker's memo, which holds two; about 200 bytes a word.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 500_000
+BRIEF_WORDS = 200_000
 # Marks that no contraction contains.
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 # Stands between words that are encoded together; a piece of its own in both vocabularies.
@@ -49,7 +50,8 @@ def _combines(texts: pa.Array) -> bool:
 class Encoder:
     """Ids as little-endian unsigned 32-bit integers, in bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo_words: int = MEMO_WORDS):
+        self.memo_words = memo_words
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -107,7 +109,7 @@ class Encoder:
 
     def _known(self, words: list[str]) -> list[bytes | int]:
         """The ids of distinct words."""
-        if len(self.memo) > MEMO_WORDS:
+        if len(self.memo) > self.memo_words:
             self.older, self.memo = self.memo, {}
         ids = list(map(self.memo.get, words))
         missing = [i for i, known in enumerate(ids) if known is None]
