@@ -25,8 +25,11 @@ def fits_broadcast(table: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
 
 
 def is_small_lookup(table: DataFrame, key: str, limit: int = BROADCAST_BYTES) -> bool:
-    """The same, and no key occurs twice: a join to it gives no more rows than it takes."""
-    if limit <= 0:
+    """The same, and no key occurs twice: a join to it gives no more rows than it takes.
+
+    Keys are only compared, which shuffles them, if the size allows a broadcast.
+    """
+    if not fits_broadcast(table, limit):
         return False
     single = F.count(key) == F.count_distinct(key)
-    return table.agg(((_bytes(table) <= limit) & single).alias("fits")).first()["fits"]
+    return table.agg(single.alias("single")).first()["single"]

@@ -8,6 +8,10 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 
+# Files in which a micro-batch writes its changed totals, at most.
+HISTORY_FILES = 4
+
+
 @dataclass(frozen=True)
 class Kafka:
     bootstrap_servers: str
@@ -93,6 +97,7 @@ class Settings:
     join_partitions: int | None = None
     # Number of state partitions; fixed by the first start of a checkpoint.
     state_partitions: int | None = None
+    history_files: int = HISTORY_FILES
     # Extra session settings while a query starts, e.g. a state store provider.
     conf: Mapping[str, str] = field(default_factory=dict)
 
@@ -114,12 +119,10 @@ def from_mapping(config: Mapping[str, Mapping], **others) -> Settings:
     elif "landing" in config:
         values["source"] = Landing(**config["landing"])
     if "mysql" in config:
-        mysql = config["mysql"]
-        values["jdbc"] = Jdbc(
-            f"jdbc:mysql://{mysql['host']}:{mysql['port']}/{mysql['database']}",
-            mysql["table"],
-            mysql["driver"],
-        )
+        mysql = dict(config["mysql"])
+        host, port, database = (mysql.pop(name) for name in ("host", "port", "database"))
+        # The rest are fields of Jdbc; a name that is none raises an error.
+        values["jdbc"] = Jdbc(f"jdbc:mysql://{host}:{port}/{database}", **mysql)
     if "cassandra" in config:
         values["cassandra"] = Cassandra(**config["cassandra"])
     return Settings(**{**values, **others})

@@ -105,7 +105,9 @@ def start_totals(
         create_history_jdbc(spark, settings.jdbc)
         each_batch = to_history_jdbc(settings.jdbc, settings.console)
     else:
-        each_batch = to_history(settings.history_path, settings.console)
+        each_batch = to_history(
+            settings.history_path, settings.console, settings.history_files
+        )
     conf = {**(ROCKSDB if settings.dedup else {}), **settings.conf}
     if settings.state_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(settings.state_partitions)

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordertally.functions.messages import screen
+from ordertally.operators.current import archive_current
 from ordertally.schemas import ARCHIVE, HISTORY, ORDER_FIELDS
-from ordertally.settings import Cassandra, Jdbc
+from ordertally.settings import HISTORY_FILES, Cassandra, Jdbc
 from ordertally.sources.tables import read_history_jdbc
 
 BatchFunction = Callable[[DataFrame, int], None]
@@ -63,12 +64,17 @@ def to_archive(path: str) -> BatchFunction:
 
 
 def to_cassandra(cassandra: Cassandra, rejects_path: str) -> BatchFunction:
-    """Upsert by order_id, which Cassandra does on its key; rejects go to files."""
+    """Upsert by order_id, which Cassandra does on its key; rejects go to files.
+
+    Of an order that a batch holds more than once the last version alone is sent, as
+    `archive_current` would choose it: tasks write in no order.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            orders = batch.where("kind = 'order'")
+            orders = batch.where("kind = 'order'").withColumn("batch_id", F.lit(batch_id))
+            orders = archive_current(orders)
             columns = [F.col(c).cast("string").alias(c) for c in (*ORDER_FIELDS, "timestamp")]
             orders.select(*columns).write.format("org.apache.spark.sql.cassandra").options(
                 **cassandra.options()
@@ -80,12 +86,15 @@ def to_cassandra(cassandra: Cassandra, rejects_path: str) -> BatchFunction:
     return write
 
 
-def to_history(path: str, console: bool = False) -> BatchFunction:
-    """Changed totals of a batch, and on request on the console as well."""
+def to_history(path: str, console: bool = False, files: int = HISTORY_FILES) -> BatchFunction:
+    """Changed totals of a batch in a few files, and on request on the console as well.
+
+    One small shuffle, one row per changed group: the stage that keeps the state stays wide.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = fit(with_lineage(batch, batch_id), HISTORY, "batch_id")
-        _write_batch(rows, path, batch_id)
+        _write_batch(rows.repartition(files, "source", "state"), path, batch_id)
         if console:
             # Read back: a second action on the batch would run its state again.
             written = batch.sparkSession.read.parquet(f"{path}/batch_id={batch_id}")

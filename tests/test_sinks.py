@@ -91,6 +91,41 @@ def test_cassandra_gets_accepted_orders_as_text(spark, tmp_path, monkeypatch):
     assert [(bytes(r["value"]), r["batch_id"]) for r in refused] == [(b"not json", 3)]
 
 
+def test_cassandra_gets_the_last_version_of_an_order(spark, tmp_path, monkeypatch):
+    saved = []
+    monkeypatch.setattr(
+        "pyspark.sql.readwriter.DataFrameWriter.save", lambda self, *_: saved.append(self._df)
+    )
+    versions = [order(total, 2, "a") for total in (3.0, 1.0, 2.0)]
+    batch = sinks.archive_rows(messages(spark, *versions, order(7.0, 2, "b")))
+    # Whatever the order of the rows, the highest position wins.
+    for rows in (batch, batch.orderBy("position"), batch.orderBy(batch.position.desc())):
+        sinks.to_cassandra(Cassandra("ks", "orders"), f"{tmp_path}/rejects")(rows, 0)
+        sent = saved[-1].select("order_id", "total").collect()
+        assert sorted((row[0], float(row[1])) for row in sent) == [("a", 2.0), ("b", 7.0)]
+
+
+def test_history_in_few_files(spark, tmp_path):
+    rows = spark.range(500).selectExpr(
+        "'s' || id AS source", "'TX' AS state", "CAST(id AS double) AS total_sum_amount"
+    )
+    spread = rows.repartition(200, "source")
+    sinks.to_history(f"{tmp_path}/history", files=3)(spread, 0)
+    assert 1 <= len(list(tmp_path.glob("history/batch_id=0/part-*.parquet"))) <= 3
+    assert spark.read.parquet(f"{tmp_path}/history").count() == 500
+
+
+def test_every_name_of_the_mysql_section(tmp_path):
+    mysql = {"host": "db", "port": 1, "driver": "a.D", "database": "d", "table": "t"}
+    given = mysql | {"max_connections": 2, "options": {"batchsize": "9"}}
+    others = {"checkpoint_root": "/c", "archive_path": "/a"}
+    jdbc = from_mapping({"mysql": given}, **others).jdbc
+    assert (jdbc.url, jdbc.table, jdbc.max_connections) == ("jdbc:mysql://db:1/d", "t", 2)
+    assert jdbc.properties()["batchsize"] == "9"
+    with pytest.raises(TypeError):
+        from_mapping({"mysql": mysql | {"tabel": "x"}}, **others)
+
+
 def test_publish_kafka(spark, monkeypatch):
     saved = []
     monkeypatch.setattr(
