@@ -6,22 +6,33 @@ deadline. Earliest deadline first, among the blocks that are released, fills the
 weights that add up to one, every block meets its window, so that after any number of slots
 each source is within one block of its share.
 
-Weights are whole numbers of `period` slots (largest remainders), so the schedule repeats:
-the driver works out one period, a table of `period` rows whatever the corpus. The slot of
-a block follows from its number and this table. A source that has run out leaves its slots
-empty and the others move up; no document is dropped or repeated.
+Weights are taken as the exact fractions that they are written as, and brought to whole
+numbers without a common divisor. Their sum is the period, after which the schedule repeats:
+with equal weights, the number of sources. The driver works out one period, a table of at
+most `period` rows whatever the corpus, and the slot of a block follows from its number and
+this table. Where the period is longer, the driver goes through the blocks that there are,
+one at a time, and writes their slots in parts, with the windows that are open carried over
+from part to part. It takes one step for each block, its memory grows with the number of
+sources, and no weight is rounded either way.
+
+A source that has run out leaves its slots empty and the others move up; no document is
+dropped or repeated.
 
 A null source is a source of its own. Without given weights each source has the same. A
-source that the weights do not name, or that gets less than one slot in a period, has
-a null slot: it comes after all scheduled blocks, in the order of sources. Blocks are counted by document; ties
+source that the weights do not name, or whose weight is 0, has a null slot: it comes after
+all scheduled blocks, in the order of sources. Blocks are counted by document; ties
 in the order within a source go by text. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from fractions import Fraction
+from itertools import islice
+from math import gcd, lcm
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -29,12 +40,27 @@ from pyspark.sql import functions as F
 from ordertally.llm.common import read_table, stored, work_folder
 from ordertally.operators.sizes import fits_broadcast
 
-PERIOD = 1000
+# The longest period whose table is sent to all tasks.
+PERIOD = 2**16
 BLOCK_DOCUMENTS = 8
+# Slots of a longer schedule that the driver holds at a time.
+PART_SLOTS = 2**18
+_SLOTS = "turn_source string, turn bigint, turn_slot bigint"
+
+
+def exact_weights(weights: Mapping) -> dict:
+    """The least whole numbers in proportion to the weights, of the sources that have one."""
+    exact = {source: Fraction(str(weight)) for source, weight in weights.items()}
+    if any(weight < 0 for weight in exact.values()):
+        raise ValueError("a weight is negative")
+    scale = lcm(*(weight.denominator for weight in exact.values()))
+    whole = {source: int(weight * scale) for source, weight in exact.items() if weight}
+    divisor = gcd(*whole.values())
+    return {source: number // divisor for source, number in whole.items()}
 
 
 def whole_weights(weights: Mapping, period: int) -> dict:
-    """Slots for each source, in proportion, that add up to the period."""
+    """Slots for each source that add up to a given period, rounded; `mix` does not round."""
     total = sum(weights.values())
     exact = {source: period * weight / total for source, weight in weights.items()}
     slots = {source: int(share) for source, share in exact.items()}
@@ -44,31 +70,56 @@ def whole_weights(weights: Mapping, period: int) -> dict:
     return slots
 
 
-def pfair(slots: Mapping) -> list:
-    """The source of each slot of one period, by earliest deadline among released blocks."""
+def turns_of(slots: Mapping, blocks: Mapping) -> Iterator[tuple]:
+    """Source and number of each block, by earliest deadline among released blocks.
+
+    `slots` are whole weights; `blocks` says how many blocks a source has. A slot in which
+    no block is released stays empty.
+    """
     period = sum(slots.values())
     order = {source: k for k, source in enumerate(slots)}
-    waiting = []  # (release, deadline, order, source, block)
 
     def block(source, j: int) -> tuple:
         release = j * period // slots[source]
         deadline = -(-(j + 1) * period // slots[source])
         return release, deadline, order[source], source, j
 
-    for source, share in slots.items():
-        if share:
-            heapq.heappush(waiting, block(source, 0))
+    waiting = [block(source, 0) for source, share in slots.items() if share and blocks.get(source)]
+    heapq.heapify(waiting)  # (release, deadline, order, source, block)
     released: list = []  # (deadline, order, source, block)
-    schedule = []
-    for slot in range(period):
+    slot = 0
+    while waiting or released:
+        if not released:
+            slot = max(slot, waiting[0][0])
         while waiting and waiting[0][0] <= slot:
             _, deadline, place, source, j = heapq.heappop(waiting)
             heapq.heappush(released, (deadline, place, source, j))
         _, _, source, j = heapq.heappop(released)
-        schedule.append(source)
-        if j + 1 < slots[source]:
+        yield source, j
+        if j + 1 < blocks[source]:
             heapq.heappush(waiting, block(source, j + 1))
-    return schedule
+        slot += 1
+
+
+def pfair(slots: Mapping) -> list:
+    """The source of each slot of one period, by earliest deadline among released blocks."""
+    return [source for source, _ in turns_of(slots, slots)]
+
+
+def long_schedule(spark: SparkSession, slots: Mapping, blocks: Mapping, folder: str) -> DataFrame:
+    """The slot of every block there is, stored part by part."""
+    turns = turns_of(slots, blocks)
+    first = 0
+    while part := list(islice(turns, PART_SLOTS)):
+        columns = [
+            pa.array([source for source, _ in part], pa.string()),
+            pa.array([turn for _, turn in part], pa.int64()),
+            pa.array(range(first, first + len(part)), pa.int64()),
+        ]
+        table = pa.Table.from_arrays(columns, ["turn_source", "turn", "turn_slot"])
+        spark.createDataFrame(table, _SLOTS).write.mode("append").parquet(folder)
+        first += len(part)
+    return spark.read.schema(_SLOTS).parquet(folder)
 
 
 def mix(
@@ -103,37 +154,42 @@ def mix(
         F.col("source").alias("its_source"),
         F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before"),
     )
+    sizes = counts.groupBy("source").agg(F.sum("count").alias("size")).collect()
     if weights is None:
-        names = [row["source"] for row in counts.select("source").distinct().collect()]
-        weights = {name: 1.0 for name in sorted(names, key=lambda n: (n is None, n or ""))}
-    schedule = pfair(whole_weights(weights, period)) if weights else []
-    seen: dict = {}
-    table = []
-    for slot, source in enumerate(schedule):
-        turn = seen.setdefault(source, 0)
-        seen[source] = turn + 1
-        table.append((source, turn, slot))
-    turns = spark.createDataFrame(
-        [(*row, seen[row[0]]) for row in table],
-        "turn_source string, turn bigint, turn_slot bigint, turns bigint",
-    )
-    shares = spark.createDataFrame(list(seen.items()), "share_source string, share bigint")
+        names = [row["source"] for row in sizes]
+        weights = {name: 1 for name in sorted(names, key=lambda n: (n is None, n or ""))}
+    shares = exact_weights(weights)
+    cycle = sum(shares.values())
     same = F.col("source").eqNullSafe(F.col("its_source")) & (F.col("part") == F.col("its_part"))
     ranked = numbered.join(before, same).select(
         "doc_id", "text_hash", "source", (F.col("before") + F.col("own")).alias("rank")
     )
     blocks = ranked.withColumn("block", F.floor(F.col("rank") / block_documents))
+    own_turn = F.col("source").eqNullSafe(F.col("turn_source"))
+    shown = ["doc_id", "source", "text_hash", "block", "rank"]
+    if cycle > period:
+        held = {row["source"]: -(-row["size"] // block_documents) for row in sizes}
+        if not any(held.get(source) for source in shares):
+            return blocks.select(*shown, F.lit(None).cast("bigint").alias("slot"))
+        turns = long_schedule(spark, shares, held, f"{folder}/schedule")
+        timed = blocks.join(turns, own_turn & (F.col("block") == F.col("turn")), "left")
+        return timed.select(*shown, F.col("turn_slot").alias("slot"))
+    seen: dict = {}
+    table = []
+    for slot, source in enumerate(pfair(shares)):
+        turn = seen.setdefault(source, 0)
+        seen[source] = turn + 1
+        table.append((source, turn, slot))
+    turns = spark.createDataFrame(table, _SLOTS)
+    known = spark.createDataFrame(list(shares.items()), "share_source string, share bigint")
     # Both tables have a row for each slot of a period at most.
     shared = blocks.join(
-        F.broadcast(shares), F.col("source").eqNullSafe(F.col("share_source")), "left"
+        F.broadcast(known), F.col("source").eqNullSafe(F.col("share_source")), "left"
     )
-    own_turn = F.col("source").eqNullSafe(F.col("turn_source"))
     own_turn &= F.col("block") % F.col("share") == F.col("turn")
     timed = shared.join(F.broadcast(turns), own_turn, "left")
-    cycle = F.floor(F.col("block") / F.col("share"))
-    return timed.select(
-        "doc_id", "source", "text_hash", "block", "rank", (cycle * len(schedule) + F.col("turn_slot")).alias("slot")
-    )
+    at = F.floor(F.col("block") / F.col("share")) * cycle + F.col("turn_slot")
+    return timed.select(*shown, at.alias("slot"))
 
 
 def in_order(

@@ -259,6 +259,63 @@ def test_pfair_lag():
     assert dict(given) == {s: w for s, w in slots.items() if w}
 
 
+def lags_of(rows, weights):
+    """The largest deviation of any source from its share of the slots so far, in blocks."""
+    placed = sorted((r["slot"], r["source"]) for r in rows)
+    assert [slot for slot, _ in placed] == list(range(len(placed)))
+    total, worst, given = sum(weights.values()), 0, Counter()
+    for slot, source in placed:
+        # The share grows evenly, so it is farthest just before and just after a block.
+        worst = max(worst, abs(given[source] - (slot * weights[source]) / total))
+        given[source] += 1
+        worst = max(worst, abs(given[source] - ((slot + 1) * weights[source]) / total))
+    return worst
+
+
+@pytest.mark.parametrize(
+    "weights, period",
+    [
+        ({"a": 1, "b": 1, "c": 1}, mixing.PERIOD),
+        ({"a": 1, "b": 1, "c": 1}, 2),
+        ({c: 1 for c in "abcdefg"}, mixing.PERIOD),
+        ({"a": 0.61803399, "b": 0.25, "c": 0.13196601}, mixing.PERIOD),
+        ({"a": 0.9995, "b": 0.0005}, mixing.PERIOD),
+    ],
+)
+def test_mixing_does_not_drift(spark, tmp_path, weights, period):
+    """Over 6,000 slots each source stays within a block of the weights as given."""
+    total = sum(weights.values())
+    many = {s: int(6_000 * w / total) for s, w in weights.items()}
+    rows = [(k, s, f"{s}{k}") for s, n in many.items() for k in range(n)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    found = mixing.mix(frame, str(tmp_path), weights, 1, period).collect()
+    before = [r for r in found if r["slot"] < min(many[s] * total / w for s, w in weights.items()) - 1]
+    assert len(found) == len(rows) and lags_of(before, weights) < 1
+
+
+@pytest.mark.parametrize("period", [mixing.PERIOD, 1000])
+def test_mixing_of_many_sources(spark, tmp_path, period):
+    rows = [(k, f"s{s}", f"{s} {k}") for s in range(2000) for k in range(3)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    found = mixing.mix(frame, str(tmp_path), None, 1, period).collect()
+    assert lags_of(found, {f"s{s}": 1 for s in range(2000)}) < 1
+
+
+def test_mixing_weights_that_name_few(spark, tmp_path):
+    rows = [(k, s, f"{k}") for s in ("a", "b", None) for k in range(4)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    for n, weights in enumerate(({"a": 0.3, None: 1e-9, "b": 0}, {"x": 1, "y": 1e-9}, {"b": 0})):
+        found = mixing.mix(frame, str(tmp_path / str(n)), weights, 1).collect()
+        slots = defaultdict(list)
+        for r in found:
+            slots[r["source"]].append(r["slot"])
+        for source in ("a", "b", None):
+            if weights.get(source):
+                assert len(set(slots[source])) == 4 and None not in slots[source]
+            else:
+                assert slots[source] == [None] * 4
+
+
 def test_mixing_keeps_all(spark):
     rows = QUERIES["op7_mixing"](spark, SF_DIR).collect()
     assert len(rows) == sharing(spark).count()
