@@ -56,7 +56,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = sorted({token.content for token in added if token.content})
         self.mark = np.frombuffer(self.whole([" " + _MARK])[0], dtype="<u4")
         self.caseless = self.whole(["ABC Xyz Q"]) == self.whole(["abc xyz q"])
         # Of each word the ids; 0 for a word that does not stand alone.
@@ -68,6 +69,16 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, dtype="<u4").tobytes() for one in found]
 
+    def _spells_added(self, word: str) -> bool:
+        return any(content in word for content in self.added)
+
+    def _with_added(self, texts: pa.Array) -> np.ndarray:
+        """Which texts spell out an added token."""
+        found = np.zeros(len(texts), dtype=bool)
+        for content in self.added:
+            found |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        return found
+
     def _learn(self, words: set[str]) -> None:
         """Take words into the memo; those that are new go through the tokenizer as one text."""
         memo, older = self.memo, self.older
@@ -76,7 +87,7 @@ class Encoder:
             known = older.get(word)
             if known is not None:
                 memo[word] = known
-            elif not word or word[-1].isspace() or _MARK in word:
+            elif not word or word[-1].isspace() or _MARK in word or self._spells_added(word):
                 memo[word] = 0
             else:
                 stem = word.rstrip(_MARKS)
@@ -123,8 +134,11 @@ class Encoder:
         if not len(texts):
             return []
         given = texts
+        added = self._with_added(given)
         if self.caseless and not _combines(texts):
             texts = pc.ascii_lower(texts)
+            # What only becomes one by small letters is none: it must not be looked up so.
+            added |= self._with_added(texts)
         # A line break opens a word as a blank does, and stays with it.
         split = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
         borders = split.offsets.to_numpy() - split.offsets[0].as_py()
@@ -149,7 +163,7 @@ class Encoder:
         head_ids = dict(zip(distinct, self.whole(distinct), strict=True))
         for i, head in enumerate(map(head_ids.__getitem__, heads)):
             first = heads[i]
-            if whole[i] or first[-1:].isspace() or (not first and after[i] < borders[i + 1]):
+            if added[i] or whole[i] or first[-1:].isspace() or (not first and after[i] < borders[i + 1]):
                 singly.append(i)
             out.append(head + data[starts[i] : ends[i]])
         if singly:

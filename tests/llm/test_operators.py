@@ -223,6 +223,44 @@ def test_encoder_on_odd_white_space(name):
             assert np.frombuffer(ids, dtype="<u4").tolist() == expected, text
 
 
+SPELLED = ["a <|endoftext|> b", "<|endoftext|>", "<|startoftext|>a b", "a<|endoftext|>", "x <|endoftext|>... y"]
+SPELLED += ["a\n<|endoftext|>\nb", "<|endoftext|><|startoftext|> c", "a <|ENDOFTEXT|> b", "<|EndOfText|> b", "<|endoftext"]
+SPELLED += ["a  <|endoftext|>  b", "A <|endoftext|> B T\u0308", "endoftext b |>", "word <|endoftext|>!!! word!!!", "a b"]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_on_added_tokens(name):
+    """By a tokenizer as it is read from the file."""
+    from tokenizers import Tokenizer
+
+    plain, encoder = Tokenizer.from_file(public_path(name)), Encoder(public_path(name))
+    texts = [*SPELLED, " ".join(SPELLED), *AWKWARD[7][1:2]]
+    for _ in range(2):
+        for text, ids in zip(texts, encoder.encode(pa.array(texts)), strict=True):
+            expected = plain.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(ids, dtype="<u4").tolist() == expected, text
+
+
+def test_added_tokens_in_files_and_sequences(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    frame = spark.createDataFrame(list(enumerate(SPELLED)), "doc_id bigint, text string")
+    byte, word = public_path("byte_bpe_50k.json"), public_path("word_bpe_49k.json")
+    token_files.write_token_files(frame, f"{tmp_path}/t", word)
+    found = token_files.read_token_files(spark, f"{tmp_path}/t").collect()
+    packed = {r["doc_id"]: r for r in packing.pack_documents(frame, f"{tmp_path}/p", byte).collect()}
+    start = 0
+    for r in sorted(found, key=lambda r: r["doc_id"]):
+        ids = [*Tokenizer.from_file(word).encode(SPELLED[r["doc_id"]], add_special_tokens=False).ids, 2]
+        crc = zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+        assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (start, len(ids), crc)
+        start += len(ids)
+        ids = [*Tokenizer.from_file(byte).encode(SPELLED[r["doc_id"]], add_special_tokens=False).ids, 2]
+        piece = packed[r["doc_id"]]
+        crc = zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+        assert (piece["length"], piece["ids_crc32"]) == (len(ids), crc)
+
+
 def test_elias_fano():
     rng = np.random.default_rng(2)
     for numbers in ([], [5], [-3, -3, 0], np.sort(rng.integers(0, 10**9, 5000))):
