@@ -12,7 +12,9 @@ time in step; a phrase ends where its segment does, in all languages alike.
 
 The automata are learned from at most `TRAIN_LETTERS` letters of each language, taken from
 whole texts, or the first `TRAIN_TEXT` characters of longer ones, in an order by hash: the
-bound of the labelled sample. Null texts and texts without a letter are `und` with score 0,
+bound of the labelled sample. It is sized by the letters of distinct texts and drawn from
+them, so copies and texts without letters take nothing from it; a language whose draw falls
+short of the bound is drawn again with a larger share, up to all its texts. Null texts and texts without a letter are `und` with score 0,
 as is every text if nothing was learned. A null key is never learned from and not held out.
 """
 
@@ -33,6 +35,9 @@ TRAIN_LETTERS = 40_000
 TRAIN_TEXT = 10_000
 SEGMENT = 256
 _BLANK, _OTHER = 0, 1
+# Characters that the JVM may not know yet (Cn) may be letters.
+_NO_LETTER = r"[^\p{L}\p{Cn}]+"
+_NO_PART = r"[^\p{L}\p{M}\p{Cn}]+"
 _SHARPNESS = 4.0
 _RESULT = "doc_id bigint, held_out boolean, lang_pred string, score double"
 
@@ -180,23 +185,34 @@ def held_out(key: Column) -> Column:
 
 def learn(documents: DataFrame, letters: int = TRAIN_LETTERS) -> tuple[tuple[str, str], ...]:
     """A bounded text for each language, from rows that are not held out."""
+    spark = documents.sparkSession
     labelled = documents.where(
         (F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
         & F.col("lang").isNotNull()
         & (F.length("text") > 0)
     ).select(F.col("lang").cast("string").alias("lang"), F.substring("text", 1, TRAIN_TEXT).alias("text"))
-    sizes = labelled.groupBy("lang").agg(F.sum(F.length("text")).alias("size")).collect()
-    chance = F.lit(0.0)
-    for row in sizes:
-        # Eight times what is used, by expectation; copies of a text are drawn together.
-        share = min(1.0, 8 * letters / row["size"])
-        chance = F.when(F.col("lang") == row["lang"], F.lit(share)).otherwise(chance)
-    draw = F.pmod(F.xxhash64("text"), F.lit(2**30)) / 2**30
-    drawn = labelled.where(draw < chance).distinct().withColumn("draw", draw).collect()
-    texts: dict[str, str] = {row["lang"]: "" for row in sizes}
-    for row in sorted(drawn, key=lambda row: (row["draw"], row["text"])):
-        if len(texts[row["lang"]]) < letters:
-            texts[row["lang"]] += " " + letters_of(row["text"])
+    labelled = labelled.withColumn("mark", F.xxhash64("text"))
+    # Of copies one counts, and only letters do.
+    size = F.max(F.length(F.regexp_replace("text", _NO_LETTER, "")))
+    single = labelled.groupBy("lang", "mark").agg(size.alias("size"))
+    sizes = single.groupBy("lang").agg(F.sum("size").alias("size")).where("size > 0").collect()
+    # Eight times what is used, by expectation.
+    shares = {row["lang"]: min(1.0, 8 * letters / row["size"]) for row in sizes}
+    draw = F.pmod(F.col("mark"), F.lit(2**30)) / 2**30
+    texts: dict[str, str] = {}
+    while shares:
+        chances = spark.createDataFrame(list(shares.items()), "its_lang string, chance double")
+        known = labelled.join(F.broadcast(chances), F.col("lang") == F.col("its_lang"))
+        # What is no letter, and no mark that may become part of one, is not moved.
+        text = F.trim(F.regexp_replace("text", _NO_PART, " ")).alias("text")
+        drawn = known.where(draw < F.col("chance")).select("lang", text, draw.alias("draw"))
+        drawn = drawn.where("text <> ''").distinct().collect()
+        texts |= dict.fromkeys(shares, "")
+        for row in sorted(drawn, key=lambda row: (row["draw"], row["text"])):
+            if len(texts[row["lang"]]) < letters:
+                texts[row["lang"]] += " " + letters_of(row["text"])
+        short = {lang: share for lang, share in shares.items() if len(texts[lang]) < letters}
+        shares = {lang: min(1.0, 8 * share) for lang, share in short.items() if share < 1}
     return tuple((lang, text[:letters]) for lang, text in sorted(texts.items()) if text.strip())
 
 

@@ -382,6 +382,28 @@ def test_language_held_out(spark):
     assert np.mean([r["lang"] == r["lang_pred"] for r in held]) > 0.95
 
 
+def test_language_learns_beside_many_copies(spark):
+    """Neither copies nor texts without a letter keep a language's other texts out."""
+    rng = np.random.default_rng(4)
+    words = ["".join(chr(97 + k) for k in rng.integers(0, 26, 6)) for _ in range(400)]
+    rows = [(k, "a", " ".join(rng.choice(words, 30))) for k in range(80)]
+    rows += [(k, "b", " ".join(rng.choice(words, 30))) for k in range(80)]
+    many = ["id as doc_id", "'a' as lang", "repeat('copied ', 30) as text"]
+    junk = ["id as doc_id", "'b' as lang", "repeat(id || ' 1234567890 ', 20) as text"]
+    frame = spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
+    for more in (many, junk):
+        frame = frame.union(spark.range(100_000, 120_000).selectExpr(*more))
+    learned = dict(language.learn(frame, 1000))
+    assert {lang: len(text) for lang, text in learned.items()} == {"a": 1000, "b": 1000}
+    assert len(set(learned["a"].split()) & set(words)) > 50
+
+
+def test_language_of_one_short_text(spark):
+    rows = [(k, "a", f"{k} {'1234567890 ' * 200}") for k in range(2000)] + [(3, "a", "e\u0301t\u00e9 9")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
+    assert language.learn(frame, 50) == (("a", " \u00e9t\u00e9"),)
+
+
 def test_quality_held_out(spark):
     path = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{path}/labels.parquet")
