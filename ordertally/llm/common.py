@@ -34,10 +34,25 @@ def texts_of(
     )
 
 
+def _named(rows: DataFrame, named: DataFrame, on: list[str], how: str) -> DataFrame:
+    few = fits_broadcast(named)
+    other = named.select(*(F.col(name).alias(f"other_{name}") for name in on))
+    same = [F.col(name).eqNullSafe(F.col(f"other_{name}")) for name in on]
+    return rows.join(F.broadcast(other) if few else other, same, how)
+
+
 def without(rows: DataFrame, dropped: DataFrame, on: list[str]) -> DataFrame:
-    """The rows that are not dropped; they stay where they are if the others can be sent."""
-    gone = F.broadcast(dropped) if fits_broadcast(dropped) else dropped
-    return rows.join(gone, on, "left_anti")
+    """The rows that are not dropped; they stay where they are if the others can be sent.
+    A null key is a key like any other."""
+    return _named(rows, dropped, on, "left_anti")
+
+
+def one_of_each(rows: DataFrame, twice: DataFrame, on: list[str]) -> DataFrame:
+    """The rows, but one alone for each of the keys of `twice`; a null key is one, too."""
+    if twice.isEmpty():
+        return rows
+    once = _named(rows, twice, on, "left_semi").dropDuplicates(on)
+    return without(rows, twice, on).unionByName(once)
 
 
 def stored(table: DataFrame, path: str, batch_rows: int = BATCH_ROWS) -> DataFrame:

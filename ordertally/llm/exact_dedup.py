@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordertally.llm.common import read_table, stored, texts_of, without, work_folder
+from ordertally.llm.common import one_of_each, read_table, stored, texts_of, without, work_folder
 from ordertally.operators.sizes import fits_broadcast
 
 # Each state partition is a small store of its own, so none sets disk space or much memory
@@ -165,17 +165,15 @@ def dedup_documents(documents: DataFrame, folder: str) -> DataFrame:
 
 
 def keep_first(documents: DataFrame, folder: str) -> DataFrame:
-    """The rows that stay, with all their columns; of repeated rows one."""
+    """The rows that stay, with all their columns, one for each text; of repeated rows one,
+    as of rows without a key."""
     decided = stored(dedup_documents(documents, folder), f"{folder}/decided")
     text = normalised(F.coalesce(F.col("text").cast("string"), F.lit("")))
     rows = documents.withColumn("text_sha256", F.sha2(text, 256))
     on = ["doc_id", "text_sha256"]
     kept = without(rows, decided.where("not kept").select(*on).distinct(), on)
     twice = decided.where("kept").groupBy(*on).count().where("count > 1").select(*on)
-    if not twice.isEmpty():
-        once = kept.join(twice, on, "left_semi").dropDuplicates(on)
-        kept = without(kept, twice, on).unionByName(once)
-    return kept.select(*documents.columns)
+    return one_of_each(kept, twice, on).select(*documents.columns)
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from ordertally.llm.common import (
     marked_copies,
+    one_of_each,
     read_table,
     slices,
     stored,
@@ -115,8 +116,9 @@ def _sets(batch: pa.RecordBatch):
 def _classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         _, _, sizes, ids = _sets(batch)
-        columns = [batch.column("doc_id"), pa.array(sizes), pa.array(ids)]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "class"])
+        more = [name for name in batch.schema.names if name not in ("doc_id", "text")]
+        columns = [batch.column("doc_id"), pa.array(sizes), pa.array(ids), *map(batch.column, more)]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "class", *more])
 
 
 def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,10 +318,15 @@ def _open_pairs(columns: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
 
 
-def near_duplicates(documents: DataFrame, folder: str) -> DataFrame:
-    """Key, size of the set, and the least key reachable by links, of every document."""
+def near_duplicates(documents: DataFrame, folder: str, by_row: bool = False) -> DataFrame:
+    """Key, size of the set, and the least key reachable by links, of every document; and
+    `by_row` a hash of the text, which tells rows of one key apart, and the component's root."""
     shape = "doc_id bigint, n_shingles bigint, class bigint"
-    classified = stored(texts_of(documents).mapInArrow(_classify, shape), f"{folder}/classified")
+    rows = texts_of(documents)
+    if by_row:
+        shape += ", text_hash bigint"
+        rows = rows.withColumn("text_hash", F.xxhash64("text"))
+    classified = stored(rows.mapInArrow(_classify, shape), f"{folder}/classified")
     marked = marked_copies(documents, folder)
     firsts = marked.where("not whole or first").select("doc_id", "text")
     columns = stored(_prefixes(firsts), f"{folder}/shared")
@@ -342,18 +349,35 @@ def near_duplicates(documents: DataFrame, folder: str) -> DataFrame:
     )
     rooted = stored(rooted, f"{folder}/rooted")
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    members = rooted.join(ids, "root").select("class", "component_id")
+    members = rooted.join(ids, "root").select("class", "component_id", "root")
     full = classified.where("n_shingles > 0").join(members, "class")
     empty = classified.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
-    shown = ["doc_id", "n_shingles", "component_id"]
+    empty = empty.withColumn("root", F.lit(None).cast("bigint"))
+    shown = ["doc_id", "n_shingles", "component_id", *(["text_hash", "root"] if by_row else [])]
     return full.select(*shown).union(empty.select(*shown))
 
 
 def keep_one(documents: DataFrame, folder: str) -> DataFrame:
-    """The row with the least key of each component, and rows without words."""
-    found = stored(near_duplicates(documents, folder), f"{folder}/found")
-    other = (F.col("n_shingles") > 0) & ~F.col("doc_id").eqNullSafe(F.col("component_id"))
-    return without(documents, found.where(other).select("doc_id").distinct(), ["doc_id"])
+    """One row of each component, that with the least key, and all rows without words.
+
+    Null keys come last; of rows with one key the text decides, by hash, and of repeated
+    rows one stays. Each row is judged by its key and its text, so a key that stands for
+    two texts loses only the one that is a copy.
+    """
+    found = stored(near_duplicates(documents, folder, by_row=True), f"{folder}/found")
+    worded = found.where("n_shingles > 0")
+    on = ["doc_id", "text_hash"]
+    place = F.struct(F.col("doc_id").isNull().alias("late"), *on)
+    stay = worded.groupBy("root").agg(F.min(place).alias("stay")).select("stay.doc_id", "stay.text_hash")
+    stay = stored(stay, f"{folder}/stay")
+    several = worded.groupBy(*on).agg(F.count("*").alias("times"))
+    several = stored(several, f"{folder}/rows")
+    gone = stored(without(several, stay, on).select(*on), f"{folder}/gone")
+    twice = several.where("times > 1").select(*on)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = documents.withColumn("text_hash", F.xxhash64(text))
+    kept = one_of_each(without(rows, gone, on), without(twice, gone, on), on)
+    return kept.select(*documents.columns)
 
 
 def op2_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -457,6 +457,34 @@ def test_null_keys(spark, tmp_path):
         assert len(result.collect()) == 3, name
 
 
+def test_rows_are_judged_by_key_and_text(spark, tmp_path):
+    """Of exact copies one row stays whatever its key, and nothing else goes."""
+    rows = [(3, "x y"), (None, "x  y"), (None, "only null"), (None, "only null"), (None, "alone")]
+    rows += [(5, "x y"), (5, "another text"), (6, "z"), (6, "z")] + [(None, "z")] * 30
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found = exact_dedup.keep_first(frame, str(tmp_path / "d")).collect()
+    expected = [(3, "x y"), (5, "another text"), (6, "z"), (None, "alone"), (None, "only null")]
+    assert Counter(tuple(r) for r in found) == Counter(expected)
+
+
+def test_near_copies_are_judged_by_key_and_text(spark, tmp_path):
+    def base(name):
+        return " ".join(f"{name}{i}" for i in range(60))
+
+    near = {name: base(name) + " end" for name in "abcd"}
+    rows = [(1, base("a")), (2, near["a"]), (2, "clean words that no other row has"), (None, near["a"])]
+    rows += [(None, base("b")), (None, near["b"]), (None, base("b"))]
+    rows += [(4, base("c")), (4, near["c"]), (7, base("d")), (7, base("d")), (None, near["d"])]
+    rows += [(None, ""), (None, None), (8, " "), (8, " ")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found = [tuple(r) for r in similarity.keep_one(frame, str(tmp_path / "s")).collect()]
+    worded = [row for row in found if (row[1] or "").strip()]
+    assert sorted(row[0] for row in worded if row[0] is not None) == [1, 2, 4, 7]
+    assert (1, base("a")) in found and (2, rows[2][1]) in found and (7, base("d")) in found
+    assert [row for row in worded if row[0] is None][0][1] in (base("b"), near["b"])
+    assert len(worded) == 5 and len(found) == 9
+
+
 def test_empty_table(spark, nothing, tmp_path):
     for name, frame in runs(spark, nothing, str(tmp_path)).items():
         assert frame.collect() == [], name
