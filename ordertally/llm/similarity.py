@@ -2,7 +2,9 @@
 
 The incidence matrix has a row for each distinct set of shingles (a class of documents) and
 a column for each shingle. The product of the matrix with its own transpose counts what two
-classes share. It is worked out in blocks of columns, and only where it can matter:
+classes share. That product is not worked out, in blocks of columns or otherwise: this is a
+prefix-filter join, whose candidate pairs are verified by counting the overlap anew from both
+whole texts. It looks only at pairs that can be linked, and its bounds lose no link:
 
 1. Classes that can be linked share one of their first shingles in any common order, the
    first n - ceil(t n) + 1 of n. Rare shingles come first: those that chunks of tasks see
