@@ -171,11 +171,14 @@ def format_conversations(
 
     def form(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Encoder(vocabulary, BRIEF_WORDS)
+        # The line break at the end is no part of a word, so it is counted by itself.
+        ending = len(tokens.whole(["\n"])[0]) // 4
         out, current = Rows(_SCHEMA, texts=[6]), None
         for batch in slices(batches):
             rows = list(tuples([batch], ("conv_id", "role", "text")))
-            turns = [head_of(role) + escaped(text) + CLOSE + "\n" for _, role, text in rows]
-            sizes = [len(ids) // 4 for ids in tokens.encode(pa.array(turns, pa.string()))]
+            turns = [head_of(role) + escaped(text) + CLOSE for _, role, text in rows]
+            ids = tokens.encode(pa.array(turns, pa.string()))
+            sizes = [len(one) // 4 + ending for one in ids]
             for (key, role, text), size in zip(rows, sizes, strict=True):
                 if current is None or current.key != key:
                     for row in current.end() if current else ():
