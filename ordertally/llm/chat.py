@@ -31,11 +31,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordertally.llm.common import read_table, slices, stored, work_folder
-from ordertally.llm.tokens import BRIEF_WORDS, Encoder, public_path
+from ordertally.llm.tokens import SLICE_BYTES, encoder, public_path
 from ordertally.llm.turns import Rows, in_sequence, tuples
 
 VOCABULARY = "byte_bpe_50k.json"
 BUDGET, HISTORY = 1024, 256
+# Rows that go to Python at once: the more, the fewer distinct words in proportion.
+TURNS = 10_000
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 # Strings that mark turns or texts for one model or another.
@@ -170,11 +172,11 @@ def format_conversations(
     text, in code points, that a loss is taken on."""
 
     def form(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Encoder(vocabulary, BRIEF_WORDS)
+        tokens = encoder(vocabulary)
         # The line break at the end is no part of a word, so it is counted by itself.
         ending = len(tokens.whole(["\n"])[0]) // 4
         out, current = Rows(_SCHEMA, texts=[6]), None
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE_BYTES):
             rows = list(tuples([batch], ("conv_id", "role", "text")))
             turns = [head_of(role) + escaped(text) + CLOSE for _, role, text in rows]
             ids = tokens.encode(pa.array(turns, pa.string()))
@@ -253,4 +255,4 @@ def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     tricky = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], shape)
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     windows = format_conversations(rows.unionByName(tricky), public_path(VOCABULARY))
-    return read_back(stored(windows, f"{work_folder(spark)}/windows"))
+    return read_back(stored(windows, f"{work_folder(spark)}/windows", TURNS))

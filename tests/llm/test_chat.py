@@ -87,7 +87,7 @@ def test_windows(spark, budget, history):
     path = public_path(chat.VOCABULARY)
     frame = spark.createDataFrame(rows, SHAPE)
     found = sorted(chat.format_conversations(frame, path, budget, history).collect(), key=lambda r: r["window"])
-    encoder = chat.Encoder(path)
+    encoder = chat.encoder(path)
     size = lambda t: len(encoder.whole([chat.head_of(t[2]) + chat.escaped(t[3]) + chat.CLOSE + "\n"])[0]) // 4
     sizes = [size(row) for row in rows]
     at = 0  # the first turn that no window had
