@@ -35,12 +35,24 @@ def encode(rows: DataFrame) -> DataFrame:
     return rows.select(value, stamp, *others)
 
 
+# An order_id that is text, the text "NaN" with its quotes.
+_QUOTED = r'"order_id"\s*:\s*"\\"NaN\\""'
+
+
 def _unfold(messages: DataFrame, schema: T.StructType, options: dict, *kept: str) -> DataFrame:
     # inline_outer over a one-element array instead of `from_json(...).*`: the
     # optimizer copies a plain from_json into every filter on its fields (such as
     # the NOT NULL a join infers) and the text would be parsed once per copy.
     order = F.from_json(F.col("value").cast("string"), schema, options)
-    return messages.select(F.inline_outer(F.array(order)), *kept)
+    if "order_id" not in schema.names:
+        return messages.select(F.inline_outer(F.array(order)), *kept)
+    # Parsing makes the text "NaN", in quotes, of a number that is missing; the message
+    # itself tells this from text. It is looked at only where that may be so.
+    rows = messages.select(F.inline_outer(F.array(order)), "value", *(k for k in kept if k != "value"))
+    missing = ~F.col("value").cast("string").rlike(_QUOTED)
+    order_id = F.when((F.col("order_id") == '"NaN"') & missing, None).otherwise(F.col("order_id"))
+    names = dict.fromkeys((*schema.names, *kept))
+    return rows.withColumn("order_id", order_id).select(*names)
 
 
 def decode(
@@ -57,7 +69,8 @@ def decode(
 def screen(messages: DataFrame) -> DataFrame:
     """Decoded messages with `reason`: NULL if the archive can take the message.
 
-    A message is refused when it is empty, is no JSON object, or has no usable order_id.
+    A message is refused when it is empty, is no JSON object, or has no usable order_id;
+    what is refused has a NULL order_id.
     """
     schema = T.StructType([*ORDER.fields, T.StructField(CORRUPT, T.StringType())])
     blank = F.length(F.trim(F.coalesce(F.col("value").cast("string"), F.lit("")))) == 0
@@ -68,7 +81,9 @@ def screen(messages: DataFrame) -> DataFrame:
     )
     options = {"columnNameOfCorruptRecord": CORRUPT}
     decoded = _unfold(messages, schema, options, "value", *_arrival(messages))
-    return decoded.withColumn("reason", reason).drop(CORRUPT)
+    screened = decoded.withColumn("reason", reason).drop(CORRUPT)
+    kept = F.when(F.col("reason").isNull(), F.col("order_id"))
+    return screened.withColumn("order_id", kept)
 
 
 def rejects(messages: DataFrame) -> DataFrame:

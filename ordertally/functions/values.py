@@ -28,8 +28,9 @@ def text_key(text: Column) -> Column:
 
 
 def has_id(text: Column) -> Column:
-    """Whether an order's id tells it from others: no NULL, no blanks, no missing number."""
-    return F.coalesce((F.trim(text) != "") & (F.trim(text) != '"NaN"'), F.lit(False))
+    """Whether an order's id tells it from others: no NULL, no blanks. Decoding has made
+    NULL of a missing number."""
+    return F.coalesce(F.trim(text) != "", F.lit(False))
 
 
 def amount(text: Column) -> Column:

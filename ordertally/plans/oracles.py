@@ -128,6 +128,17 @@ ORACLES: dict[str, str] = {
         SELECT text, CASE WHEN trim(text) = '' THEN 'empty' ELSE 'malformed' END AS reason
         FROM (SELECT text FROM documents UNION ALL SELECT text FROM conversations)
     """,
+    "rejected_orders": """
+        SELECT reason, customer_id, count(*) AS messages
+        FROM (
+          SELECT 'no order_id' AS reason, o_custkey AS customer_id
+          FROM orders WHERE o_orderstatus = 'F'
+          UNION ALL
+          SELECT CASE WHEN trim(text) = '' THEN 'empty' ELSE 'malformed' END, NULL
+          FROM (SELECT text FROM documents UNION ALL SELECT text FROM conversations)
+        )
+        GROUP BY ALL
+    """,
     "archive_current": """
         SELECT o_orderkey AS order_id, strftime(o_orderdate, '%Y-%m-%d') AS created_at,
                round(CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice + 1

@@ -489,6 +489,30 @@ def rejected_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refused.select(F.col("value").cast("string").alias("text"), "reason")
 
 
+def rejected_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream refuses of orders without usable ids, some numbers among them, and texts."""
+    lost = table(spark, sf_dir, "orders", stream=True).where("o_orderstatus = 'F'")
+    bare = F.concat(
+        F.lit('{"order_id": '),
+        F.when(F.col("o_orderkey") % 2 == 0, F.lit("NaN")).otherwise(F.lit('" "')),
+        F.lit(', "customer_id": '),
+        F.col("o_custkey").cast("string"),
+        F.lit("}"),
+    )
+    unnamed = lost.select(
+        bare.cast("binary").alias("value"),
+        F.col("o_orderdate").cast("timestamp").alias("timestamp"),
+        *identity(),
+    )
+    settings = job(new_workspace(spark))
+    messages = mixed_messages(spark, sf_dir, stream=True).unionByName(unnamed)
+    start_archive(messages, settings).awaitTermination()
+    refused = read_rejects(spark, settings.archive_path)
+    named = decode(refused, ["customer_id"], keep=["reason"])
+    customer = F.col("customer_id").try_cast("bigint").alias("customer_id")
+    return named.groupBy("reason", customer).agg(F.count("*").alias("messages"))
+
+
 def archive_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders, then corrections of some: the corrections win."""
     work = new_workspace(spark)
@@ -545,6 +569,7 @@ QUERIES: dict[str, Query] = {
         unmatched_orders_spread,
         archive_scan,
         rejected_messages,
+        rejected_orders,
         archive_current,
     )
 }

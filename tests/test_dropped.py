@@ -39,6 +39,15 @@ def test_ids_that_are_none(spark, order_id):
     assert [r["reason"] for r in rejects(sent).collect()] == ["no order_id"] * 2
 
 
+def test_an_id_that_reads_like_a_missing_number(spark, ansi):
+    """Text is an id, whatever it says; the copies of this one count once."""
+    one = r'{"order_id": "\"NaN\"", "total": 5, "customer_id": 1}'
+    dimension = spark.createDataFrame([(1, "G", "T")], "customer_id bigint, source string, state string")
+    sent = messages(spark, one, one)
+    assert tuples(totals_from_messages(sent, dimension, dedup_orders=True)) == [("G", "T", 5.0)]
+    assert rejects(sent).count() == 0
+
+
 @pytest.mark.parametrize(
     "name",
     [

@@ -27,6 +27,10 @@ CASES = [
     ('{"ORDER_ID": 8}', None, None, None, "no order_id"),
     ("{}", None, None, None, "no order_id"),
     ('{"total": 5, "customer_id": 1}', None, "5", "1", "no order_id"),
+    ('{"order_id": NaN, "total": 5}', None, "5", None, "no order_id"),
+    ('{"order_id": " ", "total": 5}', None, "5", None, "no order_id"),
+    (r'{"order_id": "\"NaN\"", "total": 5}', '"NaN"', "5", None, None),
+    ('{"order_id": "NaN", "total": 5}', "NaN", "5", None, None),
     ("", None, None, None, "empty"),
     ("  ", None, None, None, "empty"),
     (None, None, None, None, "empty"),
