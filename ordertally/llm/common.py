@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -34,10 +35,19 @@ def texts_of(
     )
 
 
+def unused(name: str, *tables: DataFrame) -> str:
+    """The name, or one like it that no column of the tables has."""
+    taken = {column.lower() for table in tables for column in table.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def _named(rows: DataFrame, named: DataFrame, on: list[str], how: str) -> DataFrame:
     few = fits_broadcast(named)
-    other = named.select(*(F.col(name).alias(f"other_{name}") for name in on))
-    same = [F.col(name).eqNullSafe(F.col(f"other_{name}")) for name in on]
+    others = {name: unused(f"other_{name}", rows) for name in on}
+    other = named.select(*(F.col(name).alias(others[name]) for name in on))
+    same = [F.col(name).eqNullSafe(F.col(others[name])) for name in on]
     return rows.join(F.broadcast(other) if few else other, same, how)
 
 
@@ -93,6 +103,14 @@ def work_folder(spark: SparkSession) -> str:
     return new_workspace(spark)
 
 
+def give_back() -> None:
+    """Unused memory of a worker to the system: an idle one keeps no more than it must."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 def slices(
     batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
@@ -107,8 +125,7 @@ def slices(
         cuts = np.flatnonzero(np.diff(step)) + 1
         for start, end in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
             yield batch.slice(int(start), int(end) - int(start))
-    # An idle worker keeps no more than it must.
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def filesystem(uri: str) -> tuple[fs.FileSystem, str]:

@@ -22,7 +22,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordertally.llm.common import one_of_each, read_table, stored, texts_of, without, work_folder
+from ordertally.llm.common import (
+    one_of_each,
+    read_table,
+    stored,
+    texts_of,
+    unused,
+    without,
+    work_folder,
+)
 from ordertally.operators.sizes import fits_broadcast
 
 # Each state partition is a small store of its own, so none sets disk space or much memory
@@ -35,6 +43,10 @@ STATE_STORE = {
     "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
     "spark.sql.streaming.stateStore.rocksdb.blockCacheSizeMB": "4",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # One limit for all stores of an executor; stores that have been closed go soon.
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
+    "spark.sql.streaming.stateStore.maintenanceInterval": "5s",
 }
 _LOG = "digest binary, size bigint, doc_id bigint"
 _STATE = "digest binary, size bigint, keep_id bigint, group_size bigint"
@@ -165,15 +177,18 @@ def dedup_documents(documents: DataFrame, folder: str) -> DataFrame:
 
 
 def keep_first(documents: DataFrame, folder: str) -> DataFrame:
-    """The rows that stay, with all their columns, one for each text; of repeated rows one,
-    as of rows without a key."""
+    """The rows that stay, with all their columns, whatever these are called, one for each
+    text; of repeated rows one, as of rows without a key. A null text is empty, and an empty
+    text is a text like any other. An empty table gives no rows."""
     decided = stored(dedup_documents(documents, folder), f"{folder}/decided")
     text = normalised(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    rows = documents.withColumn("text_sha256", F.sha2(text, 256))
-    on = ["doc_id", "text_sha256"]
+    digest = unused("text_sha256", documents)
+    rows = documents.withColumn(digest, F.sha2(text, 256))
+    on = ["doc_id", digest]
+    decided = decided.withColumnRenamed("text_sha256", digest)
     kept = without(rows, decided.where("not kept").select(*on).distinct(), on)
-    twice = decided.where("kept").groupBy(*on).count().where("count > 1").select(*on)
-    return one_of_each(kept, twice, on).select(*documents.columns)
+    twice = decided.where("kept").groupBy(*on).agg(F.count("*").alias("times"))
+    return one_of_each(kept, twice.where("times > 1").select(*on), on).select(*documents.columns)
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

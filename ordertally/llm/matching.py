@@ -16,13 +16,14 @@ from pyspark.sql import DataFrame
 # Names that a task compares by itself before it sends them.
 CHUNK = 2**18
 SENT = "route bigint, name bigint, key bigint, place int, sure boolean"
-FOUND = "name bigint, key bigint, place int"
+SENT_WIDE = "route bigint, name bigint, key bigint, place bigint, sure boolean"
 
 
 class Chunk:
     """Names with their places, gathered from several batches."""
 
-    def __init__(self):
+    def __init__(self, wide: bool = False):
+        self.kind = np.int64 if wide else np.int32
         self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.size = 0
 
@@ -47,7 +48,7 @@ class Chunk:
             np.concatenate((names[index], keys[again])),
             np.concatenate((names[index], names[again])),
             np.concatenate((keys[index], keys[again])),
-            np.concatenate((places[index], places[again])).astype(np.int32),
+            np.concatenate((places[index], places[again])).astype(self.kind),
             np.arange(len(index) + len(again)) >= len(index),
         ]
         whole = pa.RecordBatch.from_arrays(
@@ -90,4 +91,4 @@ def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated(sent: DataFrame) -> DataFrame:
     """Name, key and place of what occurs more than once; a row may come twice."""
     dealt = sent.repartition("route").sortWithinPartitions("sure", "name")
-    return dealt.mapInArrow(_matches, FOUND)
+    return dealt.mapInArrow(_matches, dealt.select("name", "key", "place").schema)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ordertally.llm.common import read_table, stored, work_folder
+from ordertally.llm.common import read_table, stored, unused, work_folder
 from ordertally.operators.sizes import fits_broadcast
 
 # The longest period whose table is sent to all tasks.
@@ -195,17 +195,18 @@ def mix(
 def in_order(
     documents: DataFrame, folder: str, weights: Mapping[str | None, float] | None = None
 ) -> DataFrame:
-    """All rows, all their columns, sorted by their place in the mixture from the first
-    partition to the last; repeated rows stand together."""
-    own = [F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash")]
+    """All rows, all their columns, whatever these are called, sorted by their place in the
+    mixture from the first partition to the last; repeated rows stand together."""
+    own_id, own_hash, at = (unused(name, documents) for name in ("own_id", "own_hash", "at"))
+    own = [F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash)]
     placed = mix(documents, folder, weights).groupBy(*own).agg(
-        F.min(F.struct(F.col("slot").isNull().alias("late"), "slot", "source", "rank")).alias("at")
+        F.min(F.struct(F.col("slot").isNull().alias("late"), "slot", "source", "rank")).alias(at)
     )
     placed = stored(placed, f"{folder}/mixture")
     # Numbers for the rows; they are sent to the rows if they are few enough.
     known = F.broadcast(placed) if fits_broadcast(placed) else placed
-    same = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("own_hash") == F.xxhash64("text"))
-    order = ["at.late", "at.slot", "at.source", "at.rank"]
+    same = F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.col(own_hash) == F.xxhash64("text"))
+    order = [f"{at}.{name}" for name in ("late", "slot", "source", "rank")]
     timed = documents.join(known, same).repartitionByRange(*order).sortWithinPartitions(*order)
     return timed.select(*(F.col(name) for name in documents.columns))
 

@@ -149,10 +149,12 @@ def pieces(
 
     With `as_stored`, of documents read from files, a task names itself by the file and the
     row where it begins; then pieces of one length are packed in the order of the files.
+    Further columns, whatever they are called, are left alone.
     """
     rows = texts_of(documents)
     if as_stored:
-        rows = texts_of(documents.select("*", "_metadata.file_name", "_metadata.row_index"), "doc_id", "text", ["file_name", "row_index"])
+        place = documents.metadataColumn("_metadata")
+        rows = texts_of(documents, more=[place[name].alias(name) for name in ("file_name", "row_index")])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(vocabulary) if lasting else Encoder(vocabulary, BRIEF_WORDS)

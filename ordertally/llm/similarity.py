@@ -1,32 +1,33 @@
 """Near-duplicate documents: a join on the Jaccard similarity of word shingles.
 
 The incidence matrix has a row for each distinct set of shingles (a class of documents) and
-a column for each shingle. The product of the matrix with its own transpose counts what two
-classes share. That product is not worked out, in blocks of columns or otherwise: this is a
-prefix-filter join, whose candidate pairs are verified by counting the overlap anew from both
-whole texts. It looks only at pairs that can be linked, and its bounds lose no link:
-
-1. Classes that can be linked share one of their first shingles in any common order, the
-   first n - ceil(t n) + 1 of n. Rare shingles come first: those that chunks of tasks see
-   again and again are put last, and this table has a bounded number of rows. The order
-   decides how much work there is, not what is found.
-2. Columns that occur once are dropped: what a set has there it shares with none, which
-   bounds its overlap with any other, its reach. A class leaves the columns in which its
-   reach is too short for the least size there.
+a column for each shingle; the product of the matrix with its own transpose counts what two
+classes share. The columns come in blocks, the same for all classes: rare columns by hash,
+then the common ones, those that chunks of tasks see again and again, by how common they
+are. The product is worked out for the pairs alone that bounds by size leave:
+
+1. A class is multiplied in its first blocks: as many as it takes to hold n - ceil(t n) + 1
+   of its n shingles. Linked sets share one of these, in a block that both have come to.
+   Columns that occur once there are dropped.
+2. Of two classes the one with fewer blocks says how large the overlap can be: its columns
+   in these blocks that occur again, its reach so far, and all that lies behind them.
+   Classes leave the columns in which no pair can come to what a link needs.
 3. In each column a class meets two pivots instead of all others: the class with the fewest
-   shingles of its own, the hub of a group of near copies, and one by hash. Pairs whose
-   sizes and reaches allow a link are verified on their whole sets.
-4. The links join classes to components. Of classes in different components still, a pair
-   is looked at in the first column that it shares: the columns that both have from there
-   on, and what lies behind their first shingles, bound the whole overlap. Pairs below what
-   the threshold asks for, by their sizes, are discarded, the others are verified. So every
-   link between components is found, and a group of n near copies costs about n pairs and
-   not their square.
+   shingles of its own, the hub of a group of near copies, and one by hash.
+4. For pairs that may be linked the overlap is added up block by block from both whole
+   sets; after each block those pairs go whose count, with the least of what both have
+   left, falls short of what a link needs.
+5. The links join classes to components. Of classes in different components still, all
+   pairs that share a column are looked at in the same way, in the first column that they
+   share: the columns that both have from there on, and what lies behind, bound the overlap.
+   So every link between components is found, and a group of n near copies costs about n
+   pairs and not their square.
 
 Shingles and sets are told apart by 64-bit hashes. A null text has no words; a document
 without words has an empty set and is linked with nothing; a text shorter than a shingle is
 one shingle. A row with a null key takes part; a component of null keys alone has a null
-id. Repeated rows are in one class. An empty table gives no rows.
+id. Repeated rows are in one class. An empty table gives no rows. A text of 2**29 shingles
+or more raises an error.
 """
 
 from __future__ import annotations
@@ -46,11 +47,12 @@ from ordertally.llm.common import (
     slices,
     stored,
     texts_of,
+    unused,
     without,
     work_folder,
 )
 from ordertally.llm.components import components
-from ordertally.llm.matching import CHUNK, SENT, Chunk, repeated
+from ordertally.llm.matching import CHUNK, SENT_WIDE, Chunk, repeated
 from ordertally.llm.words import mixed, paired, words_of
 from ordertally.operators.sizes import fits_broadcast
 
@@ -58,6 +60,11 @@ SHINGLE = 5
 PERCENT = 75
 # Shingles that are put last: seen so often within chunks, and at most so many of them.
 COMMON_COUNT, COMMON_SHINGLES = 16, 2**18
+# Blocks of rare columns: the first quarter of a set ends in the middle of a block, mostly.
+BLOCKS = 10
+# Blocks in all: a block of common columns for each power of two of how often they are seen.
+LAST_BLOCK = 31
+_BITS, _BLOCK_BITS = 29, 5
 
 
 def shingles(texts: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -154,9 +161,15 @@ def common_shingles(firsts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return names[order], table.column("times").to_numpy()[order]
 
 
-def prefix(size: Column) -> Column:
-    """How many of its first shingles a set is compared by."""
-    return size - F.ceil(size * PERCENT / 100) + 1
+def blocks_of(names: np.ndarray, common: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """The block that each shingle's column is in."""
+    blocks = ((names >> np.uint64(32)) * np.uint64(BLOCKS) >> np.uint64(32)).astype(np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, names), len(common) - 1)
+        often = np.log2(times[at] / COMMON_COUNT).astype(np.int64)
+        late = np.minimum(BLOCKS + np.maximum(often, 0), LAST_BLOCK)
+        blocks = np.where(common[at] == names, late, blocks)
+    return blocks
 
 
 def needed(one: Column, other: Column) -> Column:
@@ -164,40 +177,58 @@ def needed(one: Column, other: Column) -> Column:
     return F.ceil((one + other) * PERCENT / (100 + PERCENT))
 
 
-def _prefixes(firsts: DataFrame) -> DataFrame:
-    """Column, class and size for the first shingles of every set."""
-    common, times = common_shingles(firsts)
+def _multiplied(firsts: DataFrame, common: np.ndarray, times: np.ndarray) -> DataFrame:
+    """Column, class, its size, its last block, and its shingles behind that, for the
+    shingles of every set in its first blocks."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = Chunk()
+        chunk = Chunk(wide=True)
         for batch in slices(batches):
-            names, text, sizes, ids = _sets(batch)
-            ranks = np.zeros(len(names), dtype=np.int64)
-            if len(common):
-                at = np.minimum(np.searchsorted(common, names), len(common) - 1)
-                ranks = np.where(common[at] == names, times[at], 0)
-            names, text = distinct(names, text, ranks)
-            place = np.arange(len(names)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            first = sizes - -(-sizes * PERCENT // 100) + 1
-            keep = place < first[text]
+            names, text = shingles(batch.column("text").to_pylist())
+            names, text = distinct(names, text, blocks_of(names, common, times))
+            sizes, ids = class_ids(names, text, batch.num_rows)
+            if sizes.max(initial=0) >= 2**_BITS:
+                raise ValueError("a text has too many shingles")
+            blocks = blocks_of(names, common, times)
+            firsts = np.cumsum(sizes) - sizes
+            enough = firsts + sizes - -(-sizes * PERCENT // 100)  # the last that is needed
+            last = np.full(len(sizes), -1)
+            full = np.flatnonzero(sizes)
+            last[full] = blocks[enough[full]]
+            keep = blocks <= last[text]
             names, text = names[keep], text[keep]
-            if chunk.add(names, ids[text], sizes[text]):
+            behind = sizes - np.bincount(text, minlength=len(sizes))
+            packed = (sizes << _BITS | behind) << _BLOCK_BITS | np.maximum(last, 0)
+            if chunk.add(names, ids[text], packed[text]):
                 yield from chunk.close()
         yield from chunk.close()
 
-    found = repeated(firsts.mapInArrow(send, SENT))
-    return found.select("name", F.col("key").alias("class"), F.col("place").alias("size")).distinct()
+    found = repeated(firsts.mapInArrow(send, SENT_WIDE))
+    place = F.col("place")
+    return found.select(
+        "name",
+        F.col("key").alias("class"),
+        F.shiftright(place, _BITS + _BLOCK_BITS).alias("size"),
+        F.shiftright(place, _BLOCK_BITS).bitwiseAND(F.lit(2**_BITS - 1)).alias("behind"),
+        place.bitwiseAND(F.lit(2**_BLOCK_BITS - 1)).alias("last"),
+    ).distinct()
 
 
 def _within_reach(columns: DataFrame) -> DataFrame:
     """The columns with each class's reach, without what cannot be linked there; and how
     many of its columns a class has from each on, rare columns first."""
     shared = columns.groupBy("class").agg(F.count("*").alias("shared"))
-    reach = F.col("size") - prefix(F.col("size")) + F.col("shared")
-    known = columns.join(shared, "class").select("name", "class", "size", reach.alias("reach"))
-    least = columns.groupBy("name").agg(F.min("size").alias("least"), F.count("*").alias("times"))
+    known = columns.join(shared, "class").withColumn("reach", F.col("behind") + F.col("shared"))
+    others = columns.groupBy("name").agg(
+        F.min("size").alias("least"), F.min("last").alias("earliest"), F.count("*").alias("times")
+    )
     other = F.greatest(F.col("least"), F.ceil(F.col("size") * PERCENT / 100))
-    near = known.join(least, "name").where(F.col("reach") >= needed(F.col("size"), other))
+    # A class's own reach bounds its pairs with classes that have no fewer blocks. Where one
+    # has fewer, that one's reach counts; it may still be enough.
+    near = known.join(others, "name").where(
+        (F.col("reach") >= needed(F.col("size"), other))
+        | ((F.col("last") > F.col("earliest")) & (F.col("size") >= needed(F.col("size"), other)))
+    )
     backward = W.partitionBy("class").orderBy(F.desc("times"), F.desc("name"))
     mark = F.xxhash64("name")
     own = W.partitionBy("class")
@@ -206,6 +237,8 @@ def _within_reach(columns: DataFrame) -> DataFrame:
         "name",
         "class",
         "size",
+        "behind",
+        "last",
         "reach",
         F.row_number().over(backward).alias("left"),
         F.count("*").over(own).alias("all"),
@@ -216,24 +249,31 @@ def _within_reach(columns: DataFrame) -> DataFrame:
     )
 
 
-def _linkable(one: tuple[str, str], other: tuple[str, str]) -> Column:
+def _of_fewer_blocks(name: str, a: str, b: str) -> Column:
+    """What the class with fewer blocks says; with as many, the lesser of both."""
+    one, other = F.col(f"{name}{a}"), F.col(f"{name}{b}")
+    lasts = F.col(f"last{a}"), F.col(f"last{b}")
+    return (
+        F.when(lasts[0] < lasts[1], one)
+        .when(lasts[0] > lasts[1], other)
+        .otherwise(F.least(one, other))
+    )
+
+
+def _linkable(a: str, b: str) -> Column:
     """Whether sizes and reaches allow a link."""
-    (size, reach), (other_size, other_reach) = ((F.col(a), F.col(b)) for a, b in (one, other))
-    return F.least(reach, other_reach, size, other_size) >= needed(size, other_size)
+    sizes = F.col(f"size{a}"), F.col(f"size{b}")
+    return F.least(_of_fewer_blocks("reach", a, b), *sizes) >= needed(*sizes)
 
 
 def _enough_left() -> Column:
     """Whether a pair can be linked if no earlier column is shared.
 
+    What the columns in blocks of both do not show lies behind the class with fewer blocks.
     Nor may one lack more of the other's columns than that can spare; each bit of a mask of
     columns that the other mask has not stands for one at least.
-
-    Of two sets, all that one shares within its first shingles is among the first shingles
-    of the other if these reach further, so what the columns do not show lies behind them.
     """
-    one, other = F.col("size_a"), F.col("size_b")
-    behind = F.greatest(one - prefix(one), other - prefix(other))
-    shared = needed(one, other) - behind
+    shared = needed(F.col("size_a"), F.col("size_b")) - _of_fewer_blocks("behind", "_a", "_b")
     allowed = F.least("left_a", "left_b") >= shared
     for mask in ("mask0", "mask1"):
         for a, b in (("a", "b"), ("b", "a")):
@@ -242,23 +282,49 @@ def _enough_left() -> Column:
     return allowed
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose whole sets are similar enough."""
-    for batch in slices(slices(batches, "text_a"), "text_b"):
-        one = distinct(*shingles(batch.column("text_a").to_pylist()))
-        other = distinct(*shingles(batch.column("text_b").to_pylist()))
-        count = batch.num_rows
-        sizes = np.bincount(one[1], minlength=count) + np.bincount(other[1], minlength=count)
-        names, text = np.concatenate((one[0], other[0])), np.concatenate((one[1], other[1]))
-        order = np.lexsort((names, text))
-        names, text = names[order], text[order]
-        both = (names[1:] == names[:-1]) & (text[1:] == text[:-1])
-        shared = np.bincount(text[1:][both], minlength=count)
-        linked = 100 * shared >= PERCENT * (sizes - shared)
-        yield batch.select(["a", "b"]).filter(pa.array(linked))
+def _overlaps(one: tuple, other: tuple, count: int, common: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Which of the pairs are linked: overlaps are added up block by block, and a pair is
+    left as soon as what remains cannot bring it to a link."""
+    sizes = [np.bincount(text, minlength=count) for _, text in (one, other)]
+    # The least overlap of a link: 100 x >= PERCENT (sizes - x).
+    least = -(-PERCENT * (sizes[0] + sizes[1]) // (100 + PERCENT))
+    names, text = (np.concatenate(both) for both in zip(one, other, strict=True))
+    blocks = blocks_of(names, common, times)
+    order = np.lexsort((names, text, blocks))
+    names, text = names[order], text[order]
+    borders = np.searchsorted(blocks[order], np.arange(LAST_BLOCK + 2))
+    sides = np.arange(len(order)) >= len(one[0])
+    sides = sides[order]
+    rest = [size.copy() for size in sizes]
+    shared = np.zeros(count, dtype=np.int64)
+    alive = np.ones(count, dtype=bool)
+    for start, end in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True):
+        if start == end:
+            continue
+        part, whose, side = names[start:end], text[start:end], sides[start:end]
+        keep = alive[whose]
+        part, whose, side = part[keep], whose[keep], side[keep]
+        both = (part[1:] == part[:-1]) & (whose[1:] == whose[:-1])
+        shared += np.bincount(whose[1:][both], minlength=count)
+        for k in range(2):
+            rest[k] -= np.bincount(whose[side == k], minlength=count)
+        alive &= shared + np.minimum(*rest) >= least
+    return alive
 
 
-def _links(pairs: DataFrame, texts: DataFrame, folder: str) -> DataFrame:
+def _verified(common: np.ndarray, times: np.ndarray):
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs whose whole sets are similar enough."""
+        for batch in slices(slices(batches, "text_a"), "text_b"):
+            one = distinct(*shingles(batch.column("text_a").to_pylist()))
+            other = distinct(*shingles(batch.column("text_b").to_pylist()))
+            linked = _overlaps(one, other, batch.num_rows, common, times)
+            yield batch.select(["a", "b"]).filter(pa.array(linked))
+
+    return verify
+
+
+def _links(pairs: DataFrame, texts: DataFrame, folder: str, often: tuple) -> DataFrame:
     """The pairs that are links; `texts` has one text of each class that may be in a pair."""
     pairs = stored(pairs, f"{folder}/pairs")
     used = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
@@ -268,7 +334,7 @@ def _links(pairs: DataFrame, texts: DataFrame, folder: str) -> DataFrame:
     left = wanted.select(F.col("class").alias("a"), F.col("text").alias("text_a"))
     right = wanted.select(F.col("class").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(left, "a").join(right, "b")
-    links = both.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a bigint, b bigint")
+    links = both.select("a", "b", "text_a", "text_b").mapInArrow(_verified(*often), "a bigint, b bigint")
     return stored(links, f"{folder}/links")
 
 
@@ -276,27 +342,18 @@ def _pivot_pairs(columns: DataFrame) -> DataFrame:
     """Each class with the pivots of each of its columns, once."""
     mark = F.xxhash64("class")
     alone = (F.col("size") - F.col("reach")) / F.col("size")
-    fewest = F.min(F.struct(alone.alias("alone"), mark.alias("mark"), "class", "size", "reach"))
-    least = F.min(F.struct(mark.alias("mark"), "class", "size", "reach"))
+    parts = ("class", "size", "last", "reach")
+    fewest = F.min(F.struct(alone.alias("alone"), mark.alias("mark"), *parts))
+    least = F.min(F.struct(mark.alias("mark"), *parts))
     pivots = columns.groupBy("name").agg(
         fewest.alias("hub"), least.alias("least"), F.max("class").alias("one"), F.min("class").alias("two")
     )
-    both = [F.struct(*(f"{name}.{part}" for part in ("class", "size", "reach"))) for name in ("hub", "least")]
+    both = [F.struct(*(f"{name}.{part}" for part in parts)) for name in ("hub", "least")]
     pivots = pivots.where("one <> two").select("name", F.array_distinct(F.array(*both)).alias("pivots"))
     met = columns.join(pivots, "name").withColumn("pivot", F.explode("pivots"))
-    met = met.select(
-        "class",
-        "size",
-        "reach",
-        F.col("pivot.class").alias("pivot"),
-        F.col("pivot.size").alias("pivot_size"),
-        F.col("pivot.reach").alias("pivot_reach"),
-    )
-    near = met.where(
-        (F.col("class") != F.col("pivot"))
-        & _linkable(("size", "reach"), ("pivot_size", "pivot_reach"))
-    )
-    ends = F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")
+    met = met.select(*parts, *(F.col(f"pivot.{part}").alias(f"{part}_pivot") for part in parts))
+    near = met.where((F.col("class") != F.col("class_pivot")) & _linkable("", "_pivot"))
+    ends = F.least("class", "class_pivot").alias("a"), F.greatest("class", "class_pivot").alias("b")
     return near.select(*ends).distinct()
 
 
@@ -308,13 +365,13 @@ def _open_pairs(columns: DataFrame, roots: DataFrame) -> DataFrame:
     several = named.groupBy("name").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     several = several.where("low <> high").select("name")
     kept = named.join(several, "name", "left_semi")
-    parts = ("class", "size", "reach", "left", "all", "mask0", "mask1", "root")
+    parts = ("class", "size", "behind", "last", "reach", "left", "all", "mask0", "mask1", "root")
     one = kept.select("name", *(F.col(c).alias(f"{c}_a") for c in parts))
     two = kept.select("name", *(F.col(c).alias(f"{c}_b") for c in parts))
     pairs = one.join(two, "name").where(
         (F.col("class_a") < F.col("class_b"))
         & (F.col("root_a") != F.col("root_b"))
-        & _linkable(("size_a", "reach_a"), ("size_b", "reach_b"))
+        & _linkable("_a", "_b")
         & _enough_left()
     )
     return pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
@@ -331,7 +388,8 @@ def near_duplicates(documents: DataFrame, folder: str, by_row: bool = False) ->
     classified = stored(rows.mapInArrow(_classify, shape), f"{folder}/classified")
     marked = marked_copies(documents, folder)
     firsts = marked.where("not whole or first").select("doc_id", "text")
-    columns = stored(_prefixes(firsts), f"{folder}/shared")
+    often = common_shingles(firsts)
+    columns = stored(_multiplied(firsts, *often), f"{folder}/shared")
     columns = stored(_within_reach(columns), f"{folder}/columns")
 
     def with_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -340,9 +398,9 @@ def near_duplicates(documents: DataFrame, folder: str, by_row: bool = False) ->
             yield pa.RecordBatch.from_arrays([pa.array(ids), batch.column("text")], ["class", "text"])
 
     texts = firsts.mapInArrow(with_class, "class bigint, text string")
-    near = _links(_pivot_pairs(columns), texts, f"{folder}/near")
+    near = _links(_pivot_pairs(columns), texts, f"{folder}/near", often)
     roots = components(near, f"{folder}/near/components")
-    rest = _links(_open_pairs(columns, roots), texts, f"{folder}/rest")
+    rest = _links(_open_pairs(columns, roots), texts, f"{folder}/rest", often)
     roots = components(near.union(rest), f"{folder}/rest/components")
 
     classes = classified.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
@@ -364,20 +422,23 @@ def keep_one(documents: DataFrame, folder: str) -> DataFrame:
 
     Null keys come last; of rows with one key the text decides, by hash, and of repeated
     rows one stays. Each row is judged by its key and its text, so a key that stands for
-    two texts loses only the one that is a copy.
+    two texts loses only the one that is a copy. All columns stay, whatever they are called.
+    An empty table gives no rows.
     """
     found = stored(near_duplicates(documents, folder, by_row=True), f"{folder}/found")
     worded = found.where("n_shingles > 0")
-    on = ["doc_id", "text_hash"]
+    digest = unused("text_hash", documents)
+    worded = worded.withColumnRenamed("text_hash", digest)
+    on = ["doc_id", digest]
     place = F.struct(F.col("doc_id").isNull().alias("late"), *on)
-    stay = worded.groupBy("root").agg(F.min(place).alias("stay")).select("stay.doc_id", "stay.text_hash")
+    stay = worded.groupBy("root").agg(F.min(place).alias("stay")).select("stay.doc_id", f"stay.{digest}")
     stay = stored(stay, f"{folder}/stay")
     several = worded.groupBy(*on).agg(F.count("*").alias("times"))
     several = stored(several, f"{folder}/rows")
     gone = stored(without(several, stay, on).select(*on), f"{folder}/gone")
     twice = several.where("times > 1").select(*on)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = documents.withColumn("text_hash", F.xxhash64(text))
+    rows = documents.withColumn(digest, F.xxhash64(text))
     kept = one_of_each(without(rows, gone, on), without(twice, gone, on), on)
     return kept.select(*documents.columns)
 

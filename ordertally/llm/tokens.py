@@ -91,7 +91,8 @@ class Encoder:
                 memo[word] = 0
             else:
                 stem = word.rstrip(_MARKS)
-                if stem != word and stem and stem[-1].isalnum():
+                # A last letter can have a small form that ends in a combining mark.
+                if stem != word and stem and all(c.isalnum() for c in stem[-1].lower()):
                     ended.append((word, stem))
                     if stem in memo or stem in words:
                         continue

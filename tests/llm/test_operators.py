@@ -503,3 +503,19 @@ def test_later_deliveries_meet_earlier_ones(spark, tmp_path):
     assert {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in rows} == {
         3: (3, 3), 5: (3, 3), 7: (3, 3), 6: (6, 1)
     }
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_on_random_texts(name):
+    """By a tokenizer as it is read from the file; letters whose small forms are longer, too."""
+    from tokenizers import Tokenizer
+
+    plain, encoder = Tokenizer.from_file(public_path(name)), Encoder(public_path(name))
+    rng = np.random.default_rng(11)
+    texts = ["O GELDİ.", "KENDİ,", "İ!", "x İ", "DİĞER", "İ̇.", "ŉ.", "ǰ,", "ΐ!", "ß.", "ﬁ,", "Σ.", "ς!", "ᾳ."]
+    letters = list("abAZİıŉǰΐßΣςﬁ漢é̇̈9²_'.,!?-\" \n") + ["  ", " the", "GELDİ", "’s", "'ll"]
+    for _ in range(4000):
+        texts.append("".join(rng.choice(letters, rng.integers(1, 14))))
+    for text, ids in zip(texts, encoder.encode(pa.array(texts)), strict=True):
+        expected = plain.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, dtype="<u4").tolist() == expected, repr(text)
