@@ -81,6 +81,17 @@ def stored(table: DataFrame, path: str, batch_rows: int = BATCH_ROWS) -> DataFra
     return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
+def collect_garbage(spark: SparkSession) -> None:
+    """Ask the executors to give unused heap back to the system.
+
+    A JVM keeps the heap that it once needed, beside what Python workers take. Between
+    two jobs of different kind that is the larger part of an executor's memory.
+    """
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    asked = spark.range(0, tasks, 1, tasks).select(F.expr("reflect('java.lang.System', 'gc')"))
+    asked.write.format("noop").mode("overwrite").save()
+
+
 def marked_copies(documents: DataFrame, folder: str) -> DataFrame:
     """Key and text; `whole` if another row has the same text, `first` if none of these has
     a smaller key. Texts stay where they are unless the groups are too many to be sent."""

@@ -31,6 +31,8 @@ from ordertally.llm.tokens import BRIEF_WORDS, END_ID, SLICE_BYTES, Encoder, enc
 CAPACITY = 1024
 # Rows that go to Python at once where the memo lasts: few batches, few distinct words.
 LASTING_ROWS = 10_000
+# Text that is encoded at a time where it does not.
+BRIEF_BYTES = 2**21
 _PIECES = (
     "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, "
     "task string, place bigint"
@@ -161,7 +163,7 @@ def pieces(
         task, file = f"{TaskContext.get().partitionId():09d}", None
         end = np.array([end_id], dtype="<u4").tobytes()
         seen = [0] * (capacity + 1)
-        for batch in slices(batches, limit=SLICE_BYTES):
+        for batch in slices(batches, limit=SLICE_BYTES if lasting else BRIEF_BYTES):
             rows: list[tuple] = []
             keys = batch.column("doc_id").to_pylist()
             places = [(None, 0)] * batch.num_rows
