@@ -12,6 +12,8 @@ from ordertally.functions.values import has_id
 from ordertally.schemas import ARRIVAL, ORDER, ORDER_FIELDS, strings
 
 CORRUPT = "_corrupt_record"
+# Why a message is refused; in the rejects with a blank for the underscore.
+REASONS = ("empty", "malformed", "no_order_id")
 
 
 def _arrival(df: DataFrame) -> list[str]:

@@ -41,3 +41,15 @@ def amount(text: Column) -> Column:
     """
     number = F.trim(text, F.lit('"')).try_cast("double")
     return F.when(F.abs(number) < F.lit(float("inf")), number)
+
+
+# Amounts that add up to the same sum in any order: up to 28 digits before the point.
+EXACT = "decimal(38,10)"
+
+
+def exact_amount(text: Column) -> Column:
+    """Money amount as a decimal, rounded to ten digits after the point.
+
+    NULL for what is no finite number, or too large for the type.
+    """
+    return F.trim(text, F.lit('"')).try_cast(EXACT)

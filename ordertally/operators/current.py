@@ -30,3 +30,10 @@ def kpi_current(history: DataFrame, by_time: bool = False) -> DataFrame:
     last = F.struct("processed_at", "batch_id") if by_time else F.col("batch_id")
     latest = F.max_by("total_sum_amount", last).alias("total_sum_amount")
     return history.groupBy("source", "state").agg(latest)
+
+
+def corrected_current(history: DataFrame) -> DataFrame:
+    """The same for totals that orders can be taken out of: groups that have orders left."""
+    latest = F.max_by(F.struct("total_sum_amount", "orders"), "batch_id").alias("last")
+    groups = history.groupBy("source", "state").agg(latest)
+    return groups.where("last.orders > 0").select("source", "state", "last.total_sum_amount")

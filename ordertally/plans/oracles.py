@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ordertally.plans.queries import CUTS
+from ordertally.plans.queries import CUTS, FIRST_SECOND, SECONDS
 
 _BASE = """orders JOIN customer ON o_custkey = c_custkey
   JOIN nation ON c_nationkey = n_nationkey"""
@@ -48,7 +48,75 @@ _BATCH = (
     + f" ELSE {len(CUTS)} END"
 )
 
+# Doubles as decimals, by their shortest text.
+_EXACT_SUM = "CAST(sum(CAST(CAST({} AS VARCHAR) AS DECIMAL(28,10))) AS DOUBLE) AS total_sum_amount"
+
+_EXACT_TOTALS = f"""
+SELECT c_mktsegment AS source, n_name AS state, {_EXACT_SUM.format('o_totalprice')}
+FROM {_BASE}
+GROUP BY 1, 2
+"""
+
+_CORRECTED = f"""
+WITH last AS (
+  SELECT CASE WHEN o_orderstatus = 'P' THEN o_custkey % 100 + 1 ELSE o_custkey END AS customer_id,
+         CASE WHEN o_orderstatus = 'P' THEN o_totalprice * 2
+              WHEN o_orderpriority = '1-URGENT' THEN o_totalprice + 1
+              ELSE o_totalprice END AS total
+  FROM orders
+)
+SELECT c_mktsegment AS source, n_name AS state, {_EXACT_SUM.format('total')}
+FROM last JOIN customer ON customer_id = c_custkey JOIN nation ON c_nationkey = n_nationkey
+GROUP BY 1, 2
+"""
+
+_AS_OF = f"""
+SELECT o.order_id, o.total, v.source, v.state
+FROM (
+  SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_totalprice AS total,
+         make_timestamp(({FIRST_SECOND} + o_orderkey * 7919 % {SECONDS}) * 1000000) AS at
+  FROM orders
+) o ASOF LEFT JOIN (
+  SELECT user_id AS customer_id, ts AS valid_from, max(event_type) AS source,
+         'day ' || day(ts) AS state
+  FROM events GROUP BY 1, 2
+) v ON o.customer_id = v.customer_id AND o.at >= v.valid_from
+"""
+
 ORACLES: dict[str, str] = {
+    "kpi_exact": _EXACT_TOTALS,
+    "kpi_exact_large_dimension": _EXACT_TOTALS,
+    "kpi_stream_exact": _EXACT_TOTALS,
+    "kpi_backfill_then_stream": _EXACT_TOTALS,
+    "kpi_corrections": _CORRECTED,
+    "kpi_last_versions": _CORRECTED,
+    "kpi_run": f"""
+        SELECT *, (SELECT count(*) FROM orders) AS archived FROM ({_TOTALS})
+    """,
+    "dropped_messages": """
+        WITH known AS (SELECT c_custkey FROM customer WHERE c_acctbal >= 0),
+        sent AS (SELECT count(*) AS n FROM (SELECT 1 FROM orders UNION ALL SELECT 1 FROM documents))
+        SELECT 'archive' AS query, 'messages' AS what, n AS messages FROM sent
+        UNION ALL
+        SELECT 'archive', 'empty', count(*) FROM documents WHERE trim(text) = '' OR text IS NULL
+        UNION ALL
+        SELECT 'archive', 'malformed', count(*) FROM documents WHERE trim(text) <> ''
+        UNION ALL
+        SELECT 'archive', 'no_order_id', count(*) FROM orders WHERE o_orderstatus = 'F'
+        UNION ALL
+        SELECT 'totals', 'messages', n FROM sent
+        UNION ALL
+        SELECT 'totals', 'no_amount', count(*) FROM orders WHERE o_orderstatus = 'P'
+        UNION ALL
+        SELECT 'totals', 'unmatched', (SELECT count(*) FROM documents) + count(*)
+        FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM known)
+    """,
+    "orders_as_of": f"SELECT order_id, source, state FROM ({_AS_OF})",
+    "kpi_as_of_late": f"""
+        SELECT source, state, {_EXACT_SUM.format('total')}, count(*) AS orders
+        FROM ({_AS_OF}) WHERE source IS NOT NULL
+        GROUP BY 1, 2
+    """,
     "kpi_by_source_state": _TOTALS,
     "kpi_large_dimension": _TOTALS,
     "kpi_dedup": _TOTALS,

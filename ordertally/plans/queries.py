@@ -12,14 +12,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordertally.functions.messages import decode, encode
+from ordertally.functions.values import exact_amount
 from ordertally.operators.current import archive_current as current_orders
-from ordertally.operators.current import kpi_current
+from ordertally.operators.current import corrected_current, kpi_current
 from ordertally.operators.customers import enrich, unmatched
-from ordertally.operators.totals import facts_of, totals_by_category
+from ordertally.operators.totals import corrected_totals, facts_of, totals_by_category
+from ordertally.operators.versions import restated, valid_at
+from ordertally.plans.handover import backfill_for_stream
 from ordertally.plans.jobs import backfill_totals, publish_files, publish_orders_csv
 from ordertally.plans.totals import totals_from_messages
 from ordertally.plans.workspace import new_workspace
-from ordertally.schemas import ORDER_FIELDS
+from ordertally.schemas import CORRECTED, ORDER_FIELDS
 from ordertally.settings import Landing, Settings
 from ordertally.sources.messages import file_batch, file_stream
 from ordertally.sources.tables import (
@@ -30,13 +33,24 @@ from ordertally.sources.tables import (
     read_products,
     read_rejects,
 )
-from ordertally.streaming.jobs import start_archive, start_totals
+from ordertally.streaming.corrections import keyed_changes, last_versions
+from ordertally.streaming.jobs import (
+    dropped,
+    run,
+    start_archive,
+    start_corrections,
+    start_totals,
+    wait,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Dates that cut the orders into four landings; both ends are open.
 CUTS = ("1996-09-01", "1998-05-01", "2000-01-01")
 
+# Seconds that orders are spread over where they meet the versions of customers.
+FIRST_SECOND, SECONDS = 1704067207, 2591825
+
 
 def identity() -> list[Column]:
     """Which message a row is, for the queries that need to know."""
@@ -266,6 +280,21 @@ def kpi_customers_listed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(totals_from_messages(order_messages(spark, sf_dir), twice))
 
 
+def unrounded(totals: DataFrame) -> DataFrame:
+    return totals.withColumn("total_sum_amount", F.col("total_sum_amount").cast("double"))
+
+
+def kpi_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of decimals, compared to the last digit."""
+    messages, dimension = order_messages(spark, sf_dir), customers(spark, sf_dir)
+    return unrounded(totals_from_messages(messages, dimension, exact=True))
+
+
+def kpi_exact_large_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages, dimension = order_messages(spark, sf_dir), customers(spark, sf_dir)
+    return unrounded(totals_from_messages(messages, dimension, broadcast_bytes=0, exact=True))
+
+
 def events_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = event_messages(spark, sf_dir)
     return rounded(totals_from_messages(messages, customers(spark, sf_dir)))
@@ -349,6 +378,173 @@ def kpi_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(history.drop("processed_at"))
 
 
+def kpi_stream_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of decimals over four landings are those of one batch, to the last digit."""
+    work = new_workspace(spark)
+    settings = job(work, exact=True, broadcast_bytes=0)
+    for part in range(len(CUTS) + 1):
+        _land(order_rows(spark, sf_dir), f"{work}/landing", part)
+    limited = Landing(f"{work}/landing", max_files_per_trigger=2)
+    messages = file_stream(spark, limited, arrival=False)
+    return kpi_current(run_totals(spark, messages, customers(spark, sf_dir), settings))
+
+
+def kpi_backfill_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landings by a backfill, two more by the stream that goes on where it ended."""
+    work = new_workspace(spark)
+    landing, dimension = f"{work}/landing", customers(spark, sf_dir)
+    settings = job(work, handover_path=f"{work}/handover", source=Landing(landing), exact=True)
+    for part in range(len(CUTS) + 1):
+        _land(order_rows(spark, sf_dir), landing, part)
+        if part == 1:
+            backfill_for_stream(spark, settings, dimension)
+        elif part > 1:
+            start_totals(file_stream(spark, settings.source), dimension, settings).awaitTermination()
+    return kpi_current(read_history(spark, settings.history_path))
+
+
+def _versions_of_orders(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """All orders; later versions of the urgent ones; of those in progress later ones still, for
+    other customers; and versions of some, older than all these, that are delivered last."""
+    rows = table(spark, sf_dir, "orders")
+
+    def version(kept: Column | None, total: Column, customer: Column, days: int) -> DataFrame:
+        at = (F.col("o_orderdate") + F.expr(f"INTERVAL {days} DAYS")).alias("timestamp")
+        some = rows if kept is None else rows.where(kept)
+        return some.select(
+            F.col("o_orderkey").alias("order_id"), total.alias("total"), customer.alias("customer_id"), at
+        )
+
+    total, customer = F.col("o_totalprice"), F.col("o_custkey")
+    return [
+        version(None, total, customer, 0),
+        version(F.col("o_orderpriority") == "1-URGENT", total + 1, customer, 1),
+        version(F.col("o_orderstatus") == "P", total * 2, customer % 100 + 1, 2),
+        version(F.col("o_orderpriority") != "5-LOW", F.lit(0.0), customer, -1),
+    ]
+
+
+def kpi_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders that come again with other amounts and customers; the last version counts."""
+    work = new_workspace(spark)
+    landing, dimension = f"{work}/landing", customers(spark, sf_dir)
+    settings = job(work, corrections_path=f"{work}/changes", broadcast_bytes=0)
+    deliveries = _versions_of_orders(spark, sf_dir)
+    for some in (deliveries[:2], deliveries[2:]):
+        for delivery in some:
+            publish_files(encode(delivery), landing)
+        messages = file_stream(spark, Landing(landing))
+        wait(spark, start_corrections(messages, dimension, settings))
+    return corrected_current(read_history(spark, settings.history_path, CORRECTED))
+
+
+def kpi_last_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in one batch."""
+    work, dimension = new_workspace(spark), customers(spark, sf_dir)
+    for delivery in _versions_of_orders(spark, sf_dir):
+        publish_files(encode(delivery), f"{work}/landing")
+    rows = last_versions(file_batch(spark, f"{work}/landing"))
+    return unrounded(corrected_totals(keyed_changes(rows, dimension), dimension).drop("orders"))
+
+
+def kpi_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job as it is set up in production: files of messages and customers, both queries."""
+    work = new_workspace(spark)
+    publish_files(order_messages(spark, sf_dir), f"{work}/landing")
+    customers(spark, sf_dir).write.csv(f"{work}/customers", header=True)
+    settings = job(work, source=Landing(f"{work}/landing"), customers_path=f"{work}/customers")
+    wait(spark, run(spark, settings))
+    totals = kpi_current(read_history(spark, settings.history_path))
+    archived = read_archive(spark, settings.archive_path).agg(F.count("*").alias("archived"))
+    return rounded(totals).join(F.broadcast(archived))
+
+
+def _counts(spark: SparkSession, queries: list) -> DataFrame:
+    sums: dict = {}
+    for query in queries:
+        for progress in query.recentProgress:
+            for what, count in dropped(progress).items():
+                sums[query.name, what] = sums.get((query.name, what), 0) + count
+    rows = [(*names, count) for names, count in sums.items()]
+    return spark.createDataFrame(rows, "query string, what string, messages bigint")
+
+
+def dropped_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What archive and totals leave out of orders, texts and orders without an amount or a
+    known customer, as the queries themselves count it."""
+    work = new_workspace(spark)
+    known = customers(spark, sf_dir).join(solvent_customers(spark, sf_dir), "customer_id")
+    padded = F.when(F.col("o_orderstatus") == "P", "unknown").otherwise(F.col("o_totalprice").cast("string"))
+    rows = table(spark, sf_dir, "orders", stream=True).select(
+        F.when(F.col("o_orderstatus") != "F", F.col("o_orderkey")).alias("order_id"),
+        padded.alias("total"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderdate").alias("timestamp"),
+        *identity(),
+    )
+    texts = table(spark, sf_dir, "documents", stream=True).select(
+        F.col("text").cast("binary").alias("value"),
+        F.lit("2000-01-01").cast("timestamp").alias("timestamp"),
+        *identity(),
+    )
+    messages = encode(rows).unionByName(texts)
+    settings = job(work, counted=True)
+    queries = [start_archive(messages, settings), start_totals(messages, known, settings)]
+    wait(spark, queries)
+    return _counts(spark, queries)
+
+
+# Customers that change
+
+
+def _customer_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A customer's events as versions: the kind of the last one is the source."""
+    events = table(spark, sf_dir, "events")
+    return events.groupBy(
+        F.col("user_id").alias("customer_id"), F.col("ts").cast("timestamp").alias("valid_from")
+    ).agg(
+        F.max("event_type").alias("source"),
+        F.concat(F.lit("day "), F.dayofmonth("valid_from").cast("string")).alias("state"),
+    )
+
+
+def _timed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders spread over the time of the events."""
+    at = F.timestamp_seconds(F.lit(FIRST_SECOND) + F.col("order_id") * 7919 % SECONDS)
+    rows = order_rows(spark, sf_dir).withColumn("timestamp", at)
+    orders = decode(encode(rows), ["order_id", "customer_id", "total"])
+    return orders.select(
+        F.col("order_id").cast("bigint").alias("order_id"),
+        "customer_id",
+        exact_amount(F.col("total")).alias("amount"),
+        "timestamp",
+    )
+
+
+def orders_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order with the version of its customer that was valid at its time, if any."""
+    versions = _customer_versions(spark, sf_dir)
+    found = valid_at(_timed_orders(spark, sf_dir), versions, new_workspace(spark), partitions=16)
+    return found.select("order_id", "source", "state")
+
+
+def kpi_as_of_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals by versions, some of which became known late and are restated."""
+    work = new_workspace(spark)
+    versions, orders = _customer_versions(spark, sf_dir), _timed_orders(spark, sf_dir)
+    late = versions.where("source = 'purchase' OR customer_id % 5 = 0")
+    known = versions.where("source <> 'purchase' AND customer_id % 5 <> 0")
+    met = valid_at(orders, known, f"{work}/known", how="inner")
+    before = met.groupBy("source", "state").agg(
+        F.sum("amount").alias("amount"), F.count("*").alias("orders")
+    )
+    changes = restated(orders, known, late, f"{work}/late")
+    sums = before.unionByName(changes).groupBy("source", "state").agg(
+        F.sum("amount").alias("total_sum_amount"), F.sum("orders").alias("orders")
+    )
+    return unrounded(sums.where("orders > 0"))
+
+
 # Messages
 
 
@@ -554,6 +750,16 @@ QUERIES: dict[str, Query] = {
         kpi_stream_dedup,
         events_kpi_stream,
         kpi_history,
+        kpi_exact,
+        kpi_exact_large_dimension,
+        kpi_stream_exact,
+        kpi_backfill_then_stream,
+        kpi_corrections,
+        kpi_last_versions,
+        kpi_run,
+        dropped_messages,
+        orders_as_of,
+        kpi_as_of_late,
         decoded_orders,
         decoded_order_lines,
         decode_event_props,

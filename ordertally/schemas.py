@@ -83,3 +83,6 @@ HISTORY = T.StructType(
         T.StructField("batch_id", T.LongType()),
     ]
 )
+
+# Totals that orders can be taken out of again, with the orders that are left in a group.
+CORRECTED = T.StructType([*HISTORY.fields, T.StructField("orders", T.LongType())])

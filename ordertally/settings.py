@@ -98,12 +98,28 @@ class Settings:
     # Number of state partitions; fixed by the first start of a checkpoint.
     state_partitions: int | None = None
     history_files: int = HISTORY_FILES
+    # Add up decimals, whose sum does not depend on their order.
+    exact: bool = False
+    # Count what each batch leaves out, for the progress log; see streaming.dropped.
+    counted: bool = False
+    # An order that comes again replaces what it added before; the log of such changes goes
+    # here, and the history has the number of orders left in each group.
+    corrections_path: str | None = None
+    # Where a backfill has left its totals and how far it read; the stream goes on there.
+    handover_path: str | None = None
     # Extra session settings while a query starts, e.g. a state store provider.
     conf: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self):
         if self.jdbc is None and self.history_path is None:
             raise ValueError("give history_path or jdbc: the totals need a target")
+        if self.corrections_path is not None:
+            if self.history_path is None:
+                raise ValueError("corrections need history_path")
+            if self.dedup or self.handover_path is not None:
+                raise ValueError("corrections go with neither dedup nor handover_path")
+        if self.handover_path is not None and self.dedup:
+            raise ValueError("a handover knows no ids: it does not go with dedup")
 
 
 def from_mapping(config: Mapping[str, Mapping], **others) -> Settings:

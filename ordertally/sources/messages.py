@@ -6,6 +6,8 @@ them, and the scan computes row numbers for every row even if they are dropped l
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,9 +72,21 @@ def file_stream(spark: SparkSession, landing: Landing, arrival: bool = True) ->
     return _messages(reader.parquet(landing.path), arrival)
 
 
-def file_batch(spark: SparkSession, path: str, arrival: bool = True) -> DataFrame:
-    """The same files as one bounded table, for backfills."""
-    return _messages(spark.read.schema(MESSAGE_FILE).parquet(path), arrival)
+def file_list(spark: SparkSession, path: str) -> list[str]:
+    """The message files that there are now, by the names that messages have as `origin`."""
+    files = spark.read.schema(MESSAGE_FILE).parquet(path)
+    names = files.select(F.col("_metadata.file_path").alias("origin")).distinct()
+    return [row["origin"] for row in names.collect()]
+
+
+def file_batch(
+    spark: SparkSession, path: str, arrival: bool = True, files: Sequence[str] | None = None
+) -> DataFrame:
+    """The same files as one bounded table, for backfills; or some `files` alone."""
+    there = spark.read.schema(MESSAGE_FILE).parquet(path)
+    if files is not None:
+        there = there.where(F.col("_metadata.file_path").isin(list(files)))
+    return _messages(there, arrival)
 
 
 def message_stream(
@@ -84,8 +98,11 @@ def message_stream(
 
 
 def message_batch(
-    spark: SparkSession, source: Kafka | Landing, arrival: bool = True
+    spark: SparkSession,
+    source: Kafka | Landing,
+    arrival: bool = True,
+    files: Sequence[str] | None = None,
 ) -> DataFrame:
     if isinstance(source, Kafka):
         return kafka_batch(spark, source)
-    return file_batch(spark, source.path, arrival)
+    return file_batch(spark, source.path, arrival, files)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ordertally.functions.values import text_key
 from ordertally.schemas import ARCHIVE, HISTORY, ORDER_FIELDS, PRODUCT
@@ -53,9 +54,9 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     return table.where("kind = 'reject'").drop("kind", *ORDER_FIELDS)
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """Running totals of every batch."""
-    return spark.read.schema(HISTORY).parquet(path)
+def read_history(spark: SparkSession, path: str, contract: T.StructType = HISTORY) -> DataFrame:
+    """Running totals of every batch; `CORRECTED` for those with corrections."""
+    return spark.read.schema(contract).parquet(path)
 
 
 def read_history_jdbc(spark: SparkSession, jdbc: Jdbc, **options: str) -> DataFrame:

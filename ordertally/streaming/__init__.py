@@ -1,3 +1,19 @@
-from ordertally.streaming.jobs import ProgressLog, run, start_archive, start_totals, wait
+from ordertally.streaming.jobs import (
+    ProgressLog,
+    dropped,
+    run,
+    start_archive,
+    start_corrections,
+    start_totals,
+    wait,
+)
 
-__all__ = ["ProgressLog", "run", "start_archive", "start_totals", "wait"]
+__all__ = [
+    "ProgressLog",
+    "dropped",
+    "run",
+    "start_archive",
+    "start_corrections",
+    "start_totals",
+    "wait",
+]

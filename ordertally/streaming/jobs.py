@@ -7,12 +7,16 @@ from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
+from ordertally.operators.totals import corrected_totals
+from ordertally.plans.handover import messages_after, seed_stream, source_after
 from ordertally.plans.totals import totals_from_messages
+from ordertally.schemas import CORRECTED
 from ordertally.settings import Settings
 from ordertally.sources.messages import message_stream
 from ordertally.sources.tables import read_customers
+from ordertally.streaming.corrections import changes, keyed_changes
 from ordertally.streaming.sinks import (
     BatchFunction,
     archive_rows,
@@ -56,6 +60,19 @@ def session_conf(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]
                 spark.conf.set(name, value)
 
 
+def _trigger(writer: DataStreamWriter, settings: Settings) -> DataStreamWriter:
+    if settings.trigger is None:
+        return writer.trigger(availableNow=True)
+    return writer.trigger(processingTime=settings.trigger)
+
+
+def _width(settings: Settings) -> dict[str, str]:
+    conf = dict(settings.conf)
+    if settings.state_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(settings.state_partitions)
+    return conf
+
+
 def _start(
     df: DataFrame, name: str, each_batch: BatchFunction, settings: Settings
 ) -> StreamingQuery:
@@ -65,10 +82,7 @@ def _start(
         .option("checkpointLocation", f"{settings.checkpoint_root}/{name}")
         .foreachBatch(each_batch)
     )
-    if settings.trigger is None:
-        writer = writer.trigger(availableNow=True)
-    else:
-        writer = writer.trigger(processingTime=settings.trigger)
+    writer = _trigger(writer, settings)
     # A pool of its own: with the FAIR scheduler no query waits for the other's tasks.
     context = df.sparkSession.sparkContext
     before = context.getLocalProperty(POOL)
@@ -85,7 +99,8 @@ def start_archive(messages: DataFrame, settings: Settings) -> StreamingQuery:
         each_batch = to_cassandra(settings.cassandra, settings.archive_path)
     else:
         each_batch = to_archive(settings.archive_path)
-    return _start(archive_rows(messages, settings.keep_raw), "archive", each_batch, settings)
+    rows = archive_rows(messages, settings.keep_raw, settings.counted)
+    return _start(rows, "archive", each_batch, settings)
 
 
 def start_totals(
@@ -93,6 +108,10 @@ def start_totals(
 ) -> StreamingQuery:
     """Running totals by source and state; each batch adds the groups it changed."""
     spark = messages.sparkSession
+    seed = None
+    if settings.handover_path is not None:
+        messages = messages_after(messages, settings.handover_path)
+        seed = seed_stream(spark, settings.handover_path, settings.exact)
     totals = totals_from_messages(
         messages,
         customers,
@@ -100,6 +119,9 @@ def start_totals(
         within=settings.dedup_within,
         broadcast_bytes=settings.broadcast_bytes,
         join_partitions=settings.join_partitions,
+        exact=settings.exact,
+        seed=seed,
+        counted=settings.counted,
     )
     if settings.jdbc is not None:
         create_history_jdbc(spark, settings.jdbc)
@@ -108,13 +130,39 @@ def start_totals(
         each_batch = to_history(
             settings.history_path, settings.console, settings.history_files
         )
-    conf = {**(ROCKSDB if settings.dedup else {}), **settings.conf}
-    if settings.state_partitions is not None:
-        conf["spark.sql.shuffle.partitions"] = str(settings.state_partitions)
-    with session_conf(spark, conf):
+    with session_conf(spark, {**(ROCKSDB if settings.dedup else {}), **_width(settings)}):
         return _start(totals, "totals", each_batch, settings)
 
 
+def start_corrections(
+    messages: DataFrame, customers: DataFrame, settings: Settings
+) -> list[StreamingQuery]:
+    """Totals of the last versions of orders: the query that finds what changes, and the one
+    that adds the changes up. Without a trigger the first has ended when the second starts."""
+    spark = messages.sparkSession
+    changed = keyed_changes(changes(messages), customers)
+    with session_conf(spark, {**ROCKSDB, **_width(settings)}):
+        writer = changed.writeStream.queryName("corrections").outputMode("append")
+        writer = writer.format("parquet").option("path", settings.corrections_path)
+        writer = writer.option("checkpointLocation", f"{settings.checkpoint_root}/corrections")
+        first = _trigger(writer, settings).start()
+    if settings.trigger is None:
+        first.awaitTermination()
+    log = spark.readStream.schema(changed.schema).parquet(settings.corrections_path)
+    totals = corrected_totals(
+        log, customers, settings.broadcast_bytes, settings.join_partitions
+    )
+    each_batch = to_history(
+        settings.history_path, settings.console, settings.history_files, CORRECTED
+    )
+    try:
+        with session_conf(spark, _width(settings)):
+            return [first, _start(totals, "totals", each_batch, settings)]
+    except BaseException:
+        first.stop()
+        raise
+
+
 def run(
     spark: SparkSession, settings: Settings, customers: DataFrame | None = None
 ) -> list[StreamingQuery]:
@@ -130,7 +178,13 @@ def run(
         customers = read_customers(spark, settings.customers_path)
     archive = start_archive(message_stream(spark, settings.source), settings)
     try:
-        messages = message_stream(spark, settings.source, arrival=settings.dedup)
+        known = settings.dedup or settings.corrections_path or settings.handover_path
+        source = settings.source
+        if settings.handover_path is not None:
+            source = source_after(spark, source, settings.handover_path)
+        messages = message_stream(spark, source, arrival=bool(known))
+        if settings.corrections_path is not None:
+            return [archive, *start_corrections(messages, customers, settings)]
         return [archive, start_totals(messages, customers, settings)]
     except BaseException:
         archive.stop()
@@ -149,6 +203,15 @@ def wait(spark: SparkSession, queries: list[StreamingQuery]) -> None:
                 query.stop()
 
 
+def dropped(progress) -> dict[str, int]:
+    """What a batch of a query with `counted` left out, from its progress: messages refused
+    (archive), orders without a numeric amount or without a customer (totals)."""
+    found = {}
+    for row in progress.observedMetrics.values():
+        found |= {name: count or 0 for name, count in row.asDict().items()}
+    return found
+
+
 class ProgressLog(StreamingQueryListener):
     """Log each batch: `spark.streams.addListener(ProgressLog())`."""
 
@@ -164,6 +227,9 @@ class ProgressLog(StreamingQueryListener):
             p.numInputRows,
             p.processedRowsPerSecond,
         )
+        if left := dropped(p):
+            counts = ", ".join(f"{count} {name}" for name, count in left.items())
+            log.info("query %s batch %s: %s", p.name, p.batchId, counts)
 
     def onQueryIdle(self, event):
         pass

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordertally.functions.messages import screen
+from ordertally.functions.messages import REASONS, screen
 from ordertally.operators.current import archive_current
 from ordertally.schemas import ARCHIVE, HISTORY, ORDER_FIELDS
 from ordertally.settings import HISTORY_FILES, Cassandra, Jdbc
@@ -36,9 +36,21 @@ def with_lineage(totals: DataFrame, batch_id: int) -> DataFrame:
     )
 
 
-def archive_rows(messages: DataFrame, keep_raw: bool = False) -> DataFrame:
-    """Screened messages in the archive's layout, without the batch_id."""
+# Name of the observation of an archive that counts what it refuses.
+SCREENED = "screened"
+
+
+def archive_rows(messages: DataFrame, keep_raw: bool = False, counted: bool = False) -> DataFrame:
+    """Screened messages in the archive's layout, without the batch_id.
+
+    `counted` observes the messages and those refused, by reason.
+    """
     rows = screen(messages)
+    if counted:
+        why = {name: F.count_if(F.col("reason") == name.replace("_", " ", 1)) for name in REASONS}
+        rows = rows.observe(
+            SCREENED, F.count("*").alias("messages"), *(n.alias(name) for name, n in why.items())
+        )
     refused = F.col("reason").isNotNull()
     rows = rows.withColumn("kind", F.when(refused, "reject").otherwise("order"))
     if not keep_raw:
@@ -86,14 +98,19 @@ def to_cassandra(cassandra: Cassandra, rejects_path: str) -> BatchFunction:
     return write
 
 
-def to_history(path: str, console: bool = False, files: int = HISTORY_FILES) -> BatchFunction:
+def to_history(
+    path: str,
+    console: bool = False,
+    files: int = HISTORY_FILES,
+    contract: T.StructType = HISTORY,
+) -> BatchFunction:
     """Changed totals of a batch in a few files, and on request on the console as well.
 
     One small shuffle, one row per changed group: the stage that keeps the state stays wide.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = fit(with_lineage(batch, batch_id), HISTORY, "batch_id")
+        rows = fit(with_lineage(batch, batch_id), contract, "batch_id")
         _write_batch(rows.repartition(files, "source", "state"), path, batch_id)
         if console:
             # Read back: a second action on the batch would run its state again.

@@ -1,0 +1,97 @@
+"""Exact sums, and counts of what is left out."""
+
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from ordertally.functions.values import exact_amount
+from ordertally.operators import kpi_current
+from ordertally.plans.totals import totals_from_messages
+from ordertally.settings import Landing
+from ordertally.sources import file_stream
+from ordertally.streaming import ProgressLog, dropped, start_archive, start_totals
+from tests.helpers import customers, messages, order, tuples
+from tests.test_streaming import SHOPPERS, Place
+
+
+def test_exact_amounts(spark, ansi):
+    texts = ["1.5", " 2 ", "1e2", '"NaN"', "NaN", '"Infinity"', "x", "", None, "-0.00000000005", "1e40"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = [r[0] for r in rows.select(exact_amount(F.col("t"))).collect()]
+    tiny = Decimal("-0.0000000001")
+    assert found == [Decimal("1.5"), 2, 100, None, None, None, None, None, None, tiny, None]
+
+
+@pytest.mark.parametrize("limit", [0, 2**20], ids=["shuffled", "broadcast"])
+def test_sums_do_not_depend_on_order(spark, tmp_path, limit):
+    rng = random.Random(3)
+    amounts = [rng.choice([0.1, 0.2, 1e9, -1e9, 3.3, 1234567.89]) for _ in range(300)]
+    texts = [order(a, rng.choice([1, 2, 3])) for a in amounts]
+    seen = set()
+    for n in range(3):
+        rng.shuffle(texts)
+        batch = messages(spark, *texts).repartition(n + 1)
+        totals = totals_from_messages(batch, customers(spark, SHOPPERS), broadcast_bytes=limit, exact=True)
+        seen.add(tuple(tuples(totals)))
+    assert len(seen) == 1
+    place = Place(spark, tmp_path, broadcast_bytes=limit, exact=True)
+    for part in range(3):
+        place.land(*texts[part::3])
+    place.totals(max_files_per_trigger=1)
+    expected = [(s, t, float(total)) for s, t, total in seen.pop()]
+    assert tuples(kpi_current(place.history())) == expected
+
+
+def counts(query):
+    sums = {}
+    for progress in query.recentProgress:
+        for name, count in dropped(progress).items():
+            sums[name] = sums.get(name, 0) + count
+    return sums
+
+
+@pytest.mark.parametrize("limit", [0, 2**20], ids=["shuffled", "broadcast"])
+def test_counts(spark, tmp_path, limit):
+    place = Place(spark, tmp_path, broadcast_bytes=limit, counted=True)
+    sent = [order(1, 1, "a"), order("x", 1, "b"), order(float("nan"), 2, "c"), order(5, 99, "d")]
+    place.land(*sent, order(2, None, "e"), "not json", "", "{}")
+    place.land(order(1, 1, "f"), order(1, 1), "[]")
+    query = place.totals(max_files_per_trigger=1)
+    assert counts(query) == {"messages": 11, "no_amount": 2, "unmatched": 6}
+    assert tuples(kpi_current(place.history())) == [("Google", "TX", 3.0), ("Twitter", "CA", None)]
+    archive = start_archive(place.stream(), place.settings)
+    archive.awaitTermination()
+    assert counts(archive) == {"messages": 11, "empty": 1, "malformed": 2, "no_order_id": 2}
+
+
+def test_counts_change_no_total(spark, tmp_path):
+    rng = random.Random(5)
+    texts = [order(rng.choice([1, "x", 2.5]), rng.choice([1, 2, 9, None])) for _ in range(200)]
+    twice = customers(spark, [*SHOPPERS, (1, "Dup", "NY")])
+    for limit in (0, 2**20):
+        plain, counted = (
+            tuples(totals_from_messages(messages(spark, *texts), twice, broadcast_bytes=limit, counted=c))
+            for c in (False, True)
+        )
+        assert plain == counted
+
+
+def test_counts_are_logged(spark, tmp_path, caplog):
+    import time
+
+    listener = ProgressLog()
+    spark.streams.addListener(listener)
+    try:
+        with caplog.at_level("INFO", logger="ordertally"):
+            place = Place(spark, tmp_path, counted=True)
+            place.land(order(10.0, 1), order(1.0, 99))
+            stream = file_stream(spark, Landing(place.landing))
+            start_totals(stream, customers(spark, SHOPPERS), place.settings).awaitTermination()
+            deadline = time.monotonic() + 20
+            while "1 unmatched" not in caplog.text and time.monotonic() < deadline:
+                time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert "query totals batch 0: 2 messages, 0 no_amount, 1 unmatched" in caplog.text

@@ -1,0 +1,122 @@
+"""A backfill, then a stream that goes on where it ended."""
+
+import json
+from dataclasses import replace
+
+import pytest
+
+from ordertally.operators import kpi_current
+from ordertally.plans import handover
+from ordertally.plans.handover import backfill_for_stream, offsets_of, source_after
+from ordertally.settings import Kafka, Landing, Settings
+from ordertally.sources import read_history
+from ordertally.streaming import run, wait
+from tests.helpers import customers, land, order, tuples
+
+SHOPPERS = [(1, "Google", "TX"), (2, "Twitter", "CA"), (3, "Google", "TX")]
+
+
+def job(folder, **options):
+    return Settings(
+        checkpoint_root=f"{folder}/checkpoints",
+        archive_path=f"{folder}/archive",
+        history_path=f"{folder}/history",
+        handover_path=f"{folder}/handover",
+        source=Landing(f"{folder}/landing"),
+        trigger=None,
+        **options,
+    )
+
+
+def current(spark, settings):
+    return tuples(kpi_current(read_history(spark, settings.history_path)))
+
+
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0, "exact": True}], ids=["broadcast", "exact"])
+def test_goes_on(spark, tmp_path, options):
+    settings, dimension = job(tmp_path, **options), customers(spark, SHOPPERS)
+    landing = settings.source.path
+    land(spark, landing, order(10.5, 1, "a"), order(1, 99, "b"))
+    land(spark, landing, order(2, 2, "c"))
+    backfill_for_stream(spark, settings, dimension)
+    assert current(spark, settings) == [("Google", "TX", 10.5), ("Twitter", "CA", 2.0)]
+    land(spark, landing, order(1, 3, "d"))  # arrives between the two
+    wait(spark, run(spark, settings, dimension))
+    expected = [("Google", "TX", 11.5), ("Twitter", "CA", 2.0)]
+    assert current(spark, settings) == expected
+    wait(spark, run(spark, settings, dimension))  # a restart takes the seed no second time
+    assert current(spark, settings) == expected
+    land(spark, landing, order(4, 2, "e"))
+    wait(spark, run(spark, settings, dimension))
+    assert current(spark, settings) == [("Google", "TX", 11.5), ("Twitter", "CA", 6.0)]
+
+
+def test_a_replayed_first_batch(spark, tmp_path):
+    settings, dimension = job(tmp_path), customers(spark, SHOPPERS)
+    land(spark, settings.source.path, order(10, 1, "a"))
+    backfill_for_stream(spark, settings, dimension)
+    land(spark, settings.source.path, order(1, 1, "b"))
+    wait(spark, run(spark, settings, dimension))
+    folder = tmp_path / "checkpoints" / "totals" / "commits"
+    (folder / "0").unlink()
+    (folder / ".0.crc").unlink(missing_ok=True)
+    wait(spark, run(spark, settings, dimension))
+    assert current(spark, settings) == [("Google", "TX", 11.0)]
+
+
+def test_files_of_the_backfill_are_not_read_again(spark, tmp_path):
+    settings, dimension = job(tmp_path), customers(spark, SHOPPERS)
+    landing = settings.source.path
+    for n in range(3):
+        land(spark, landing, order(1, 1, f"a{n}"))
+    backfill_for_stream(spark, settings, dimension)
+    for name in (tmp_path / "landing").glob("part-*"):
+        name.write_bytes(b"no parquet")  # opening one would fail
+    land(spark, landing, order(5, 1, "b"))
+    settings = replace(settings, archive_path=f"{tmp_path}/other")
+    from ordertally.sources import file_stream
+    from ordertally.streaming import start_totals
+
+    start_totals(file_stream(spark, settings.source), dimension, settings).awaitTermination()
+    assert current(spark, settings) == [("Google", "TX", 8.0)]
+
+
+def test_nothing_to_backfill(spark, tmp_path):
+    settings, dimension = job(tmp_path), customers(spark, SHOPPERS)
+    (tmp_path / "landing").mkdir()
+    backfill_for_stream(spark, settings, dimension)
+    land(spark, settings.source.path, order(5, 1, "b"))
+    wait(spark, run(spark, settings, dimension))
+    assert current(spark, settings) == [("Google", "TX", 5.0)]
+
+
+def test_an_incomplete_backfill_is_refused(spark, tmp_path):
+    settings = job(tmp_path)
+    land(spark, settings.source.path, order(1, 1, "a"))
+    with pytest.raises(Exception, match="totals"):
+        run(spark, settings, customers(spark, SHOPPERS))
+    assert spark.streams.active == []
+
+
+def test_kafka_offsets(spark, tmp_path, monkeypatch):
+    kafka = Kafka("h:1", "my-topic", "latest")
+    asked = []
+
+    def read(spark, kafka):
+        asked.append(kafka)
+        rows = [(b"{}", None, "my-topic-0", 4), (b"{}", None, "my-topic-0", 7), (b"{}", None, "my-topic-11", 0)]
+        return spark.createDataFrame(rows, "value binary, timestamp timestamp, origin string, position bigint")
+
+    monkeypatch.setattr(handover, "kafka_batch", read)
+    settings = replace(job(tmp_path), source=kafka)
+    backfill_for_stream(spark, settings, customers(spark, SHOPPERS))
+    ends = {"my-topic": {"0": 8, "11": 1}}
+    assert json.loads(asked[1].options["endingOffsets"]) == ends
+    after = source_after(spark, kafka, settings.handover_path)
+    assert json.loads(after.starting_offsets) == ends
+    assert json.loads(offsets_of("t", {"t-3": 5})) == {"t": {"3": 5}}
+
+
+def test_settings():
+    with pytest.raises(ValueError, match="dedup"):
+        Settings("c", "a", "h", dedup=True, handover_path="x")

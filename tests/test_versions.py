@@ -1,0 +1,107 @@
+"""Customers that change: each order meets the version valid at its time."""
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+
+from ordertally.operators import restated, valid_at
+from tests.helpers import tuples
+
+START = datetime(2024, 1, 1)
+ORDERS = "order_id int, customer_id string, amount int, timestamp timestamp"
+VERSIONS = "customer_id bigint, valid_from timestamp, source string, state string"
+
+
+def at(hours):
+    return None if hours is None else START + timedelta(hours=hours)
+
+
+def by_hand(orders, versions):
+    out = []
+    for number, key, amount, time in orders:
+        key = None if key in (None, "x") else int(float(key))
+        known = [(v, s, p) for k, v, s, p in versions if k == key and k is not None and v is not None]
+        valid = [version for version in known if time is not None and version[0] <= time]
+        last = max(valid, key=lambda v: (v[0], v[1] is not None, v[1] or "", v[2] or ""), default=(None, None, None))
+        out.append((number, amount, *last[1:]))
+    return sorted(out, key=repr)
+
+
+def found_in(spark, orders, versions, folder, **options):
+    found = valid_at(
+        spark.createDataFrame(orders, ORDERS).repartition(3),
+        spark.createDataFrame(versions, VERSIONS).repartition(2),
+        str(folder),
+        **options,
+    )
+    return tuples(found.select("order_id", "amount", "source", "state"))
+
+
+def random_tables(seed, hot=0.4):
+    rng = random.Random(seed)
+    versions = {(rng.randrange(8), at(rng.randrange(60))): None for _ in range(60)}
+    versions = [(*key, f"s{n}", rng.choice(["TX", None])) for n, key in enumerate(versions)]
+    versions += [(None, at(1), "none", "x"), (3, None, "none", "x"), (3, at(5), "tie a", "x"), (3, at(5), "tie b", "x")]
+    keys = ["0", "1.0", " 2 ", "3", "4", "99", None, "x"]
+    orders = [
+        (n, "3" if rng.random() < hot else rng.choice(keys), n, at(rng.choice([None, *range(-2, 70)])))
+        for n in range(400)
+    ]
+    return orders, versions
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 40])
+def test_random_tables(spark, ansi, tmp_path, partitions):
+    orders, versions = random_tables(partitions)
+    found = found_in(spark, orders, versions, tmp_path / "v", partitions=partitions)
+    assert found == by_hand(orders, versions)
+    inner = found_in(spark, orders, versions, tmp_path / "w", partitions=partitions, how="inner")
+    assert inner == [row for row in by_hand(orders, versions) if row[2] is not None]
+
+
+def test_one_customer_in_many_ranges(spark, tmp_path):
+    """All orders are of one customer: they are spread, and still meet its versions."""
+    orders, versions = random_tables(9, hot=1.0)
+    found = found_in(spark, orders, versions, tmp_path / "v", partitions=16)
+    assert found == by_hand(orders, versions)
+    parts = spark.read.parquet(f"{tmp_path}/v/sequence").groupBy("_part").count().collect()
+    assert len(parts) >= 8 and max(row["count"] for row in parts) < 150
+
+
+def test_empty(spark, tmp_path):
+    orders, versions = random_tables(2)
+    assert found_in(spark, [], versions, tmp_path / "a") == []
+    assert found_in(spark, orders, [], tmp_path / "b") == by_hand(orders, [])
+
+
+def test_how_is_checked(spark, tmp_path):
+    with pytest.raises(ValueError, match="how"):
+        found_in(spark, [], [], tmp_path, how="outer")
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_late_versions(spark, tmp_path, seed):
+    """What was counted, and what is restated, add up to what all versions give."""
+    orders, versions = random_tables(seed)
+    versions = [v for v in versions if v[0] is not None and v[2] != "tie a"]
+    late, known = versions[::3], [v for n, v in enumerate(versions) if n % 3]
+    frames = [spark.createDataFrame(rows, VERSIONS) for rows in (known, late)]
+    changes = restated(spark.createDataFrame(orders, ORDERS), *frames, str(tmp_path / "r")).collect()
+
+    def totals(rows):
+        sums = {}
+        for _, amount, *group in by_hand(orders, rows):
+            if group[0] is not None:
+                one = sums.setdefault(tuple(group), [0, 0])
+                one[0] += amount
+                one[1] += 1
+        return sums
+
+    sums = totals(known)
+    for r in changes:
+        one = sums.setdefault((r["source"], r["state"]), [0, 0])
+        one[0] += r["amount"]
+        one[1] += r["orders"]
+    assert {group: one for group, one in sums.items() if one != [0, 0]} == totals(versions)
+    assert all((r["amount"], r["orders"]) != (0, 0) for r in changes)
