@@ -324,13 +324,17 @@ def _verified(common: np.ndarray, times: np.ndarray):
     return verify
 
 
-def _links(pairs: DataFrame, texts: DataFrame, folder: str, often: tuple) -> DataFrame:
-    """The pairs that are links; `texts` has one text of each class that may be in a pair."""
+def _links(
+    pairs: DataFrame, texts: DataFrame, places: DataFrame, folder: str, often: tuple
+) -> DataFrame:
+    """The pairs that are links; `places` says which of the `texts` stands for a class."""
     pairs = stored(pairs, f"{folder}/pairs")
     used = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-    used = stored(used, f"{folder}/used")
+    used = stored(used.join(places, "class"), f"{folder}/used")
     known = F.broadcast(used) if fits_broadcast(used) else used
-    wanted = stored(texts.join(known, "class").dropDuplicates(["class"]), f"{folder}/texts")
+    same = F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.xxhash64("text") == F.col("its_hash"))
+    wanted = texts.join(known, same).select("class", "text").dropDuplicates(["class"])
+    wanted = stored(wanted, f"{folder}/texts")
     left = wanted.select(F.col("class").alias("a"), F.col("text").alias("text_a"))
     right = wanted.select(F.col("class").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(left, "a").join(right, "b")
@@ -380,27 +384,22 @@ def _open_pairs(columns: DataFrame, roots: DataFrame) -> DataFrame:
 def near_duplicates(documents: DataFrame, folder: str, by_row: bool = False) -> DataFrame:
     """Key, size of the set, and the least key reachable by links, of every document; and
     `by_row` a hash of the text, which tells rows of one key apart, and the component's root."""
-    shape = "doc_id bigint, n_shingles bigint, class bigint"
-    rows = texts_of(documents)
-    if by_row:
-        shape += ", text_hash bigint"
-        rows = rows.withColumn("text_hash", F.xxhash64("text"))
+    shape = "doc_id bigint, n_shingles bigint, class bigint, text_hash bigint"
+    rows = texts_of(documents).withColumn("text_hash", F.xxhash64("text"))
     classified = stored(rows.mapInArrow(_classify, shape), f"{folder}/classified")
+    place = F.min(F.struct("doc_id", "text_hash")).alias("place")
+    places = classified.where("n_shingles > 0").groupBy("class").agg(place).select(
+        "class", F.col("place.doc_id").alias("its_id"), F.col("place.text_hash").alias("its_hash")
+    )
     marked = marked_copies(documents, folder)
     firsts = marked.where("not whole or first").select("doc_id", "text")
     often = common_shingles(firsts)
     columns = stored(_multiplied(firsts, *often), f"{folder}/shared")
     columns = stored(_within_reach(columns), f"{folder}/columns")
 
-    def with_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            ids = _sets(batch)[3]
-            yield pa.RecordBatch.from_arrays([pa.array(ids), batch.column("text")], ["class", "text"])
-
-    texts = firsts.mapInArrow(with_class, "class bigint, text string")
-    near = _links(_pivot_pairs(columns), texts, f"{folder}/near", often)
+    near = _links(_pivot_pairs(columns), texts_of(documents), places, f"{folder}/near", often)
     roots = components(near, f"{folder}/near/components")
-    rest = _links(_open_pairs(columns, roots), texts, f"{folder}/rest", often)
+    rest = _links(_open_pairs(columns, roots), texts_of(documents), places, f"{folder}/rest", often)
     roots = components(near.union(rest), f"{folder}/rest/components")
 
     classes = classified.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
