@@ -90,6 +90,11 @@ ORACLES: dict[str, str] = {
     "kpi_backfill_then_stream": _EXACT_TOTALS,
     "kpi_corrections": _CORRECTED,
     "kpi_last_versions": _CORRECTED,
+    "kpi_waiting": f"""
+        SELECT c_mktsegment AS source, n_name AS state, {_EXACT_SUM.format('o_totalprice')}
+        FROM {_BASE} WHERE c_acctbal >= 0 OR c_custkey % 2 = 0
+        GROUP BY 1, 2
+    """,
     "kpi_run": f"""
         SELECT *, (SELECT count(*) FROM orders) AS archived FROM ({_TOTALS})
     """,

@@ -42,6 +42,7 @@ from ordertally.streaming.jobs import (
     start_totals,
     wait,
 )
+from ordertally.streaming.waiting import start_waiting
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -447,6 +448,25 @@ def kpi_last_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unrounded(corrected_totals(keyed_changes(rows, dimension), dimension).drop("orders"))
 
 
+def kpi_waiting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders before and after their customers, of whom some in debt never come."""
+    work = new_workspace(spark)
+    settings, landing = job(work), f"{work}/landing"
+    solvent = solvent_customers(spark, sf_dir)
+    known = customers(spark, sf_dir).select(F.col("customer_id").cast("string"), "source", "state")
+    later = known.join(solvent, "customer_id", "left_anti").where("customer_id % 2 = 0")
+    arrivals = (known.join(solvent, "customer_id", "left_semi"), later)
+    for part, arrival in enumerate(arrivals):
+        for one in (2 * part, 2 * part + 1):
+            _land(order_rows(spark, sf_dir), landing, one)
+        arrival.write.mode("append").parquet(f"{work}/customers")
+        messages = file_stream(spark, Landing(landing), arrival=False)
+        entries = spark.readStream.schema(known.schema).parquet(f"{work}/customers")
+        queries = start_waiting(messages, entries, f"{work}/waited", settings, "1 DAY", ways=4)
+        wait(spark, queries)
+    return kpi_current(read_history(spark, settings.history_path))
+
+
 def kpi_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A job as it is set up in production: files of messages and customers, both queries."""
     work = new_workspace(spark)
@@ -756,6 +776,7 @@ QUERIES: dict[str, Query] = {
         kpi_backfill_then_stream,
         kpi_corrections,
         kpi_last_versions,
+        kpi_waiting,
         kpi_run,
         dropped_messages,
         orders_as_of,

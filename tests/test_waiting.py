@@ -1,0 +1,96 @@
+"""Orders and customers in any order: an order counts once its customer is there."""
+
+import random
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from ordertally.operators import kpi_current
+from ordertally.settings import Landing, Settings
+from ordertally.sources import file_stream, read_history
+from ordertally.streaming import wait
+from ordertally.streaming.waiting import read_expired, start_waiting
+from tests.helpers import land, order, tuples
+
+SHAPE = "customer_id string, source string, state string"
+
+
+class Place:
+    def __init__(self, spark, folder, waits="1 DAY", ways=1):
+        self.spark, self.folder, self.waits, self.ways = spark, folder, waits, ways
+        self.settings = Settings(
+            checkpoint_root=f"{folder}/checkpoints",
+            archive_path=f"{folder}/archive",
+            history_path=f"{folder}/history",
+            trigger=None,
+        )
+        (folder / "history").mkdir()
+        spark.createDataFrame([], SHAPE).write.mode("append").parquet(f"{folder}/customers")
+        land(spark, f"{folder}/landing")
+
+    def customers(self, *rows):
+        frame = self.spark.createDataFrame(list(rows), SHAPE)
+        frame.coalesce(1).write.mode("append").parquet(f"{self.folder}/customers")
+
+    def orders(self, *texts):
+        land(self.spark, f"{self.folder}/landing", *texts)
+
+    def totals(self):
+        messages = file_stream(self.spark, Landing(f"{self.folder}/landing"), arrival=False)
+        customers = self.spark.readStream.schema(SHAPE).parquet(f"{self.folder}/customers")
+        path = f"{self.folder}/waited"
+        wait(self.spark, start_waiting(messages, customers, path, self.settings, self.waits, self.ways))
+        return tuples(kpi_current(read_history(self.spark, self.settings.history_path)))
+
+    def expired(self):
+        return sorted(r["order_id"] for r in read_expired(self.spark, f"{self.folder}/waited").collect())
+
+
+def test_either_comes_first(spark, tmp_path):
+    place = Place(spark, tmp_path, ways=3)
+    place.orders(order(5, 1, "a"), order(1, "x", "b"), "junk", order(2, None, "c"))
+    assert place.totals() == []
+    place.customers(("1.0", "Google", "TX"), ("2", "Twitter", "CA"), (None, "No", "Key"))
+    assert place.totals() == [("Google", "TX", 5.0)]
+    place.orders(order(2.5, 2, "d"), order(1, 1, "e"), order(1, 1, "e"))
+    assert place.totals() == [("Google", "TX", 7.0), ("Twitter", "CA", 2.5)]
+    place.customers(("x", "Text", "NY"))
+    assert place.totals() == [("Google", "TX", 7.0), ("Text", "NY", 1.0), ("Twitter", "CA", 2.5)]
+    assert place.expired() == []
+
+
+def test_expired(spark, tmp_path):
+    place = Place(spark, tmp_path, waits="3 SECONDS")
+    place.customers(("1", "Google", "TX"))
+    place.orders(order(5, 1, "a"), order(7, 9, "late"))
+    assert place.totals() == [("Google", "TX", 5.0)]
+    time.sleep(6)
+    place.orders(order(1, 1, "b"))  # a customer that came long ago still counts
+    assert place.totals() == [("Google", "TX", 6.0)]
+    time.sleep(2)
+    place.customers(("9", "Twitter", "CA"))
+    place.orders(order(2, 9, "c"))
+    assert place.totals() == [("Google", "TX", 6.0), ("Twitter", "CA", 2.0)]
+    assert place.expired() == ["late"]
+
+
+@pytest.mark.parametrize("ways", [1, 4])
+def test_random_arrivals(spark, tmp_path, ways):
+    rng = random.Random(ways)
+    keys = [str(n) for n in range(20)]
+    orders = [(rng.randrange(1000) / 100, rng.choice([*keys, "3", "3", "3"]), f"id{n}") for n in range(200)]
+    groups = {key: (rng.choice("AB"), rng.choice("XY")) for key in keys[:15]}
+    place = Place(spark, tmp_path, ways=ways)
+    entries = list(groups.items())
+    for part in range(3):
+        place.orders(*(order(*one) for one in orders[part::3]))
+        if part != 1:
+            place.customers(*((key, *group) for key, group in entries[part // 2 :: 2]))
+        found = place.totals()
+    batch = spark.createDataFrame(orders, "total double, customer_id string, order_id string")
+    known = spark.createDataFrame([(k, *g) for k, g in groups.items()], SHAPE)
+    amount = F.sum(F.col("total").cast("decimal(38,10)")).cast("double")
+    assert found == tuples(batch.join(known, "customer_id").groupBy("source", "state").agg(amount))
+    log = spark.read.parquet(f"{tmp_path}/waited").collect()
+    assert len(log) == len({r["order_id"] for r in log}) == sum(key in groups for _, key, _ in orders)
