@@ -83,6 +83,14 @@ FROM (
 ) v ON o.customer_id = v.customer_id AND o.at >= v.valid_from
 """
 
+_LAST_ORDERS = """
+        SELECT o_orderkey AS order_id, strftime(o_orderdate, '%Y-%m-%d') AS created_at,
+               round(CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice + 1
+                          ELSE o_totalprice END, 2) AS total,
+               o_custkey AS customer_id
+        FROM orders
+    """
+
 ORACLES: dict[str, str] = {
     "kpi_exact": _EXACT_TOTALS,
     "kpi_exact_large_dimension": _EXACT_TOTALS,
@@ -212,11 +220,8 @@ ORACLES: dict[str, str] = {
         )
         GROUP BY ALL
     """,
-    "archive_current": """
-        SELECT o_orderkey AS order_id, strftime(o_orderdate, '%Y-%m-%d') AS created_at,
-               round(CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice + 1
-                          ELSE o_totalprice END, 2) AS total,
-               o_custkey AS customer_id
-        FROM orders
-    """,
+    "archive_current": _LAST_ORDERS,
+    "archive_current_table": _LAST_ORDERS,
+    "kpi_compacted": _EXACT_TOTALS,
+    "kpi_published_once": _EXACT_TOTALS,
 }

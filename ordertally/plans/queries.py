@@ -15,11 +15,18 @@ from ordertally.functions.messages import decode, encode
 from ordertally.functions.values import exact_amount
 from ordertally.operators.current import archive_current as current_orders
 from ordertally.operators.current import corrected_current, kpi_current
+from ordertally.operators.current_table import read_current
 from ordertally.operators.customers import enrich, unmatched
 from ordertally.operators.totals import corrected_totals, facts_of, totals_by_category
 from ordertally.operators.versions import restated, valid_at
 from ordertally.plans.handover import backfill_for_stream
-from ordertally.plans.jobs import backfill_totals, publish_files, publish_orders_csv
+from ordertally.plans.jobs import (
+    backfill_totals,
+    compact_history,
+    current_totals,
+    publish_files,
+    publish_orders_csv,
+)
 from ordertally.plans.totals import totals_from_messages
 from ordertally.plans.workspace import new_workspace
 from ordertally.schemas import CORRECTED, ORDER_FIELDS
@@ -729,11 +736,11 @@ def rejected_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.groupBy("reason", customer).agg(F.count("*").alias("messages"))
 
 
-def archive_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All orders, then corrections of some: the corrections win."""
+def _corrected_archive(spark: SparkSession, sf_dir: str, **options) -> Settings:
+    """All orders, then corrections of some, into an archive."""
     work = new_workspace(spark)
     landing = f"{work}/landing"
-    settings = job(work)
+    settings = job(work, **{name: f"{work}/{path}" for name, path in options.items()})
     rows = order_rows(spark, sf_dir)
     urgent = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select(
         F.col("o_orderkey").alias("order_id"),
@@ -746,10 +753,52 @@ def archive_current(spark: SparkSession, sf_dir: str) -> DataFrame:
         publish_files(encode(delivery), landing)
         stream = file_stream(spark, Landing(landing))
         start_archive(stream, settings).awaitTermination()
+    return settings
+
+
+def archive_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders, then corrections of some: the corrections win."""
+    settings = _corrected_archive(spark, sf_dir)
     current = current_orders(read_archive(spark, settings.archive_path))
     return typed(current).withColumn("total", cents("total"))
 
 
+def archive_current_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a table that the stream keeps."""
+    settings = _corrected_archive(spark, sf_dir, current_path="current")
+    return typed(read_current(spark, settings.current_path)).withColumn("total", cents("total"))
+
+
+def kpi_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four landings, with a compaction of the history after the second and third."""
+    work = new_workspace(spark)
+    landing, dimension = f"{work}/landing", customers(spark, sf_dir)
+    settings = job(work, exact=True)
+    for part in range(len(CUTS) + 1):
+        _land(order_rows(spark, sf_dir), landing, part)
+        run_totals(spark, file_stream(spark, Landing(landing), arrival=False), dimension, settings)
+        if part in (1, 2):
+            compact_history(spark, settings.history_path)
+    return current_totals(spark, settings.history_path)
+
+
+def kpi_published_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every publish called twice: what has an id counts once."""
+    work = new_workspace(spark)
+    rows = table(spark, sf_dir, "orders")
+    for name in ("O", "F", "P"):
+        some = rows.where(F.col("o_orderstatus") == name).select(
+            F.col("o_orderkey").alias("order_id"),
+            F.col("o_totalprice").alias("total"),
+            F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderdate").alias("timestamp"),
+        )
+        for _ in range(2):
+            publish_files(encode(some), f"{work}/landing", f"status-{name}")
+    messages = file_batch(spark, f"{work}/landing", arrival=False)
+    return unrounded(totals_from_messages(messages, customers(spark, sf_dir), exact=True))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -798,5 +847,8 @@ QUERIES: dict[str, Query] = {
         rejected_messages,
         rejected_orders,
         archive_current,
+        archive_current_table,
+        kpi_compacted,
+        kpi_published_once,
     )
 }

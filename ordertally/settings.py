@@ -85,6 +85,9 @@ class Settings:
     source: Kafka | Landing | None = None
     customers_path: str | None = None
     keep_raw: bool = False
+    # Accepted orders' last versions as a table as well, kept by the archive's query.
+    current_path: str | None = None
+    current_buckets: int = 256
     trigger: str | None = "15 seconds"  # None: take what is there, then end
     console: bool = False
     # Count a redelivered order once; with a time span, forget ids that long after

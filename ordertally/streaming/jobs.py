@@ -19,6 +19,7 @@ from ordertally.sources.tables import read_customers
 from ordertally.streaming.corrections import changes, keyed_changes
 from ordertally.streaming.sinks import (
     BatchFunction,
+    and_current,
     archive_rows,
     create_history_jdbc,
     to_archive,
@@ -99,6 +100,8 @@ def start_archive(messages: DataFrame, settings: Settings) -> StreamingQuery:
         each_batch = to_cassandra(settings.cassandra, settings.archive_path)
     else:
         each_batch = to_archive(settings.archive_path)
+    if settings.current_path is not None:
+        each_batch = and_current(each_batch, settings.current_path, settings.current_buckets)
     rows = archive_rows(messages, settings.keep_raw, settings.counted)
     return _start(rows, "archive", each_batch, settings)
 

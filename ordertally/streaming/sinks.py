@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ordertally.functions.messages import REASONS, screen
 from ordertally.operators.current import archive_current
+from ordertally.operators.current_table import update_current
 from ordertally.schemas import ARCHIVE, HISTORY, ORDER_FIELDS
 from ordertally.settings import HISTORY_FILES, Cassandra, Jdbc
 from ordertally.sources.tables import read_history_jdbc
@@ -75,6 +76,20 @@ def to_archive(path: str) -> BatchFunction:
     return write
 
 
+def and_current(first: BatchFunction, path: str, buckets: int) -> BatchFunction:
+    """What the archive does with a batch, and then its orders into the table of last versions."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            first(batch, batch_id)
+            update_current(batch.where("kind = 'order'"), path, batch_id, buckets)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
 def to_cassandra(cassandra: Cassandra, rejects_path: str) -> BatchFunction:
     """Upsert by order_id, which Cassandra does on its key; rejects go to files.
 
