@@ -117,6 +117,22 @@ def _same(one: str, other: str) -> Column:
     return F.col(one).eqNullSafe(F.col(other))
 
 
+# Tasks that the rows of one digest are dealt over where the contents cannot be sent.
+WAYS = 32
+
+
+def _beside(members: DataFrame, content: DataFrame) -> DataFrame:
+    """Each row with the content of its digest. The contents are sent to the rows if they are
+    few enough; else the rows of a digest are dealt over several tasks, by key and text, each
+    of which gets the content."""
+    if fits_broadcast(content):
+        return members.join(F.broadcast(content), "digest")
+    salt = F.pmod(F.xxhash64("doc_id", "text"), F.lit(WAYS).cast("bigint"))
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(WAYS - 1).cast("bigint")))
+    dealt, copies = members.withColumn("way", salt), content.withColumn("way", every)
+    return dealt.join(copies.hint("merge"), ["digest", "way"]).drop("way")
+
+
 def decide(documents: DataFrame, folder: str) -> DataFrame:
     """For each row the one that stays, after a comparison of the texts of all hits."""
     spark = documents.sparkSession
@@ -128,8 +144,8 @@ def decide(documents: DataFrame, folder: str) -> DataFrame:
     members = with_digest(documents).join(known, "digest")
     # The locator leads to one text for each digest.
     standing = members.where(_same("doc_id", "keep_id")).groupBy("digest")
-    content = standing.agg(F.min("text").alias("content"))
-    compared = members.join(content, "digest").withColumn("equal", _same("text", "content"))
+    content = stored(standing.agg(F.min("text").alias("content")), f"{folder}/content")
+    compared = _beside(members, content).withColumn("equal", _same("text", "content"))
     checked = stored(
         compared.select(
             "doc_id",
@@ -146,12 +162,13 @@ def decide(documents: DataFrame, folder: str) -> DataFrame:
         F.min("doc_id").alias("own_id"), F.count("*").alias("own_size")
     )
     shape = ["doc_id", "digest", "keep_id", "group_size"]
-    single = log.join(hits.select("digest"), "digest", "left_anti").select(
+    single = log.join(known.select("digest"), "digest", "left_anti").select(
         "doc_id", "digest", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint")
     )
     # Rows that only shared the digest are not in the group they were counted in.
-    strays = odd.groupBy("digest").agg(F.count("*").alias("strays"))
-    equal = checked.where("equal").join(strays, "digest", "left").select(
+    strays = stored(odd.groupBy("digest").agg(F.count("*").alias("strays")), f"{folder}/strays")
+    few = F.broadcast(strays) if fits_broadcast(strays) else strays
+    equal = checked.where("equal").join(few, "digest", "left").select(
         "doc_id",
         "digest",
         "keep_id",
