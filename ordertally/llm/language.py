@@ -8,7 +8,9 @@ the language that needs fewest wins, the first by name among equals.
 
 Texts are composed (NFC), their letters made small, and everything between letters becomes
 one blank. The whole of every text is parsed, in segments of `SEGMENT` letters, many at a
-time in step; a phrase ends where its segment does, in all languages alike.
+time in step. Matches go on over the borders of segments: where one does, the segment behind
+the border is parsed again from there, up to the letter where it comes to the state that it
+had by itself, so the phrases are those of the text as a whole, whatever the segments.
 
 The automata are learned from at most `TRAIN_LETTERS` letters of each language, taken from
 whole texts, or the first `TRAIN_TEXT` characters of longer ones, in an order by hash: the
@@ -116,6 +118,38 @@ class Parser:
         keep[1:] |= keep[:-1]  # the first blank after a letter stays
         return codes[keep]
 
+    def _parse(self, codes: np.ndarray, lengths: np.ndarray, root: int):
+        """Each segment by itself: states and phrases so far after each step. Segments are
+        sorted, the longest first."""
+        steps, total = codes.shape
+        states = np.empty((steps, total), dtype=np.int32)
+        counts = np.empty((steps, total), dtype=np.int32)
+        state = np.full(total, root, dtype=np.int32)
+        found = np.zeros(total, dtype=np.int32)
+        active = np.searchsorted(-lengths, -np.arange(steps), "left")
+        for step in range(steps):
+            n = active[step]
+            if n:
+                state[:n], ended = self._step(state[:n], codes[step, :n], root)
+                found[:n] += ended
+            states[step], counts[step] = state, found
+        return states, counts
+
+    def _step(self, now: np.ndarray, code: np.ndarray, root: int):
+        """The states after one more letter, and how many phrases have ended."""
+        after = self.table[now + code]
+        ended = np.flatnonzero(after < 0)
+        found = np.zeros(len(now), dtype=np.int32)
+        # A letter that no match goes on with begins the next phrase; one that the
+        # language lacks is a phrase itself.
+        found[ended] = now[ended] != root
+        again = self.table[root + code[ended]]
+        lacking = again < 0
+        found[ended] += lacking
+        again[lacking] = root
+        after[ended] = again
+        return after, found
+
     def phrases(self, encoded: list[np.ndarray]) -> np.ndarray:
         """For each text and language the number of phrases."""
         sizes = np.array([len(codes) for codes in encoded], dtype=np.int64)
@@ -126,34 +160,49 @@ class Parser:
         starts = np.repeat(np.cumsum(sizes) - sizes, counts) + turn * SEGMENT
         lengths = np.minimum(np.repeat(sizes, counts) - turn * SEGMENT, SEGMENT)
         order = np.argsort(-lengths, kind="stable")
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        # The segment after each one in its text, or -1.
+        goes_on = np.concatenate((turn[1:] > 0, [False])) if len(turn) else np.zeros(0, bool)
+        after = np.where(goes_on, np.append(place[1:], -1) if len(place) else place, -1)[order]
         owner, starts, lengths = owner[order], starts[order], lengths[order]
         out = np.zeros((len(encoded), len(self.names)))
-        # At each step the segments that go on, longest first; a column for each.
-        steps = np.arange(SEGMENT)
-        active = np.searchsorted(-lengths, -steps, "left")
-        codes = joined[starts[None, :] + steps[:, None]].astype(np.int32)
+        if not len(owner):
+            return out
+        codes = joined[starts[None, :] + np.arange(SEGMENT)[:, None]].astype(np.int32)
+        last = lengths - 1, np.arange(len(owner))
         for k, root in enumerate(self.roots):
-            state = np.full(len(owner), root, dtype=np.int32)
-            found = np.zeros(len(owner), dtype=np.int32)
-            for step in range(SEGMENT):
-                n = active[step]
-                if not n:
-                    break
-                now, code = state[:n], codes[step, :n]
-                after = self.table[now + code]
-                ended = np.flatnonzero(after < 0)
-                # A letter that no match goes on with begins the next phrase; one that the
-                # language lacks is a phrase itself.
-                fresh = now[ended] != root
-                found[ended] += fresh
-                again = self.table[root + code[ended]]
-                lacking = again < 0
-                found[ended] += lacking
-                again[lacking] = root
-                after[ended] = again
-                state[:n] = after
-            found += state != root
-            out[:, k] = np.bincount(owner, weights=found, minlength=len(encoded))
+            states, founds = self._parse(codes, lengths, root)
+            ends, totals = states[last], founds[last].astype(np.int64)
+            alone = totals.copy()
+            # Where a match goes on over a border, the segment behind it is parsed again from
+            # there, up to where it comes to the state that it had by itself.
+            wrong = after[(ends != root) & (after >= 0)]
+            before = np.full(len(owner), -1)
+            before[after[after >= 0]] = np.flatnonzero(after >= 0)
+            while len(wrong):
+                rest, state = wrong, ends[before[wrong]]
+                found = np.zeros(len(rest), dtype=np.int64)
+                changed = []
+                for step in range(SEGMENT):
+                    if not len(rest):
+                        break
+                    state, ended = self._step(state, codes[step, rest], root)
+                    found += ended
+                    same = state == states[step, rest]
+                    over = ~same & (lengths[rest] == step + 1)
+                    totals[rest[same]] = found[same] + alone[rest[same]] - founds[step, rest[same]]
+                    totals[rest[over]] = found[over]
+                    for done, new in ((same, states[last][rest[same]]), (over, state[over])):
+                        which = rest[done]
+                        changed.append(which[ends[which] != new])
+                        ends[which] = new
+                    going = ~(same | over)
+                    rest, state, found = rest[going], state[going], found[going]
+                wrong = after[np.concatenate(changed)] if changed else np.zeros(0, np.int64)
+                wrong = np.unique(wrong[wrong >= 0])
+            totals += (ends != root) & (after < 0)
+            out[:, k] = np.bincount(owner, weights=totals, minlength=len(encoded))
         return out
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
