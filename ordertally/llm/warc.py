@@ -296,7 +296,10 @@ def read_pages(requests: DataFrame, folder: str) -> DataFrame:
     ids = F.col("page_id").cast("bigint")
     # Identifiers as text: pandas would make floats of a column with nulls.
     keys = requests.select(key_of(F.col("url").cast("string"), ids.cast("string")).alias("key"))
-    wanted = keys.distinct().repartitionByRange("key").sortWithinPartitions("key")
+    # As many tasks as a shuffle has, or shards if they are more: keys are short, so Spark
+    # would put all of them in one.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), len(shards))
+    wanted = keys.distinct().repartitionByRange(tasks, "key").sortWithinPartitions("key")
     return wanted.mapInArrow(read, _RECORDS)
 
 
