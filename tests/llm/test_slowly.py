@@ -1,0 +1,181 @@
+"""Operators against slow and plain versions of themselves."""
+
+import hashlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+
+from ordertally.llm import fingerprints, language, packing, quality, warc
+from ordertally.llm.queries import QUERIES
+from ordertally.llm.tokens import Encoder, public_path
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def cross_parsed(text, known):
+    count = at = 0
+    while at < len(text):
+        end = at
+        while end < len(text) and text[at : end + 1] in known:
+            end += 1
+        at, count = max(end, at + 1), count + 1
+    return count
+
+
+@pytest.mark.parametrize("segment", [3, 16, 256])
+def test_phrases_go_on_over_borders(monkeypatch, segment):
+    monkeypatch.setattr(language, "SEGMENT", segment)
+    rng = np.random.default_rng(segment)
+    known = ["".join(rng.choice(list("abcd"), 900)), "".join(rng.choice(list("abce"), 1200))]
+    parser = language.Parser((("x", known[0]), ("y", known[1])))
+    texts = ["".join(rng.choice(list("abcdez"), rng.integers(1, 900))) for _ in range(30)]
+    texts += [known[0], known[1], known[0][:400] + known[1][300:], "a" * 700, "", "z" * 300]
+    texts += [known[0][100:] + "z" + known[0], known[1][7:] * 2]
+    found = parser.phrases([parser.encode(text) for text in texts])
+    for text, row in zip(texts, found, strict=True):
+        assert row.tolist() == [cross_parsed(text, one) for one in known]
+
+
+def gear_chunks(data):
+    """Ends of the chunks, a byte at a time."""
+    ends, at, gear = [], 0, 0
+    values = [xxhash.xxh32_intdigest(bytes([b])) for b in range(256)]
+    for place, byte in enumerate(data, 1):
+        gear = ((gear << 1) + values[byte]) & 0xFFFFFFFF
+        length = place - at
+        strict = gear & int(fingerprints.STRICT) == 0
+        loose = gear & int(fingerprints.LOOSE) == 0
+        cut = length >= fingerprints.MIN and (strict if length <= fingerprints.NORMAL else loose)
+        if cut or length == fingerprints.MAX or place == len(data):
+            ends.append(place)
+            at = place
+    return ends
+
+
+def plain_fingerprint(text):
+    data = text.encode()
+    ends = gear_chunks(data)
+    return {data[a:b]: b - a for a, b in zip([0, *ends], ends)}
+
+
+def plain_likeness(one, other):
+    if not one or not other:
+        return float(not one and not other)
+    shared = sum(weight for chunk, weight in one.items() if chunk in other)
+    return shared / max(sum(one.values()), sum(other.values()))
+
+
+def test_fingerprints_byte_by_byte(spark):
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
+    texts = {r["doc_id"]: r["text"] or "" for r in rows}
+    order = sorted(texts, reverse=True)
+    found = {r["doc_id"]: r for r in QUERIES["op1_fingerprints"](spark, SF_DIR).collect()}
+    assert len(found) == len(order)
+    prints = {}
+    for key, follows in zip(order, [*order[1:], order[0]], strict=True):
+        text, other, row = texts[key], texts[follows], found[key]
+        cut = len(text) // 3
+        edited = text[: len(text) - cut] + other[:cut]
+        own, new, near = map(plain_fingerprint, (text, edited, other))
+        assert row["n_chars"] == len(text)
+        assert row["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert row["near_edited"] == pytest.approx(plain_likeness(own, new), abs=1e-9)
+        assert row["near_next"] == pytest.approx(plain_likeness(own, near), abs=1e-9)
+        for string, chunks in ((row["fingerprint"], own), (row["edited_fingerprint"], new)):
+            weights = fingerprints.from_string(string)
+            assert sorted(weights.values()) == sorted(chunks.values())
+            assert prints.setdefault(frozenset(chunks), string) == string
+
+
+def small_model():
+    rng = np.random.default_rng(0)
+    counts = np.array([1, 4, 2, 3])
+    features = rng.normal(size=(counts.sum(), quality.FEATURES)).astype(np.float64)
+    labels = np.array([1.0, 0.0, 1.0, 0.0])
+    model = quality.fit(features, counts, labels)
+    model.weights = {name: value.astype(np.float64) for name, value in model.weights.items()}
+    return model, features, counts, labels
+
+
+def plain_logits(model, features, counts):
+    """Attention over the passages of each document, in loops."""
+    w, out, at = model.weights, [], 0
+    for count in counts:
+        hidden, raw = [], []
+        for x in features[at : at + count]:
+            h = np.tanh(np.clip((x - model.mean) / model.scale, -8, 8) @ w["encode"] + w["encode_bias"])
+            gated = np.tanh(h @ w["tanh"]) / (1 + np.exp(-(h @ w["gate"])))
+            hidden.append(h)
+            raw.append(gated @ w["attend"])
+        share = np.exp(raw) / np.sum(np.exp(raw))
+        z = sum(a * h for a, h in zip(share, hidden, strict=True))
+        out.append(z @ w["score"] + w["score_bias"][0])
+        at += count
+    return np.array(out)
+
+
+def test_attention_in_loops():
+    model, features, counts, _ = small_model()
+    expected = plain_logits(model, features, counts)
+    assert np.allclose(model.forward(features, counts)["logit"], expected, atol=1e-8)
+    assert np.allclose(model.scores(features, counts), 1 / (1 + np.exp(-expected)), atol=1e-8)
+
+
+def test_gradients_by_differences():
+    model, features, counts, labels = small_model()
+
+    def loss():
+        logit = plain_logits(model, features, counts)
+        return np.mean(np.logaddexp(0, logit) - labels * logit)
+
+    slopes = model.gradients(features, counts, labels)
+    rng = np.random.default_rng(3)
+    for name, value in model.weights.items():
+        flat, slope = value.reshape(-1), np.asarray(slopes[name]).reshape(-1)
+        for at in rng.choice(len(flat), min(6, len(flat)), replace=False):
+            before = flat[at]
+            flat[at] = before + 1e-5
+            up = loss()
+            flat[at] = before - 1e-5
+            down = loss()
+            flat[at] = before
+            assert slope[at] == pytest.approx((up - down) / 2e-5, abs=1e-6)
+
+
+def test_number_of_sequences(spark):
+    """As many as best-fit decreasing opens, one piece after the other."""
+    rows = QUERIES["op5_packing"](spark, SF_DIR).collect()
+    encoder = Encoder(public_path("byte_bpe_50k.json"))
+    room: list[int] = []
+    lengths = []
+    for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect():
+        size = len(encoder.whole([r["text"] or ""])[0]) // 4 + 1
+        lengths += [length for _, length in packing.cut(size, packing.CAPACITY)]
+    for length in sorted(lengths, reverse=True):
+        fits = [k for k, left in enumerate(room) if left >= length]
+        if fits:
+            room[min(fits, key=lambda k: room[k])] -= length
+        else:
+            room.append(packing.CAPACITY - length)
+    assert len({r["sequence_id"] for r in rows}) == len(room)
+    assert Counter(r["length"] for r in rows) == Counter(lengths)
+
+
+def test_captures_by_linear_scan(spark, tmp_path):
+    """Every page is found by the index, least sizes of revisits included."""
+    pages = [(i, f"https://www.h{i % 7}.example/p{i % 11}", "x" * (i % 5)) for i in range(120)]
+    pages += [(500, None, None), (501, "", "xx"), (501, "", "xx")]
+    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    for least in (0, 3):
+        found = warc.archive_and_read(frame, f"{tmp_path}/w{least}", least).collect()
+        largest = {}
+        for page, _, html in pages:
+            largest[html or ""] = max(page, largest.get(html or "", -1))
+        expected = Counter()
+        for page, _, html in pages:
+            revisit = len(html or "") >= least and largest[html or ""] != page
+            expected[page, len(html or ""), "revisit" if revisit else "response", largest[html or ""] if revisit else None] += 1
+        got = Counter((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in found)
+        assert set(got) == set(expected)
