@@ -2,10 +2,11 @@
 
 A file holds the ids of some documents, in ascending order of their keys, as one array of
 16-bit integers (32-bit where the vocabulary needs it), then the documents' ends within it
-and the documents' keys, both non-decreasing and both in Elias-Fano code, then a footer.
+and the documents' keys, both non-decreasing and both in Elias-Fano code, then a footer. A
+reader holds the borders in their code and reads ids by ranges, at the places that it selects.
 
-Null keys come first, repeated keys stay beside each other in the order of their texts, a
-null text is empty; a document has its end id at least. No rows, no files.
+Null keys come first, repeated keys stay beside each other in the order of a hash of their
+texts, a null text is empty; a document has its end id at least. No rows, no files.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from ordertally.llm.tokens import END_ID, SLICE_BYTES, encoder, public_path
 # A file is closed once it holds so many ids or documents.
 FILE_IDS = 2**23
 FILE_DOCUMENTS = 2**18
+# Documents of which the ids are read at once.
+RUN = 2**8
 _LENGTH = struct.Struct("<q")
 _FILES = "task int, place int, name string, documents bigint, tokens bigint"
 
@@ -48,23 +51,36 @@ def pack_file(keys: list[int | None], ids: list[bytes], width: int) -> bytes:
 
 
 class TokenFile:
-    """A file read back: documents by place, without decoding the others."""
+    """A file read back by ranges: the borders are held, of the ids what is asked for alone."""
 
-    def __init__(self, data: bytes):
-        size = _LENGTH.unpack(data[-_LENGTH.size :])[0]
-        footer = json.loads(data[-_LENGTH.size - size : -_LENGTH.size])
+    def __init__(self, source: pa.NativeFile):
+        self.source, end = source, source.size() - _LENGTH.size
+        size = _LENGTH.unpack(source.read_at(_LENGTH.size, end))[0]
+        footer = json.loads(source.read_at(size, end - size))
         body, ends, names = footer["sizes"]
-        self.ids = np.frombuffer(data[:body], dtype=f"<u{footer['width']}")
-        self.ends = EliasFano.from_bytes(data[body : body + ends])
-        self.keys = EliasFano.from_bytes(data[body + ends : body + ends + names])
+        self.width = footer["width"]
+        self.ends = EliasFano.from_bytes(source.read_at(ends, body))
+        self.keys = EliasFano.from_bytes(source.read_at(names, body + ends))
         self.documents, self.nulls = footer["documents"], footer["nulls"]
 
     def key(self, place: int) -> int | None:
         return None if place < self.nulls else self.keys.select(place - self.nulls)
 
+    def ids(self, start: int, end: int) -> np.ndarray:
+        data = self.source.read_at(self.width * (end - start), self.width * start)
+        return np.frombuffer(data, dtype=f"<u{self.width}")
+
     def document(self, place: int) -> np.ndarray:
         start = self.ends.select(place - 1) if place else 0
-        return self.ids[start : self.ends.select(place)]
+        return self.ids(start, self.ends.select(place))
+
+    def run(self, place: int, count: int) -> tuple[list[int | None], np.ndarray, np.ndarray]:
+        """Keys of consecutive documents, where each begins, and the end of the last; their ids."""
+        nulls = min(max(self.nulls - place, 0), count)
+        known = self.keys.some(place + nulls - self.nulls, count - nulls) if count > nulls else []
+        first = self.ends.select(place - 1) if place else 0
+        borders = np.concatenate(([first], self.ends.some(place, count)))
+        return [None] * nulls + list(map(int, known)), borders, self.ids(first, int(borders[-1]))
 
 
 def write_token_files(
@@ -108,7 +124,9 @@ def write_token_files(
         if keys:
             yield close()
 
-    rows = texts_of(documents).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # By text as well, so that rows without a key, or of one key, are dealt over ranges, too.
+    order = "doc_id", F.xxhash64("text")
+    rows = texts_of(documents).repartitionByRange(*order).sortWithinPartitions(*order, "text")
     rows.mapInArrow(write, _FILES).write.parquet(f"{folder}/files")
     return token_files(documents.sparkSession, folder)
 
@@ -121,6 +139,17 @@ def token_files(spark: SparkSession, folder: str) -> DataFrame:
     return files.select("*", base)
 
 
+def described(one: TokenFile, place: int, base: int) -> pa.RecordBatch:
+    """Key, start, length and checksum of a run of a file's documents."""
+    keys, borders, ids = one.run(place, min(RUN, one.documents - place))
+    data = memoryview(ids.astype("<u4").tobytes())
+    cuts = (4 * (borders - borders[0])).tolist()
+    sums = [zlib.crc32(data[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    columns = [keys, borders[:-1] + base, np.diff(borders), sums]
+    names = ["doc_id", "start", "n_tokens", "ids_crc32"]
+    return pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in columns], names)
+
+
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Key, global start, length and checksum of each document, from the files."""
 
@@ -129,24 +158,9 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 with system.open_input_file(f"{root}/{row['name']}") as source:
-                    one = TokenFile(source.read())
-                ends = one.ends.values()
-                starts = np.concatenate(([0], ends[:-1]))
-                keys = [None] * one.nulls + one.keys.values().tolist()
-                data = memoryview(one.ids.astype("<u4").tobytes())
-                sums = [
-                    zlib.crc32(data[4 * a : 4 * b])
-                    for a, b in zip(starts.tolist(), ends.tolist(), strict=True)
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(keys, pa.int64()),
-                        pa.array(starts + row["base"], pa.int64()),
-                        pa.array(ends - starts, pa.int64()),
-                        pa.array(sums, pa.int64()),
-                    ],
-                    names=["doc_id", "start", "n_tokens", "ids_crc32"],
-                )
+                    one = TokenFile(source)
+                    for place in range(0, one.documents, RUN):
+                        yield described(one, place, row["base"])
 
     files = token_files(spark, folder).select("name", "base")
     # A file to a task: a task that is lost reads one file again.

@@ -179,3 +179,25 @@ def test_captures_by_linear_scan(spark, tmp_path):
             expected[page, len(html or ""), "revisit" if revisit else "response", largest[html or ""] if revisit else None] += 1
         got = Counter((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in found)
         assert set(got) == set(expected)
+
+
+def test_documents_of_a_file_by_place(tmp_path):
+    import pyarrow as pa
+
+    from ordertally.llm import token_files
+
+    rng = np.random.default_rng(8)
+    keys = [None] * 3 + sorted(rng.integers(-50, 10**12, 900).tolist())
+    ids = [rng.integers(0, 49_000, rng.integers(1, 60)).astype("<u4") for _ in keys]
+    data = token_files.pack_file(keys, [one.tobytes() for one in ids], 2)
+    one = token_files.TokenFile(pa.BufferReader(data))
+    for place in rng.permutation(len(keys)).tolist():
+        assert one.key(place) == keys[place]
+        assert one.document(place).tolist() == ids[place].tolist()
+    for place in (0, 1, 2, 3, 255, 700):
+        found, borders, run = one.run(place, 200)
+        assert found == keys[place : place + 200]
+        assert run.tolist() == np.concatenate(ids[place : place + 200]).tolist()
+        assert np.diff(borders).tolist() == [len(x) for x in ids[place : place + 200]]
+    # Sixteen bits an id, and few bits for the borders and keys.
+    assert len(data) < 2 * sum(map(len, ids)) + len(keys) * 7 + 400
