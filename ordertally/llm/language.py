@@ -173,8 +173,8 @@ class Parser:
         last = lengths - 1, np.arange(len(owner))
         for k, root in enumerate(self.roots):
             states, founds = self._parse(codes, lengths, root)
-            ends, totals = states[last], founds[last].astype(np.int64)
-            alone = totals.copy()
+            own_ends, alone = states[last], founds[last].astype(np.int64)
+            ends, totals = own_ends.copy(), alone.copy()
             # Where a match goes on over a border, the segment behind it is parsed again from
             # there, up to where it comes to the state that it had by itself.
             wrong = after[(ends != root) & (after >= 0)]
@@ -191,9 +191,11 @@ class Parser:
                     found += ended
                     same = state == states[step, rest]
                     over = ~same & (lengths[rest] == step + 1)
+                    if not (same.any() or over.any()):
+                        continue
                     totals[rest[same]] = found[same] + alone[rest[same]] - founds[step, rest[same]]
                     totals[rest[over]] = found[over]
-                    for done, new in ((same, states[last][rest[same]]), (over, state[over])):
+                    for done, new in ((same, own_ends[rest[same]]), (over, state[over])):
                         which = rest[done]
                         changed.append(which[ends[which] != new])
                         ends[which] = new
