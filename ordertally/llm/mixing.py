@@ -8,15 +8,19 @@ each source is within one block of its share.
 
 Weights are taken as the exact fractions that they are written as, and brought to whole
 numbers without a common divisor. Their sum is the period, after which the schedule repeats:
-with equal weights, the number of sources. The driver works out one period, a table of at
-most `period` rows whatever the corpus, and the slot of a block follows from its number and
-this table. Where the period is longer, the driver goes through the blocks that there are,
-one at a time, and writes their slots in parts, with the windows that are open carried over
-from part to part. It takes one step for each block, its memory grows with the number of
-sources, and no weight is rounded either way.
+with equal weights, the number of sources. There is one schedule, that of sources without an
+end; a source that has run out leaves its slots empty, and no document is dropped or repeated.
 
-A source that has run out leaves its slots empty and the others move up; no document is
-dropped or repeated.
+The slot of a block is worked out in two ways, which agree. Where the period is short, from
+the block's number and a table of one period, at most `period` rows whatever the corpus.
+Where it is long, in frames of slots, each of them a row for Spark to deal out: which blocks
+are done when a frame begins follows from its first slot alone, see `done_before`, so frames
+need not know each other. A frame is at least as long as the longest window. The work is one
+step for each slot up to the one in which the last source runs out, and a task holds a frame.
+
+A weight of less than one in 2^20 of all has windows that no frame holds. Then the driver goes
+through the blocks that there are, one at a time, and writes their slots in parts. That walk
+knows when a source has run out and gives the slot to the next, so that it leaves none empty.
 
 A null source is a source of its own. Without given weights each source has the same. A
 source that the weights do not name, or whose weight is 0, has a null slot: it comes after
@@ -27,11 +31,12 @@ in the order within a source go by text. An empty table gives no rows.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from fractions import Fraction
 from itertools import islice
 from math import gcd, lcm
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -43,7 +48,9 @@ from ordertally.operators.sizes import fits_broadcast
 # The longest period whose table is sent to all tasks.
 PERIOD = 2**16
 BLOCK_DOCUMENTS = 8
-# Slots of a longer schedule that the driver holds at a time.
+# Slots of a longer schedule that a task works out at a time, at least and at most.
+FRAME, LONGEST_FRAME = 2**14, 2**20
+# Slots that the driver holds at a time, for weights whose windows are longer still.
 PART_SLOTS = 2**18
 _SLOTS = "turn_source string, turn bigint, turn_slot bigint"
 
@@ -59,15 +66,100 @@ def exact_weights(weights: Mapping) -> dict:
     return {source: number // divisor for source, number in whole.items()}
 
 
-def whole_weights(weights: Mapping, period: int) -> dict:
-    """Slots for each source that add up to a given period, rounded; `mix` does not round."""
-    total = sum(weights.values())
-    exact = {source: period * weight / total for source, weight in weights.items()}
-    slots = {source: int(share) for source, share in exact.items()}
-    order = sorted(exact, key=lambda s: (slots[s] - exact[s], s is None, s or ""))
-    for source in order[: period - sum(slots.values())]:
-        slots[source] += 1
-    return slots
+def longest_window(slots: Mapping) -> int:
+    return -(-sum(slots.values()) // min(slots.values())) + 1
+
+
+def done_before(shares: Sequence[int], at: int) -> list[int]:
+    """How many blocks of each source are done before slot `at`, earliest deadlines first.
+
+    Blocks due by then are done, blocks released later are not, and of each source at most one
+    is open. The open ones that are done are those which the schedule prefers, in the order of
+    their deadlines, as long as those taken can still be held by the slots after their release:
+    a set of blocks fits if, from every slot t on, no more of them are released than there are
+    slots from t to `at`. No slot stays empty, so the number taken is known.
+    """
+    period = sum(shares)
+    due = [share * at // period for share in shares]
+    open_ = [s for s, share in enumerate(shares) if share * at % period]
+    taken = at - sum(due)
+    if not taken:
+        return due
+    releases = {s: due[s] * period // shares[s] for s in open_}
+    low = min(releases.values())
+    # Beyond 64 bits numpy goes on with Python's whole numbers.
+    kind = np.int64 if period * (at + 1) < 2**62 else object
+    steps = sorted(set(releases.values()))
+    slots = np.arange(low, steps[-1] + 1).astype(kind)
+    room = at - slots
+    for share, count in zip(shares, due, strict=True):
+        room = room - np.maximum(count + (-share * slots) // period, 0)
+    # Taking a block uses room at its release and before: the least room between releases will do.
+    room = np.minimum.reduceat(room, [0] + [step + 1 - low for step in steps[:-1]])
+    last = {step: n + 1 for n, step in enumerate(steps)}
+    deadline = {s: -(-(due[s] + 1) * period // shares[s]) for s in open_}
+    for s in sorted(open_, key=lambda s: (deadline[s], s)):
+        upto = last[releases[s]]
+        if taken and room[:upto].min() > 0:
+            room[:upto] -= 1
+            due[s] += 1
+            taken -= 1
+    return due
+
+
+def turns_from(shares: Sequence[int], at: int = 0) -> Iterator[tuple[int, int]]:
+    """The source, by its place in `shares`, and the block of every slot from `at` on: of the
+    released blocks the one with the earliest deadline. Without an end."""
+    period = sum(shares)
+
+    def block(s: int, j: int) -> tuple:
+        return j * period // shares[s], -(-(j + 1) * period // shares[s]), s, j
+
+    waiting = [block(s, j) for s, j in enumerate(done_before(shares, at))]
+    heapq.heapify(waiting)  # (release, deadline, source, block)
+    released: list = []  # (deadline, source, block)
+    while True:
+        while waiting and waiting[0][0] <= at:
+            heapq.heappush(released, heapq.heappop(waiting)[1:])
+        _, s, j = heapq.heappop(released)
+        yield s, j
+        heapq.heappush(waiting, block(s, j + 1))
+        at += 1
+
+
+def pfair(slots: Mapping) -> list:
+    """The source of each slot of one period."""
+    names = list(slots)
+    turns = turns_from(list(slots.values())) if names else iter(())
+    return [names[s] for s, _ in islice(turns, sum(slots.values()))]
+
+
+def frame_slots(spark: SparkSession, slots: Mapping, blocks: Mapping, frame: int = FRAME) -> DataFrame:
+    """The slot of every block there is, frame by frame; `blocks` says how many a source has."""
+    names, shares = list(slots), list(slots.values())
+    period = sum(shares)
+    held = [blocks.get(name) or 0 for name in names]
+    frame = max(frame, longest_window(slots))
+    end = max(-(-count * period // share) for count, share in zip(held, shares, strict=True))
+
+    def work_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in batch.column("id").to_pylist():
+                found = [
+                    (names[s], j, first * frame + n)
+                    for n, (s, j) in enumerate(islice(turns_from(shares, first * frame), frame))
+                    if j < held[s]
+                ]
+                columns = [
+                    pa.array([name for name, _, _ in found], pa.string()),
+                    pa.array([j for _, j, _ in found], pa.int64()),
+                    pa.array([slot for _, _, slot in found], pa.int64()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["turn_source", "turn", "turn_slot"])
+
+    frames = -(-end // frame)
+    tasks = min(frames, 8 * spark.sparkContext.defaultParallelism)
+    return spark.range(0, frames, 1, max(tasks, 1)).mapInArrow(work_out, _SLOTS)
 
 
 def turns_of(slots: Mapping, blocks: Mapping) -> Iterator[tuple]:
@@ -101,11 +193,6 @@ def turns_of(slots: Mapping, blocks: Mapping) -> Iterator[tuple]:
         slot += 1
 
 
-def pfair(slots: Mapping) -> list:
-    """The source of each slot of one period, by earliest deadline among released blocks."""
-    return [source for source, _ in turns_of(slots, slots)]
-
-
 def long_schedule(spark: SparkSession, slots: Mapping, blocks: Mapping, folder: str) -> DataFrame:
     """The slot of every block there is, stored part by part."""
     turns = turns_of(slots, blocks)
@@ -171,7 +258,10 @@ def mix(
         held = {row["source"]: -(-row["size"] // block_documents) for row in sizes}
         if not any(held.get(source) for source in shares):
             return blocks.select(*shown, F.lit(None).cast("bigint").alias("slot"))
-        turns = long_schedule(spark, shares, held, f"{folder}/schedule")
+        if longest_window(shares) <= LONGEST_FRAME:
+            turns = frame_slots(spark, shares, held)
+        else:
+            turns = long_schedule(spark, shares, held, f"{folder}/schedule")
         timed = blocks.join(turns, own_turn & (F.col("block") == F.col("turn")), "left")
         return timed.select(*shown, F.col("turn_slot").alias("slot"))
     seen: dict = {}

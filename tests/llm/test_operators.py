@@ -1,9 +1,11 @@
 """The operators against brute force, and on awkward tables."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -289,12 +291,72 @@ def test_warc(spark, tmp_path):
 
 
 def test_pfair_lag():
-    slots = mixing.whole_weights({"a": 5.0, "b": 3.0, "c": 1.0, "d": 0.01}, 100)
+    slots = mixing.exact_weights({"a": 5.0, "b": 3.0, "c": 1.0, "d": 0.01, "e": 0})
     given: Counter = Counter()
     for turn, source in enumerate(mixing.pfair(slots), 1):
         given[source] += 1
-        assert all(abs(given[s] - turn * w / 100) < 1 for s, w in slots.items())
-    assert dict(given) == {s: w for s, w in slots.items() if w}
+        assert all(abs(given[s] - turn * w / 901) < 1 for s, w in slots.items())
+    assert dict(given) == slots == {"a": 500, "b": 300, "c": 100, "d": 1}
+
+
+def plain_schedule(shares, end):
+    """Source and block of each slot, looking at every source for every slot."""
+    period, done = sum(shares), [0] * len(shares)
+    for slot in range(end):
+        released = [s for s, w in enumerate(shares) if done[s] * period // w <= slot]
+        s = min(released, key=lambda s: (-(-(done[s] + 1) * period // shares[s]), s))
+        yield s, done[s], list(done)
+        done[s] += 1
+
+
+def test_schedule_from_any_slot():
+    """What is done before a slot is known without the slots before it."""
+    draw = random.Random(7)
+    tried = 0
+    for _ in range(150):
+        top = draw.choice([3, 200, 5_000, 10**18])
+        shares = [draw.choice([1, draw.randint(1, 9), draw.randint(1, top)]) for _ in range(draw.randint(1, 30))]
+        least = min(shares) * 20_000 // sum(shares)
+        shares = shares if least else [share + sum(shares) // 20_000 for share in shares]
+        known = list(plain_schedule(shares, 800))
+        assert list(islice(mixing.turns_from(shares), 800)) == [(s, j) for s, j, _ in known]
+        for at in draw.sample(range(800), 10):
+            assert mixing.done_before(shares, at) == known[at][2]
+            tried += 1
+        assert list(islice(mixing.turns_from(shares, at), 800 - at)) == [(s, j) for s, j, _ in known[at:]]
+    assert tried == 1500
+
+
+@pytest.mark.parametrize(
+    "weights", [{"a": 1, "b": 1, "c": 1}, {"a": 0.61, "b": 0.25, None: 0.13, "d": 0.01, "x": 0.2}]
+)
+def test_one_schedule_whatever_the_period(spark, tmp_path, weights):
+    """Sources that run out at very different times get the same slots in both ways."""
+    many = {"a": 1, "b": 5, "c": 700, "d": 3, None: 40}
+    rows = [(k, s, f"{s}{k}") for s, n in many.items() for k in range(n)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    by_table, by_frames = (
+        {
+            (r["source"], r["doc_id"]): (r["block"], r["slot"])
+            for r in mixing.mix(frame, f"{tmp_path}/{period}", weights, 1, period).collect()
+        }
+        for period in (mixing.PERIOD, 0)
+    )
+    shares = mixing.exact_weights(weights)
+    names = list(shares)
+    known = {(names[s], j): n for n, (s, j, _) in enumerate(plain_schedule(list(shares.values()), 5_000))}
+    assert by_table == by_frames and len(by_table) == len(rows)
+    for (source, _), (block, slot) in by_table.items():
+        assert slot == known.get((source, block))
+
+
+def test_frames_of_any_length(spark):
+    shares, held = {"a": 7, "b": 2, None: 4}, {"a": 90, "b": 50, None: 1}
+    long_, short = (
+        sorted(map(tuple, mixing.frame_slots(spark, shares, held, frame).collect()), key=repr)
+        for frame in (10_000, 1)
+    )
+    assert long_ == short and len(short) == 141
 
 
 def lags_of(rows, weights):
