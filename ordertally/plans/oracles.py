@@ -96,6 +96,8 @@ ORACLES: dict[str, str] = {
     "kpi_exact_large_dimension": _EXACT_TOTALS,
     "kpi_stream_exact": _EXACT_TOTALS,
     "kpi_backfill_then_stream": _EXACT_TOTALS,
+    "kpi_state": _EXACT_TOTALS,
+    "kpi_state_carried_over": _EXACT_TOTALS,
     "kpi_corrections": _CORRECTED,
     "kpi_last_versions": _CORRECTED,
     "kpi_waiting": f"""

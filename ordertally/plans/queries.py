@@ -6,7 +6,8 @@ messages and then treated as if they had come from a topic.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +50,7 @@ from ordertally.streaming.jobs import (
     start_totals,
     wait,
 )
+from ordertally.streaming.state import carry_over, totals_state
 from ordertally.streaming.waiting import start_waiting
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -411,6 +413,42 @@ def kpi_backfill_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi_current(read_history(spark, settings.history_path))
 
 
+def _state_job(spark: SparkSession, sf_dir: str, parts: Sequence[int]) -> Settings:
+    """A job that has read some landings, a batch for each, with sums in four partitions."""
+    work = new_workspace(spark)
+    settings = job(work, source=Landing(f"{work}/landing"), exact=True, state_partitions=4)
+    for part in parts:
+        _land(order_rows(spark, sf_dir), settings.source.path, part)
+        messages = file_stream(spark, settings.source)
+        start_totals(messages, customers(spark, sf_dir), settings).awaitTermination()
+    return settings
+
+
+def kpi_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The running sums as they lie in the checkpoint of a job that has ended."""
+    sums = totals_state(spark, _state_job(spark, sf_dir, range(len(CUTS) + 1)))
+    return sums.select("source", "state", F.col("amount").cast("double").alias("total_sum_amount"))
+
+
+def kpi_state_carried_over(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landings with four state partitions, the rest by a job that goes on with sixteen."""
+    before = _state_job(spark, sf_dir, (0, 1))
+    work = new_workspace(spark)
+    wider = replace(
+        before,
+        state_partitions=16,
+        totals_checkpoint=f"{work}/totals",
+        handover_path=f"{work}/handover",
+        history_path=f"{work}/history",
+    )
+    carry_over(spark, before, wider)
+    for part in range(2, len(CUTS) + 1):
+        _land(order_rows(spark, sf_dir), wider.source.path, part)
+        messages = file_stream(spark, wider.source)
+        start_totals(messages, customers(spark, sf_dir), wider).awaitTermination()
+    return kpi_current(read_history(spark, wider.history_path))
+
+
 def _versions_of_orders(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """All orders; later versions of the urgent ones; of those in progress later ones still, for
     other customers; and versions of some, older than all these, that are delivered last."""
@@ -823,6 +861,8 @@ QUERIES: dict[str, Query] = {
         kpi_exact_large_dimension,
         kpi_stream_exact,
         kpi_backfill_then_stream,
+        kpi_state,
+        kpi_state_carried_over,
         kpi_corrections,
         kpi_last_versions,
         kpi_waiting,

@@ -98,7 +98,9 @@ class Settings:
     broadcast_bytes: int = 64 * 2**20
     # Width of the join to customers that are not broadcast.
     join_partitions: int | None = None
-    # Number of state partitions; fixed by the first start of a checkpoint.
+    # The totals' checkpoint if it lies elsewhere, as after `carry_over`.
+    totals_checkpoint: str | None = None
+    # Number of state partitions; fixed by the first start of a checkpoint, see `carry_over`.
     state_partitions: int | None = None
     history_files: int = HISTORY_FILES
     # Add up decimals, whose sum does not depend on their order.

@@ -74,13 +74,19 @@ def _width(settings: Settings) -> dict[str, str]:
     return conf
 
 
+def checkpoint_of(settings: Settings, name: str) -> str:
+    if name == "totals" and settings.totals_checkpoint is not None:
+        return settings.totals_checkpoint
+    return f"{settings.checkpoint_root}/{name}"
+
+
 def _start(
     df: DataFrame, name: str, each_batch: BatchFunction, settings: Settings
 ) -> StreamingQuery:
     writer = (
         df.writeStream.queryName(name)
         .outputMode("update")
-        .option("checkpointLocation", f"{settings.checkpoint_root}/{name}")
+        .option("checkpointLocation", checkpoint_of(settings, name))
         .foreachBatch(each_batch)
     )
     writer = _trigger(writer, settings)
