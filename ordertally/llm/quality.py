@@ -6,9 +6,11 @@ a vector. A gated attention, tanh times sigmoid, weighs the passages of a docume
 weighted sum of their vectors gives the score. Encoder, attention and score are learned
 together, from labels of documents only, by gradient descent on the log loss.
 
-The model is fitted on a sample of labelled rows: at most about `TRAIN_DOCUMENTS` documents,
-drawn by a hash of their keys, with at most `TRAIN_PASSAGES` passages of each, evenly spaced.
-Every passage of every text is scored. A document with several labels has their mean; a null
+The model is fitted on a sample of labelled rows: at most `TRAIN_DOCUMENTS` rows, drawn by a
+hash of their keys, and of these, in the order of the draw, each whose passages still fit into
+`TRAIN_PASSAGES` for all rows together. A row of the sample is taken with all its passages; a
+row that is repeated counts once, a text beyond the bound by itself is not sampled. Every
+passage of every text is scored. A document with several labels has their mean; a null
 text is empty, and an empty text is one passage without words. A null key is not held out
 and not learned from. Where no label can be learned from, the score is 0.5.
 """
@@ -29,7 +31,7 @@ from ordertally.llm.words import words_of
 PASSAGE = 50
 BUCKETS = 64
 HIDDEN, ATTENTION = 24, 16
-TRAIN_DOCUMENTS, TRAIN_PASSAGES = 3000, 24
+TRAIN_DOCUMENTS, TRAIN_PASSAGES = 3000, 60_000
 STEPS, RATE, DECAY = 250, 0.02, 1e-4
 THRESHOLD = 0.3
 _RESULT = "doc_id bigint, held_out boolean, score double, predicted int"
@@ -182,6 +184,21 @@ def _crc(key: Column) -> Column:
     return F.crc32(key.cast("string")) % 5
 
 
+def _that_fit(drawn: DataFrame) -> list[tuple[int, int, float]]:
+    """Key, digest and label of the drawn rows whose passages fit into the bound together."""
+    words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
+    sizes = drawn.select(
+        "draw", "doc_id", "digest", "label", F.greatest(F.ceil(words / PASSAGE), F.lit(1)).alias("size")
+    )
+    first = sizes.distinct().orderBy("draw", "doc_id", "digest").limit(TRAIN_DOCUMENTS)
+    left, out = TRAIN_PASSAGES, []
+    for row in first.collect():
+        if row["size"] <= left:
+            left -= row["size"]
+            out.append((row["doc_id"], row["digest"], row["label"]))
+    return out
+
+
 def learn(documents: DataFrame, labels: DataFrame, column: str = "quality") -> Model | None:
     """A model from a bounded sample of the labels that are not held out."""
     marked = (
@@ -195,25 +212,28 @@ def learn(documents: DataFrame, labels: DataFrame, column: str = "quality") -> M
         return None
     draw = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2**30)) / 2**30
     sample = marked.where(draw < min(1.0, TRAIN_DOCUMENTS / count))
+    # Both samples are bounded, so they can be sent to the documents and collected.
+    rows = texts_of(documents).withColumn("digest", F.xxhash64("text"))
+    chosen = _that_fit(rows.join(F.broadcast(sample), "doc_id").withColumn("draw", draw))
+    if not chosen:
+        return None
 
     def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             features, counts = encode(batch.column("text").to_pylist())
-            firsts = np.cumsum(counts) - counts
-            rows = []
-            for first, size in zip(firsts.tolist(), counts.tolist(), strict=True):
-                few = np.unique(np.linspace(0, size - 1, min(size, TRAIN_PASSAGES)).astype(int))
-                rows.append(features[first + few].tobytes())
+            ends = np.cumsum(counts)
+            bags = [
+                features[end - size : end].tobytes()
+                for end, size in zip(ends.tolist(), counts.tolist(), strict=True)
+            ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label"), pa.array(rows, pa.binary())],
+                [batch.column("doc_id"), batch.column("label"), pa.array(bags, pa.binary())],
                 ["doc_id", "label", "features"],
             )
 
-    # The sample is bounded, so it can be sent to the documents and what comes of it collected.
-    rows = texts_of(documents).join(F.broadcast(sample), "doc_id")
-    taken = rows.mapInArrow(passages, "doc_id bigint, label double, features binary").collect()
-    if not taken:
-        return None
+    few = documents.sparkSession.createDataFrame(chosen, "doc_id bigint, digest bigint, label double")
+    once = rows.join(F.broadcast(few), ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"])
+    taken = once.mapInArrow(passages, "doc_id bigint, label double, features binary").collect()
     taken.sort(key=lambda row: (row["doc_id"], row["features"]))
     bags = [np.frombuffer(row["features"], np.float32).reshape(-1, FEATURES) for row in taken]
     marks = np.array([row["label"] for row in taken], dtype=np.float32)
