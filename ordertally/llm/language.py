@@ -13,7 +13,7 @@ the border is parsed again from there, up to the letter where it comes to the st
 had by itself, so the phrases are those of the text as a whole, whatever the segments.
 
 The automata are learned from at most `TRAIN_LETTERS` letters of each language, taken from
-whole texts, or the first `TRAIN_TEXT` characters of longer ones, in an order by hash: the
+whole texts in an order by hash until the bound is reached, where the last one is cut: the
 bound of the labelled sample. It is sized by the letters of distinct texts and drawn from
 them, so copies and texts without letters take nothing from it; a language whose draw falls
 short of the bound is drawn again with a larger share, up to all its texts. Null texts and texts without a letter are `und` with score 0,
@@ -34,7 +34,6 @@ from pyspark.sql import functions as F
 from ordertally.llm.common import read_table, slices
 
 TRAIN_LETTERS = 40_000
-TRAIN_TEXT = 10_000
 SEGMENT = 256
 _BLANK, _OTHER = 0, 1
 # Characters that the JVM may not know yet (Cn) may be letters.
@@ -241,10 +240,10 @@ def learn(documents: DataFrame, letters: int = TRAIN_LETTERS) -> tuple[tuple[str
         (F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
         & F.col("lang").isNotNull()
         & (F.length("text") > 0)
-    ).select(F.col("lang").cast("string").alias("lang"), F.substring("text", 1, TRAIN_TEXT).alias("text"))
+    ).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     labelled = labelled.withColumn("mark", F.xxhash64("text"))
-    # Of copies one counts, and only letters do.
-    size = F.max(F.length(F.regexp_replace("text", _NO_LETTER, "")))
+    # Of copies one counts, only letters do, and of these no more than may be used.
+    size = F.max(F.least(F.length(F.regexp_replace("text", _NO_LETTER, "")), F.lit(letters)))
     single = labelled.groupBy("lang", "mark").agg(size.alias("size"))
     sizes = single.groupBy("lang").agg(F.sum("size").alias("size")).where("size > 0").collect()
     # Eight times what is used, by expectation.
@@ -254,8 +253,9 @@ def learn(documents: DataFrame, letters: int = TRAIN_LETTERS) -> tuple[tuple[str
     while shares:
         chances = spark.createDataFrame(list(shares.items()), "its_lang string, chance double")
         known = labelled.join(F.broadcast(chances), F.col("lang") == F.col("its_lang"))
-        # What is no letter, and no mark that may become part of one, is not moved.
-        text = F.trim(F.regexp_replace("text", _NO_PART, " ")).alias("text")
+        # What is no letter, and no mark that may become part of one, is not moved, nor what
+        # lies beyond the bound whatever comes before.
+        text = F.substring(F.trim(F.regexp_replace("text", _NO_PART, " ")), 1, letters).alias("text")
         drawn = known.where(draw < F.col("chance")).select("lang", text, draw.alias("draw"))
         drawn = drawn.where("text <> ''").distinct().collect()
         texts |= dict.fromkeys(shares, "")

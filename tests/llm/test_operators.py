@@ -466,6 +466,35 @@ def test_language_of_one_short_text(spark):
     assert language.learn(frame, 50) == (("a", " \u00e9t\u00e9"),)
 
 
+def test_language_learns_from_whole_texts(spark):
+    """What comes late in a long text is learned as well."""
+    long = "ab " * 5000 + "xyz " * 3000
+    frame = spark.createDataFrame([(1, "a", long), (3, "a", long)], "doc_id bigint, lang string, text string")
+    ((_, text),) = language.learn(frame, 30_000)
+    assert text.split() == long.split()
+    ((_, text),) = language.learn(frame, 1000)
+    assert len(text) == 1000
+
+
+def test_quality_sample(spark, monkeypatch):
+    """Rows with all their passages, as long as they fit; a repeated row counts once."""
+    sizes = {1: 40, 2: 3, 3: 1, 4: 7, 6: 90, 7: 5}
+    rows = [(k, " ".join(f"w{k}x{i}" for i in range(n * quality.PASSAGE))) for k, n in sizes.items()]
+    frame = spark.createDataFrame(rows * 3 + [(9, None), (9, "")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in [*sizes, 9]], "doc_id bigint, quality int")
+    marked = {k for k in [*sizes, 9] if zlib.crc32(str(k).encode()) % 5}
+    fitted = []
+    monkeypatch.setattr(quality, "fit", lambda features, counts, marks: fitted.append((features, counts, marks)))
+    for bound in (1000, 60, 0):
+        monkeypatch.setattr(quality, "TRAIN_PASSAGES", bound)
+        quality.learn(frame, labels)
+    whole, each = quality.encode([dict(rows).get(k, "") for k in sorted(marked)])
+    features, counts, marks = fitted[0]
+    assert sorted(counts.tolist()) == sorted(each.tolist()) and len(marks) == len(marked)
+    assert sorted(map(bytes, features)) == sorted(map(bytes, whole))
+    assert len(fitted) == 2 and 20 <= fitted[1][1].sum() <= 60 and set(fitted[1][1]) <= set(each)
+
+
 def test_quality_held_out(spark):
     path = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{path}/labels.parquet")
