@@ -11,7 +11,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -44,22 +43,3 @@ def drop_near_copies(df: DataFrame, keys: list[str]) -> DataFrame:
             yield from table.take(first["_row_min"]).to_batches()
 
     return df.mapInArrow(fold, df.schema)
-
-
-def drop_older(df: DataFrame, key: str, version: list[str]) -> DataFrame:
-    """The last version of each key within each Arrow batch, by the columns of `version`,
-    NULL before all else; later batches may hold another."""
-
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            order = [(name, "ascending") for name in version]
-            ranked = table.append_column("_row", pa.array(np.arange(len(table))))
-            rows = pc.sort_indices(ranked, sort_keys=order, null_placement="at_start")
-            ranked = ranked.take(rows).set_column(
-                len(table.column_names), "_row", pa.array(np.arange(len(table)))
-            )
-            last = ranked.group_by(key, use_threads=False).aggregate([("_row", "max")])
-            yield from ranked.take(last["_row_max"]).drop_columns("_row").to_batches()
-
-    return df.mapInArrow(fold, df.schema)

@@ -31,6 +31,19 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def make(spark: SparkSession, path: str) -> None:
+    """An empty folder, unless there is one."""
+    system, target = _folder(spark, path)
+    if not system.mkdirs(target):
+        raise OSError(f"cannot make {path}")
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """A folder with all that is in it, if it is there."""
+    system, target = _folder(spark, path)
+    system.delete(target, True)
+
+
 def numbered(spark: SparkSession, path: str, key: str, after: int | None = None) -> list[int]:
     """Numbers of the committed folders `key=number`, in order; above `after` alone."""
     found = []

@@ -14,9 +14,10 @@ from ordertally.plans.handover import messages_after, seed_stream, source_after
 from ordertally.plans.totals import totals_from_messages
 from ordertally.schemas import CORRECTED
 from ordertally.settings import Settings
+from ordertally.sources.folders import make
 from ordertally.sources.messages import message_stream
 from ordertally.sources.tables import read_customers
-from ordertally.streaming.corrections import changes, keyed_changes
+from ordertally.streaming.corrections import CHANGES, keyed_changes, to_changes, versions_of
 from ordertally.streaming.sinks import (
     BatchFunction,
     and_current,
@@ -149,15 +150,20 @@ def start_corrections(
     """Totals of the last versions of orders: the query that finds what changes, and the one
     that adds the changes up. Without a trigger the first has ended when the second starts."""
     spark = messages.sparkSession
-    changed = keyed_changes(changes(messages), customers)
-    with session_conf(spark, {**ROCKSDB, **_width(settings)}):
-        writer = changed.writeStream.queryName("corrections").outputMode("append")
-        writer = writer.format("parquet").option("path", settings.corrections_path)
-        writer = writer.option("checkpointLocation", f"{settings.checkpoint_root}/corrections")
-        first = _trigger(writer, settings).start()
+    changed = keyed_changes(spark.createDataFrame([], CHANGES), customers).schema
+    make(spark, settings.corrections_path)
+    to_log = to_changes(
+        settings.corrections_path,
+        f"{settings.checkpoint_root}/versions",
+        lambda rows: keyed_changes(rows, customers),
+    )
+    with session_conf(spark, _width(settings)):
+        first = _start(versions_of(messages), "corrections", to_log, settings)
     if settings.trigger is None:
         first.awaitTermination()
-    log = spark.readStream.schema(changed.schema).parquet(settings.corrections_path)
+    # The folder of each batch is a partition.
+    log = spark.readStream.schema(changed.add("batch_id", "long")).parquet(settings.corrections_path)
+    log = log.drop("batch_id")
     totals = corrected_totals(
         log, customers, settings.broadcast_bytes, settings.join_partitions
     )

@@ -2,17 +2,19 @@
 
 import json
 import random
+import shutil
 from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ordertally.operators import corrected_current, corrected_totals
 from ordertally.schemas import CORRECTED
 from ordertally.settings import Landing, Settings
 from ordertally.sources import file_batch, file_stream, read_history
-from ordertally.streaming import run, start_corrections, wait
+from ordertally.streaming import corrections, run, start_corrections, wait
 from ordertally.streaming.corrections import keyed_changes, last_versions
 from tests.helpers import CUSTOMER_COLUMNS, NOON, messages, order, tuples
 
@@ -143,6 +145,68 @@ def test_replay_and_restart(spark, tmp_path):
     assert place.totals() == [(*GOOGLE, 5.0), (*TWITTER, 1.0)]
 
 
+def test_no_python_for_each_order(spark, tmp_path):
+    """The last versions are joined as a table, not handed to a function order by order."""
+    place = Place(spark, tmp_path)
+    place.land(*((order(n, 1 + n % 3, f"id{n}"), at(n % 7)) for n in range(500)))
+    stream = file_stream(spark, Landing(place.landing))
+    queries = start_corrections(stream, shoppers(spark), place.settings)
+    wait(spark, queries)
+    assert queries[0].name == "corrections"
+    assert [list(p.stateOperators) for p in queries[0].recentProgress] == [[]]
+
+
+def folders(path, name):
+    return sorted(f.name for f in path.glob(f"{name}/*=*"))
+
+
+@pytest.mark.parametrize("step", ["_changes", "move", "names_in", "_clear"])
+def test_broken_off(spark, tmp_path, monkeypatch, step):
+    """A batch dies with its rows half there, before its log, before its list, or after it."""
+    place, table = Place(spark, tmp_path), tmp_path / "checkpoints" / "versions"
+    place.land((order(10, 1, "a"), at(0)), (order(3, 3), at(0)))
+    place.totals()
+    place.land((order(4, 1, "a"), at(1)), (order(1, 2, "b"), at(1)), (order(2, 3), at(1)))
+    own = getattr(corrections, step)
+
+    def dies(session, *others):
+        if step == "names_in" and "/rows/" not in others[0]:
+            return own(session, *others)
+        raise OSError("dies here")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(corrections, step, dies)
+        with pytest.raises(StreamingQueryException, match="dies here"):
+            place.totals()
+    if step == "_changes":
+        (table / "rows" / "commit=1" / "_SUCCESS").unlink()
+        next((table / "rows" / "commit=1").glob("bucket=*/*.parquet")).unlink()
+    assert place.totals() == [(*GOOGLE, 9.0), (*TWITTER, 1.0)]
+    assert folders(tmp_path, "changes") == ["batch_id=0", "batch_id=1"]
+    place.land((order(5, 1, "a"), at(2)))
+    assert place.totals() == [(*GOOGLE, 10.0), (*TWITTER, 1.0)]
+
+
+def test_table_holds_the_last_versions_alone(spark, tmp_path):
+    place, table = Place(spark, tmp_path), tmp_path / "checkpoints" / "versions"
+    for minute in range(4):
+        place.land((order(minute, 1, "a"), at(minute)), (order(1, 1), at(minute)))
+    place.totals()
+    assert folders(table, "lists") == ["commit=3"] and folders(table, "rows") == ["commit=3"]
+    rows = spark.read.parquet(f"{table}/rows").select("order_id", "last.stamp").collect()
+    assert [r["order_id"] for r in rows] == ["a"]
+
+
+def test_a_log_without_its_table(spark, tmp_path):
+    place = Place(spark, tmp_path)
+    place.land((order(10, 1, "a"), at(0)))
+    place.totals()
+    shutil.rmtree(tmp_path / "checkpoints" / "versions")
+    place.land((order(4, 1, "a"), at(1)))
+    with pytest.raises(StreamingQueryException, match="lacks the batch"):
+        place.totals()
+
+
 def test_through_run(spark, tmp_path):
     place = Place(spark, tmp_path, source=Landing(f"{tmp_path}/landing"))
     place.land((order(10, 1, "a"), at(0)), (order(4, 1, "a"), at(1)))
