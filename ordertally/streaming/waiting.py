@@ -29,6 +29,9 @@ from ordertally.streaming.sinks import to_history
 # orders expire though no customer arrives, and the other way round.
 _CLOCK = {"spark.sql.streaming.multipleWatermarkPolicy": "max"}
 _SLACK = "1 second"
+# One store for a partition of the join instead of four, each with its files in every batch.
+# A checkpoint keeps the format of its first start.
+_STORES = {"spark.sql.streaming.join.stateFormatVersion": "3"}
 MATCHED, EXPIRED = "matched", "expired"
 WAITED = (
     f"order_id string, customer_id string, amount {EXACT}, timestamp timestamp, "
@@ -83,7 +86,7 @@ def start_waiting(
     the matched ones. Without a trigger the first has ended when the second starts."""
     spark = messages.sparkSession
     rows = waited(messages, customers, wait, ways)
-    with session_conf(spark, {**ROCKSDB, **_CLOCK, **_width(settings)}):
+    with session_conf(spark, {**ROCKSDB, **_STORES, **_CLOCK, **_width(settings)}):
         writer = rows.writeStream.queryName("waiting").outputMode("append")
         writer = writer.format("parquet").option("path", path).partitionBy("kind")
         writer = writer.option("checkpointLocation", f"{settings.checkpoint_root}/waiting")

@@ -75,6 +75,18 @@ def test_expired(spark, tmp_path):
     assert place.expired() == ["late"]
 
 
+def test_one_store_for_a_partition(spark, tmp_path):
+    place = Place(spark, tmp_path)
+    place.customers(("1", "Google", "TX"))
+    place.orders(order(5, 1, "a"), order(7, 9, "b"))
+    assert place.totals() == [("Google", "TX", 5.0)]
+    partition = tmp_path / "checkpoints" / "waiting" / "state" / "0" / "0"
+    assert partition.is_dir()
+    assert [f.name for f in partition.iterdir() if f.is_dir() and f.name != "_metadata"] == []
+    place.customers(("9", "Twitter", "CA"))
+    assert place.totals() == [("Google", "TX", 5.0), ("Twitter", "CA", 7.0)]
+
+
 @pytest.mark.parametrize("ways", [1, 4])
 def test_random_arrivals(spark, tmp_path, ways):
     rng = random.Random(ways)
